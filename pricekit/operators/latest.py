@@ -2,18 +2,19 @@
 
 Design notes (scale):
 
-* ``latest_per_key`` is an aggregation, not a window: each key keeps the
-  greatest ``struct(order..., tie_break..., payload...)``. The aggregation is
-  partial on the map side, so a key that holds a third of all rows is cut
-  down to one row per input partition before the shuffle and no task ever
-  sees the whole key. Struct ordering compares field by field with NULL as
-  the smallest value, which is exactly ``ORDER BY ... DESC NULLS LAST``.
-  The window form (``row_number() = 1``, planned by Catalyst as a partial +
-  final ``WindowGroupLimit``) is kept as ``method="window"`` for orders that
-  mix directions.
-* Every payload column is part of the struct, so rows that tie on the
-  declared order are still resolved deterministically; passing a
-  ``tie_break`` that makes the order total keeps the choice explainable.
+* ``latest_per_key`` defaults to ``row_number() = 1`` over a window that
+  Catalyst plans as a *partial* ``WindowGroupLimit`` before the shuffle and
+  a final one after it: every map task keeps only its best row per key, so
+  a key holding a third of all rows is cut down to one row per input
+  partition before anything moves, and the sort + limit run in generated
+  code. ``method="aggregate"`` keeps, per key, the greatest
+  ``struct(order..., tie_break..., payload...)`` with a partial + final
+  aggregation (one shuffle, also combined map-side, but Spark runs struct
+  ``max`` as an interpreted sort aggregate).
+* Both forms order by the declared order, then the tie-break, then every
+  other column, so the chosen row is fully determined even when the caller's
+  order has ties; NULL sorts last for descending and first for ascending,
+  exactly as struct ordering (NULL smallest) does for ``max``/``min``.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 Order = Sequence[str | tuple[str, str]]
 
@@ -57,7 +59,7 @@ def _unpack(df: DataFrame, keys: Sequence[str], columns: Sequence[str], best: st
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Order,
-                   tie_break: Sequence[str] = (), method: str = "aggregate") -> DataFrame:
+                   tie_break: Sequence[str] = (), method: str = "window") -> DataFrame:
     """One row per ``keys``: the first by ``order`` then ``tie_break`` (both descending).
 
     ``order`` items are column names (descending) or ``(name, "asc"|"desc")``.
@@ -71,14 +73,28 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Order,
         best = (df.groupBy(*keys)
                 .agg(pick(_ranking_struct(df, keys, order, tie_break)).alias(_BEST)))
         return _unpack(best, keys, df.columns)
+    if method not in ("window", "aggregate"):
+        raise ValueError(f"unknown method {method!r}")
     desc = not directions or directions == {True}
+    rest = [c for c in df.columns if c not in keys and _orderable(df.schema[c].dataType)]
     w = Window.partitionBy(*keys).orderBy(
         *[F.col(n).desc() if d else F.col(n).asc() for n, d in spec],
-        *[F.col(t).desc() if desc else F.col(t).asc() for t in tie_break])
+        *[F.col(t).desc() if desc else F.col(t).asc() for t in tie_break],
+        *[F.col(c).desc() if desc else F.col(c).asc() for c in rest])
     rn = "__pricekit_rn"
     return df.withColumn(rn, F.row_number().over(w)).filter(F.col(rn) == 1).drop(rn)
 
 
+def _orderable(dtype: T.DataType) -> bool:
+    if isinstance(dtype, (T.MapType, T.VariantType)):
+        return False
+    if isinstance(dtype, T.StructType):
+        return all(_orderable(f.dataType) for f in dtype.fields)
+    if isinstance(dtype, T.ArrayType):
+        return _orderable(dtype.elementType)
+    return True
+
+
 def dedupe_keys(df: DataFrame, keys: Sequence[str], order: Order = ()) -> DataFrame:
     """Keep one row per key subset; which one is fixed by ``order`` then by all columns."""
     return latest_per_key(df, keys, order)
@@ -86,7 +102,7 @@ def dedupe_keys(df: DataFrame, keys: Sequence[str], order: Order = ()) -> DataFr
 
 def merge_latest(new: DataFrame, previous: DataFrame | None, keys: Sequence[str],
                  order: Order, tie_break: Sequence[str] = (),
-                 keep: Column | None = None) -> DataFrame:
+                 keep: Column | None = None, method: str = "window") -> DataFrame:
     """Top-1 per key of ``new``, merged with ``previous``, top-1 again.
 
     Equivalent to::
@@ -96,10 +112,13 @@ def merge_latest(new: DataFrame, previous: DataFrame | None, keys: Sequence[str]
 
     ``keep`` is applied after the batch winner is chosen, so a batch winner
     failing it hides the batch's runner-up (the previous row, if any, wins).
-    Both steps run in ONE aggregation (one shuffle): per key the best new row
-    and the best kept previous row are found map-side-combined, then the
-    greater of the two survivors is taken. ``previous`` is aligned to
-    ``new``'s columns by name and type.
+    ``previous`` is aligned to ``new``'s columns by name and type.
+
+    ``method="window"``: two ``row_number`` windows, each reduced map-side by
+    a partial ``WindowGroupLimit``; the second shuffle only moves the batch
+    winners and the previous rows. ``method="aggregate"``: both steps in ONE
+    partial + final aggregation — per key the best new row and the best kept
+    previous row, then the greater survivor.
     """
     keys = list(keys)
     spec = _order_spec(order)
@@ -107,6 +126,16 @@ def merge_latest(new: DataFrame, previous: DataFrame | None, keys: Sequence[str]
         raise ValueError("merge_latest supports descending orders only")
     keep = F.lit(True) if keep is None else keep
     cols = new.columns
+    if method == "window":
+        batch = latest_per_key(new, keys, order, tie_break).filter(F.coalesce(keep, F.lit(False)))
+        if previous is not None:
+            types = dict(new.dtypes)
+            prev = previous.select(*[F.col(c).cast(types[c]).alias(c) for c in cols])
+            batch = batch.unionByName(prev.filter(F.coalesce(keep, F.lit(False))))
+            batch = latest_per_key(batch, keys, order, tie_break)
+        return batch
+    if method != "aggregate":
+        raise ValueError(f"unknown method {method!r}")
     tagged = new.withColumn(_SRC, F.lit(1))
     if previous is not None:
         types = dict(new.dtypes)

@@ -1,13 +1,14 @@
 """Latest product cost per (product, country), loaded incrementally.
 
-Plan per run (one shuffle for the merge):
+Plan per run:
 
 1. scan the cost feed, keep rows newer than the target's high-water mark,
    with a costed status, a positive material cost and a start date before
    ``as_of`` — all typed filters that reach the parquet scan;
 2. per (product_id, country_name) pick the batch's latest row (start date,
    then latest timestamp, then the declared tie-break), merge it with the
-   previous output and pick again — a single partial + final aggregation;
+   previous output and pick again — two ``row_number() = 1`` windows, each
+   cut down map-side by a partial ``WindowGroupLimit`` before its shuffle;
 3. compute the landed cost, stamp the new high-water mark on every row.
 """
 
