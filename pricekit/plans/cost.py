@@ -10,6 +10,14 @@ Plan per run:
    previous output and pick again — two ``row_number() = 1`` windows, each
    cut down map-side by a partial ``WindowGroupLimit`` before its shuffle;
 3. compute the landed cost, stamp the new high-water mark on every row.
+
+The mark is the maximum over the result rows. With ``materialise=True``
+(used by ``run``) the result is written once to a staging table in the
+shared checkpoint folder, the mark is read from it with a one-column scan
+and stamped as a typed literal, and the final write reads the staging
+table — so nothing is computed twice and the target is never read by the
+job that overwrites it. Without it, the mark is a scalar subquery over the
+same plan (one lazy DataFrame; Spark reuses the shuffle where it can).
 """
 
 from __future__ import annotations
@@ -25,9 +33,11 @@ from pricekit.functions.cost import landed_cost
 from pricekit.functions.text import normalise_date_text, parse_date_text, to_amount
 from pricekit.operators.audit import drop_audit_columns, with_audit_columns
 from pricekit.operators.latest import latest_per_key, merge_latest
+from pricekit.sinks.stage import materialise as stage, stage_root
 from pricekit.sinks.tables import write_table
 from pricekit.sources.tables import read_previous, read_table
-from pricekit.streaming.incremental import high_water_mark, since_watermark, stamp_max
+from pricekit.streaming.incremental import (high_water_mark, since_watermark, stamp_max,
+                                            watermark_literal)
 
 # Output columns of the cost table, in order.
 COST_COLUMNS = (
@@ -104,14 +114,19 @@ def keep_final(as_of: dt.date | str | None = None) -> Column:
 
 def cost_latest(feed: DataFrame, previous: DataFrame | None = None, watermark=None,
                 as_of: dt.date | str | None = None,
-                tie_break: Sequence[str] = TIE_BREAK) -> DataFrame:
+                tie_break: Sequence[str] = TIE_BREAK, materialise: bool = False) -> DataFrame:
     """The cost table after one run: batch of ``feed`` newer than ``watermark`` merged into
     ``previous`` (``None`` = first run), landed cost, new high-water mark on every row."""
     new = valid_cost_rows(feed, watermark, as_of)
     prev = drop_audit_columns(previous) if previous is not None else None
     merged = merge_latest(new, prev, KEYS, ORDER, tie_break, keep=keep_final(as_of))
-    costed = merged.withColumn("total_cost", landed_cost())
-    return stamp_max(costed, LOAD_UPTO).select(*COST_COLUMNS)
+    costed = merged.withColumn("total_cost", landed_cost()).select(*COST_COLUMNS)
+    if not materialise or stage_root(costed) is None:
+        return stamp_max(costed, LOAD_UPTO)
+    staged = stage(costed, "cost")
+    mark = high_water_mark(staged, LOAD_UPTO)
+    dtype = staged.schema[LOAD_UPTO].dataType
+    return staged.withColumn(LOAD_UPTO, watermark_literal(mark, dtype)).select(*COST_COLUMNS)
 
 
 def run(spark: SparkSession, config: Mapping, as_of: dt.date | str | None = None,
@@ -130,7 +145,8 @@ def run(spark: SparkSession, config: Mapping, as_of: dt.date | str | None = None
     watermark = high_water_mark(previous, LOAD_UPTO, default_watermark)
     if valid_cost_rows(feed, watermark, as_of).isEmpty():
         return None
-    result = with_audit_columns(cost_latest(feed, previous, watermark, as_of), now)
+    result = with_audit_columns(cost_latest(feed, previous, watermark, as_of, materialise=True), now)
+    # the result reads the staging table, not the target, so a plain overwrite is safe
     write_table(result, target, "overwrite", fmt=fmt, replace_schema=True,
-                staged=previous is not None)
+                staged=stage_root(result) is None and previous is not None)
     return read_previous(spark, target)

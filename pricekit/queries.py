@@ -78,19 +78,19 @@ def cost_landed(spark, sf_dir):
 
 
 def cost_full_load(spark, sf_dir):
-    return cost.cost_latest(adapters.cost_feed(_load(spark, sf_dir)), None, None, AS_OF)
+    return cost.cost_latest(adapters.cost_feed(_load(spark, sf_dir)), None, None, AS_OF,
+                            materialise=True)
 
 
 def _previous_run(feed: DataFrame, materialise: bool = False) -> DataFrame:
     """The cost table as a first run saw it: only rows inserted up to WATERMARK.
 
-    With ``materialise`` the result is written once to the session's shared
-    checkpoint folder (``spark.checkpoint.dir``), as the stored target table
-    would be, so the merge reads it instead of recomputing it per branch.
+    With ``materialise`` the result is written once as a table in the
+    session's shared checkpoint folder (``spark.checkpoint.dir``), as the
+    stored target would be, so the merge reads it instead of recomputing it.
     """
     arrived = feed.filter(F.col("inserted_on") <= F.lit(WATERMARK).cast("timestamp_ntz"))
-    previous = cost.cost_latest(arrived, None, None, AS_OF)
-    return previous.checkpoint(eager=True) if materialise else previous
+    return cost.cost_latest(arrived, None, None, AS_OF, materialise=materialise)
 
 
 def cost_high_water_mark(spark, sf_dir):
@@ -102,7 +102,7 @@ def cost_merge_latest(spark, sf_dir):
     feed = adapters.cost_feed(_load(spark, sf_dir))
     previous = _previous_run(feed, materialise=True)
     mark = high_water_mark(previous, "load_upto")
-    return cost.cost_latest(feed, previous, mark, AS_OF)
+    return cost.cost_latest(feed, previous, mark, AS_OF, materialise=True)
 
 
 # ------------------------------------------------------------- cluster ----
