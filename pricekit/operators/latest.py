@@ -185,8 +185,13 @@ def latest_row(period: str, value: str, fields: Sequence[str]) -> Column:
     The latest period is the one of ``latest_period``. Inside it, rows with a
     non-null ``value`` come first, then the greatest ``fields`` (left to
     right, NULL last). NULL when every period of the key is NULL.
+
+    One ``max`` over ``struct(value is not null, period, fields...)``: rows
+    with a value outrank all rows without one, so the maximum lies in the
+    greatest period that has a value, or — when no row has one — in the
+    greatest period overall.
     """
-    row = F.struct(F.col(period).alias(period), *[F.col(f).alias(f) for f in fields])
-    has_period = F.col(period).isNotNull()
-    return F.coalesce(F.max(F.when(has_period & F.col(value).isNotNull(), row)),
-                      F.max(F.when(has_period, row)))
+    ranked = F.struct(F.col(value).isNotNull().alias("__has"), F.col(period).alias(period),
+                      *[F.col(f).alias(f) for f in fields])
+    best = F.max(F.when(F.col(period).isNotNull(), ranked))
+    return F.struct(*[best[f].alias(f) for f in (period, *fields)])

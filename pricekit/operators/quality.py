@@ -108,13 +108,32 @@ def qc_status(results: DataFrame) -> DataFrame:
         F.count_if(failed).alias("failed_rules"))
 
 
-def run_qc(df: DataFrame, table: str, rules: DataFrame) -> tuple[DataFrame, str]:
+def run_qc(df: DataFrame, table: str, rules: DataFrame,
+           columns: Sequence[str] | None = None) -> tuple[DataFrame, str]:
     """Metrics → checks → status; returns the results frame and the status text."""
-    results = qc_check(qc_metrics(df, table), rules)
+    results = qc_check(qc_metrics(df, table, columns), rules)
     status = qc_status(results).first()["status"]
     return results, status
 
 
+def rule_columns(df: DataFrame, rules: Sequence[Sequence]) -> list[str]:
+    """Columns of ``df`` that some rule names: only those need metrics."""
+    named = {r[1] for r in rules}
+    return [c for c in df.columns if c in named]
+
+
+def check_before_write(df: DataFrame, table: str, rules: Sequence[Sequence] = ()) -> str:
+    """Pre-commit check: QC of the result about to be written; raises on ERROR.
+
+    No rules → ``PASS`` without touching the data.
+    """
+    if not rules:
+        return PASS
+    _, status = run_qc(df, table, rules_frame(df.sparkSession, rules), rule_columns(df, rules))
+    gate(status)
+    return status
+
+
 def gate(status: str) -> None:
     """Raise :class:`QualityGateError` when the status is ERROR."""
     if status == ERROR:

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pricekit.operators.audit import with_audit_columns
 from pricekit.operators.conform import canonical_clusters, conform_all, union_feeds
 from pricekit.operators.latest import latest_row
+from pricekit.operators.quality import check_before_write
 from pricekit.sinks.tables import write_table
 from pricekit.sources.tables import read_table
 
@@ -74,12 +75,13 @@ def cluster_latest(feeds: Mapping[str, DataFrame], emea: Sequence[str], ams: Seq
     return latest_clusters(union_clusters(feeds, emea, ams, distinct=False))
 
 
-def run(spark: SparkSession, config: Mapping, now=None, fmt: str = "parquet") -> DataFrame:
+def run(spark: SparkSession, config: Mapping, now=None, fmt: str = "parquet", rules=()) -> DataFrame:
     """Config: ``input`` = feed name → table entry; ``basic_config`` has
     ``emea_countries`` and ``ams_countries``; ``output.cluster`` the target."""
     feeds = {name: read_table(spark, entry) for name, entry in config["input"].items()}
     basic = config["basic_config"]
     result = with_audit_columns(
         cluster_latest(feeds, basic["emea_countries"], basic["ams_countries"]), now)
+    check_before_write(result, "cluster", rules)
     write_table(result, config["output"]["cluster"], "overwrite", fmt=fmt, replace_schema=True)
     return result

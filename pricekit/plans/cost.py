@@ -33,6 +33,7 @@ from pricekit.functions.cost import landed_cost
 from pricekit.functions.text import normalise_date_text, parse_date_text, to_amount
 from pricekit.operators.audit import drop_audit_columns, with_audit_columns
 from pricekit.operators.latest import latest_per_key, merge_latest
+from pricekit.operators.quality import check_before_write
 from pricekit.sinks.stage import materialise as stage, stage_root
 from pricekit.sinks.tables import write_table
 from pricekit.sources.tables import read_previous, read_table
@@ -131,7 +132,7 @@ def cost_latest(feed: DataFrame, previous: DataFrame | None = None, watermark=No
 
 def run(spark: SparkSession, config: Mapping, as_of: dt.date | str | None = None,
         default_watermark=None, now: dt.datetime | None = None,
-        fmt: str = "parquet") -> DataFrame | None:
+        fmt: str = "parquet", rules=()) -> DataFrame | None:
     """Run the cost job from a config ``{"input": {"cost_feed": ...}, "output": {"cost": ...}}``.
 
     Returns the written DataFrame, or ``None`` when there was no new row
@@ -146,6 +147,7 @@ def run(spark: SparkSession, config: Mapping, as_of: dt.date | str | None = None
     if valid_cost_rows(feed, watermark, as_of).isEmpty():
         return None
     result = with_audit_columns(cost_latest(feed, previous, watermark, as_of, materialise=True), now)
+    check_before_write(result, "cost", rules)
     # the result reads the staging table, not the target, so a plain overwrite is safe
     write_table(result, target, "overwrite", fmt=fmt, replace_schema=True,
                 staged=stage_root(result) is None and previous is not None)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricekit.operators.expand import enrich
-from pricekit.operators.quality import gate, rules_frame, run_qc
+from pricekit.operators.quality import gate, rule_columns, rules_frame, run_qc
 from pricekit.sinks.tables import append_audit, write_table
 from pricekit.sources.tables import read_table
 
@@ -41,7 +41,7 @@ def run(spark: SparkSession, config: Mapping, rules: Sequence[Sequence] = (),
         status = "PASS"
         if rules:
             results, status = run_qc(gt, config["output"].get("qc_table_name", PIPELINE),
-                                     rules_frame(spark, rules))
+                                     rules_frame(spark, rules), rule_columns(gt, rules))
             if "qc_results" in config["output"]:
                 write_table(results, config["output"]["qc_results"], "append", fmt=fmt)
         try:

@@ -121,3 +121,14 @@ def test_ground_truth_writes_on_warn(spark, load, tmp_path):
     gt = ground_truth.in_countries(adapters.ground_truth(load), ["C1", "C2", "C3", "C4"])
     assert rows(got) == rows(ground_truth.with_family(gt, adapters.product_dim(load)))
     assert rows(read_table(spark, cfg["output"]["audit"]), "status") == [("SUCCESS",)]
+
+
+def test_pre_commit_gate_on_geo(spark, load, tmp_path):
+    out = {"path": str(tmp_path / "geo")}
+    cfg = {"input": {"geo": _write(adapters.geography(load), str(tmp_path / "geo_in"))},
+           "output": {"geo": out}}
+    with pytest.raises(QualityGateError):
+        geo.run(spark, cfg, rules=[("geo", "*", "row_count", ">", 100, "ERROR")])
+    assert read_previous(spark, out) is None
+    geo.run(spark, cfg, rules=[("geo", "n_nationkey", "null_count", "=", 0, "ERROR")])
+    assert read_table(spark, out).count() == 25
