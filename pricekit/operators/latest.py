@@ -119,6 +119,14 @@ def merge_latest(new: DataFrame, previous: DataFrame | None, keys: Sequence[str]
     winners and the previous rows. ``method="aggregate"``: both steps in ONE
     partial + final aggregation — per key the best new row and the best kept
     previous row, then the greater survivor.
+
+    ``method="join"`` requires ``previous`` to hold at most one row per key
+    (it is this function's own earlier output): batch winners and previous
+    rows meet in a one-to-one full outer join on the keys and the greater of
+    the two survives. When ``previous`` is a table bucketed by ``keys``, the
+    join reuses its bucketing and only the batch is shuffled — the target is
+    never re-shuffled, however large it grows. Rows with a NULL key part
+    (which an equi-join cannot match) go through the window form.
     """
     keys = list(keys)
     spec = _order_spec(order)
@@ -134,6 +142,8 @@ def merge_latest(new: DataFrame, previous: DataFrame | None, keys: Sequence[str]
             batch = batch.unionByName(prev.filter(F.coalesce(keep, F.lit(False))))
             batch = latest_per_key(batch, keys, order, tie_break)
         return batch
+    if method == "join":
+        return _merge_by_join(new, previous, keys, order, tie_break, keep)
     if method != "aggregate":
         raise ValueError(f"unknown method {method!r}")
     tagged = new.withColumn(_SRC, F.lit(1))
@@ -153,6 +163,32 @@ def merge_latest(new: DataFrame, previous: DataFrame | None, keys: Sequence[str]
     return _unpack(best, keys, cols)
 
 
+def _merge_by_join(new: DataFrame, previous: DataFrame | None, keys: list[str], order: Order,
+                   tie_break: Sequence[str], keep: Column) -> DataFrame:
+    cols = new.columns
+    kept = F.coalesce(keep, F.lit(False))
+    batch = latest_per_key(new, keys, order, tie_break).filter(kept)
+    if previous is None:
+        return batch
+    types = dict(new.dtypes)
+    prev = previous.select(*[F.col(c).cast(types[c]).alias(c) for c in cols]).filter(kept)
+    bad = [c for c in cols if c not in keys and not _orderable(new.schema[c].dataType)]
+    if bad:
+        raise ValueError(f"method='join' needs orderable columns; not orderable: {bad}")
+    full_key = F.lit(True)
+    for k in keys:
+        full_key = full_key & F.col(k).isNotNull()
+    b = batch.filter(full_key)
+    p = prev.filter(full_key)
+    joined = (b.select(*keys, _ranking_struct(b, keys, order, tie_break).alias("__b"))
+              .join(p.select(*keys, _ranking_struct(p, keys, order, tie_break).alias("__p")),
+                    on=keys, how="full_outer"))
+    best = joined.select(*keys, F.greatest(F.col("__b"), F.col("__p")).alias(_BEST))
+    merged = _unpack(best, keys, cols)
+    null_keyed = batch.filter(~full_key).unionByName(prev.filter(~full_key))
+    return merged.unionByName(latest_per_key(null_keyed, keys, order, tie_break))
+
+
 def latest_period(df: DataFrame, keys: Sequence[str], period: str, value: str,
                   out: str = "latest_period") -> DataFrame:
     """Per key, the greatest ``period`` among rows with a non-null ``value``.

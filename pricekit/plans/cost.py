@@ -35,7 +35,7 @@ from pricekit.operators.audit import drop_audit_columns, with_audit_columns
 from pricekit.operators.latest import latest_per_key, merge_latest
 from pricekit.operators.quality import check_before_write
 from pricekit.sinks.stage import materialise as stage, stage_root
-from pricekit.sinks.tables import write_table
+from pricekit.sinks.tables import drop_table, stage_entry, write_table
 from pricekit.sources.tables import read_previous, read_table
 from pricekit.streaming.incremental import (high_water_mark, since_watermark, stamp_max,
                                             watermark_literal)
@@ -113,21 +113,32 @@ def keep_final(as_of: dt.date | str | None = None) -> Column:
             & F.col("product_id").isNotNull() & (F.col("start_date") < _as_of(as_of)))
 
 
+def cost_merged(feed: DataFrame, previous: DataFrame | None = None, watermark=None,
+                as_of: dt.date | str | None = None, tie_break: Sequence[str] = TIE_BREAK,
+                method: str = "window") -> DataFrame:
+    """The merged rows with their landed cost, before the high-water mark is stamped."""
+    new = valid_cost_rows(feed, watermark, as_of)
+    prev = drop_audit_columns(previous) if previous is not None else None
+    merged = merge_latest(new, prev, KEYS, ORDER, tie_break, keep=keep_final(as_of), method=method)
+    return merged.withColumn("total_cost", landed_cost()).select(*COST_COLUMNS)
+
+
+def _stamp_literal(df: DataFrame) -> DataFrame:
+    mark = high_water_mark(df, LOAD_UPTO)
+    dtype = df.schema[LOAD_UPTO].dataType
+    return df.withColumn(LOAD_UPTO, watermark_literal(mark, dtype)).select(*COST_COLUMNS)
+
+
 def cost_latest(feed: DataFrame, previous: DataFrame | None = None, watermark=None,
                 as_of: dt.date | str | None = None,
-                tie_break: Sequence[str] = TIE_BREAK, materialise: bool = False) -> DataFrame:
+                tie_break: Sequence[str] = TIE_BREAK, materialise: bool = False,
+                method: str = "window") -> DataFrame:
     """The cost table after one run: batch of ``feed`` newer than ``watermark`` merged into
     ``previous`` (``None`` = first run), landed cost, new high-water mark on every row."""
-    new = valid_cost_rows(feed, watermark, as_of)
-    prev = drop_audit_columns(previous) if previous is not None else None
-    merged = merge_latest(new, prev, KEYS, ORDER, tie_break, keep=keep_final(as_of))
-    costed = merged.withColumn("total_cost", landed_cost()).select(*COST_COLUMNS)
+    costed = cost_merged(feed, previous, watermark, as_of, tie_break, method)
     if not materialise or stage_root(costed) is None:
         return stamp_max(costed, LOAD_UPTO)
-    staged = stage(costed, "cost")
-    mark = high_water_mark(staged, LOAD_UPTO)
-    dtype = staged.schema[LOAD_UPTO].dataType
-    return staged.withColumn(LOAD_UPTO, watermark_literal(mark, dtype)).select(*COST_COLUMNS)
+    return _stamp_literal(stage(costed, "cost"))
 
 
 def run(spark: SparkSession, config: Mapping, as_of: dt.date | str | None = None,
@@ -137,6 +148,12 @@ def run(spark: SparkSession, config: Mapping, as_of: dt.date | str | None = None
 
     Returns the written DataFrame, or ``None`` when there was no new row
     (then nothing is written).
+
+    When the target entry is a catalog table with ``"buckets": n``, the table
+    is kept bucketed by (product_id, country_name) and each run merges by a
+    one-to-one join that reads the previous table in its buckets: only the
+    new batch is shuffled, never the whole table. Pick ``n`` at least
+    ``spark.sql.shuffle.partitions``.
     """
     feed = read_table(spark, config["input"]["cost_feed"])
     target = config["output"]["cost"]
@@ -146,9 +163,27 @@ def run(spark: SparkSession, config: Mapping, as_of: dt.date | str | None = None
     watermark = high_water_mark(previous, LOAD_UPTO, default_watermark)
     if valid_cost_rows(feed, watermark, as_of).isEmpty():
         return None
+    buckets = target.get("buckets") if isinstance(target, Mapping) else None
+    if buckets:
+        return _run_bucketed(spark, feed, previous, target, int(buckets), watermark, as_of, now,
+                             fmt, rules)
     result = with_audit_columns(cost_latest(feed, previous, watermark, as_of, materialise=True), now)
     check_before_write(result, "cost", rules)
     # the result reads the staging table, not the target, so a plain overwrite is safe
     write_table(result, target, "overwrite", fmt=fmt, replace_schema=True,
                 staged=stage_root(result) is None and previous is not None)
     return read_previous(spark, target)
+
+
+def _run_bucketed(spark, feed, previous, target, buckets, watermark, as_of, now, fmt, rules):
+    layout = (buckets, list(KEYS))
+    method = "join" if previous is not None else "window"
+    stage_table = stage_entry(target)
+    # the merge output is already hash-partitioned by the keys: one file per bucket
+    write_table(cost_merged(feed, previous, watermark, as_of, method=method), stage_table,
+                "overwrite", fmt=fmt, replace_schema=True, bucket_by=layout)
+    result = with_audit_columns(_stamp_literal(read_table(spark, stage_table)), now)
+    check_before_write(result, "cost", rules)
+    write_table(result, target, "overwrite", fmt=fmt, replace_schema=True, bucket_by=layout)
+    drop_table(spark, stage_table)
+    return read_table(spark, target)

@@ -8,7 +8,7 @@ DataFrameWriter, i.e. distributed: each task writes its own files.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,7 +42,8 @@ def _schema_key(schema: T.StructType) -> list[tuple[str, str]]:
     return [(f.name.lower(), f.dataType.simpleString()) for f in schema.fields]
 
 
-def _stage_entry(entry: Mapping[str, str] | str, spark: SparkSession) -> Mapping[str, str] | str:
+def stage_entry(entry: Mapping[str, str] | str) -> Mapping[str, str] | str:
+    """The staging table next to a target: same place, name suffixed ``__stg``."""
     if isinstance(entry, Mapping) and entry.get("path"):
         return {**entry, "path": entry["path"].rstrip("/") + "__stg"}
     if isinstance(entry, Mapping):
@@ -50,21 +51,27 @@ def _stage_entry(entry: Mapping[str, str] | str, spark: SparkSession) -> Mapping
     return entry + "__stg"
 
 
-def _raw_write(df: DataFrame, entry, mode: str, fmt: str, replace_schema: bool) -> None:
+def _raw_write(df: DataFrame, entry, mode: str, fmt: str, replace_schema: bool,
+               bucket_by: tuple[int, Sequence[str]] | None = None) -> None:
     writer = df.write.mode(mode)
     if fmt:
         writer = writer.format(fmt)
     if replace_schema and fmt == "delta":
         writer = writer.option("overwriteSchema", "true")
     if isinstance(entry, Mapping) and entry.get("path"):
+        if bucket_by:
+            raise ValueError("bucketing needs a catalog table, not a path")
         writer.save(entry["path"])
     else:
+        if bucket_by:
+            n, cols = bucket_by
+            writer = writer.bucketBy(n, *cols).sortBy(*cols)
         writer.saveAsTable(table_name(entry))
 
 
 def write_table(df: DataFrame, entry: Mapping[str, str] | str, mode: str = "overwrite",
                 fmt: str | None = None, replace_schema: bool = False,
-                staged: bool = False) -> None:
+                staged: bool = False, bucket_by: tuple[int, Sequence[str]] | None = None) -> None:
     """Write ``df`` to a table.
 
     * ``mode``: overwrite, append, ignore (no-op when the target exists) or error.
@@ -74,6 +81,9 @@ def write_table(df: DataFrame, entry: Mapping[str, str] | str, mode: str = "over
       merge): the result is first written to ``<target>__stg``, then read
       back and written over the target, so the target is never read and
       truncated by the same job. The staging copy also cuts the lineage.
+    * ``bucket_by=(n, columns)`` writes a catalog table bucketed and sorted
+      by ``columns``: a later join or aggregation on them reads it already
+      partitioned, without a shuffle.
     """
     if mode not in MODES:
         raise ValueError(f"unknown write mode {mode!r}")
@@ -86,13 +96,13 @@ def write_table(df: DataFrame, entry: Mapping[str, str] | str, mode: str = "over
                 f"schema of {table_name(entry)} differs: {existing.schema.simpleString()} "
                 f"vs {df.schema.simpleString()}")
     if staged and existing is not None and mode == "overwrite" and fmt != "delta":
-        stage = _stage_entry(entry, spark)
+        stage = stage_entry(entry)
         _raw_write(df, stage, "overwrite", fmt, True)
         _raw_write(read_table(spark, stage if not isinstance(stage, Mapping) else {**stage, "format": fmt}),
-                   entry, "overwrite", fmt, replace_schema)
+                   entry, "overwrite", fmt, replace_schema, bucket_by)
         drop_table(spark, stage)
         return
-    _raw_write(df, entry, mode, fmt, replace_schema)
+    _raw_write(df, entry, mode, fmt, replace_schema, bucket_by)
 
 
 def drop_table(spark: SparkSession, entry: Mapping[str, str] | str) -> None:

@@ -132,3 +132,42 @@ def test_pre_commit_gate_on_geo(spark, load, tmp_path):
     assert read_previous(spark, out) is None
     geo.run(spark, cfg, rules=[("geo", "n_nationkey", "null_count", "=", 0, "ERROR")])
     assert read_table(spark, out).count() == 25
+
+
+def _depth(line: str) -> int:
+    return len(line) - len(line.lstrip(" :|+-"))
+
+
+def _ancestors_until(lines, i, stop):
+    out, depth = [], _depth(lines[i])
+    for j in range(i - 1, -1, -1):
+        if _depth(lines[j]) < depth:
+            if stop in lines[j]:
+                break
+            out.append(lines[j])
+            depth = _depth(lines[j])
+    return out
+
+
+def test_cost_bucketed_target_merges_without_reshuffling_it(spark, load, tmp_path):
+    feed_all = adapters.cost_feed(load).filter(F.col("country_code").isNotNull())
+    wm = F.lit(WATERMARK).cast("timestamp_ntz")
+    src = str(tmp_path / "feed_b")
+    spark.sql("DROP TABLE IF EXISTS cost_bucketed")
+    config = {"input": {"cost_feed": _write(feed_all.filter(F.col("inserted_on") <= wm), src)},
+              "output": {"cost": {"table_name": "cost_bucketed", "buckets": 4}}}
+    cost.run(spark, config, as_of=AS_OF, now="2024-01-01 00:00:00")
+    feed_all.filter(F.col("inserted_on") > wm).write.mode("append").parquet(src)
+    previous = spark.table("cost_bucketed").drop("created_on", "updated_on")
+    mark = previous.agg(F.max("load_upto")).first()[0]
+    plan = cost.cost_merged(read_table(spark, {"path": src}), previous, mark, AS_OF, method="join") \
+        ._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    bucketed = [i for i, ln in enumerate(lines) if "FileScan" in ln and "SelectedBucketsCount: 4 out of 4" in ln]
+    assert bucketed
+    for i in bucketed:   # no Exchange between the bucketed scan and the join that reads it
+        assert "Exchange" not in "".join(_ancestors_until(lines, i, "SortMergeJoin"))
+    merged = cost.run(spark, config, as_of=AS_OF)
+    full = cost.cost_latest(read_table(spark, {"path": src}), None, None, AS_OF)
+    assert rows(merged.drop("created_on", "updated_on")) == rows(full)
+    assert not spark.catalog.tableExists("cost_bucketed__stg")
