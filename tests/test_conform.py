@@ -46,3 +46,11 @@ def test_union_distinct_and_canonical(spark):
     got = rows(canonical_clusters(union_feeds([a, b])))
     assert got == [("P00001", 1, "a", 1.0, "2024Q01", "GB"), ("P00002", 2, None, 1.0, "2024Q02", "FR")]
     assert union_feeds([a, b], distinct=False).count() == 4
+
+
+def test_sku_length_filter(spark):
+    df = spark.createDataFrame([(s, 1, None, 1.0, "2024Q1", "GB") for s in
+                                ["abcde", "abcdef", "abcdefg", "abcdefgh"]],
+                               "SKU string, CLUSTER int, PATH string, cluster_size double, "
+                               "fiscal_quarter string, country_code string")
+    assert rows(canonical_clusters(df), "SKU") == [("ABCDEF",), ("ABCDEFG",)]

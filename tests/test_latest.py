@@ -101,3 +101,37 @@ def test_latest_period_and_row(spark):
     assert got == [("s1", "2024Q01", "a", 1), ("s2", "2024Q03", None, 4), ("s3", "2024Q01", "x", 5)]
     lr = rows(rows_of_latest_period(df, ["k", "c"], "q", "path"), "k", "cl")
     assert lr == [("s1", 1), ("s1", 9), ("s2", 4), ("s3", 5)]
+
+
+ROWS = st.lists(st.tuples(st.sampled_from("abcd"), st.integers(0, 20), st.integers(0, 3)),
+                min_size=1, max_size=25)
+
+
+@settings(max_examples=12, deadline=None)
+@given(ROWS, st.integers(0, 20))
+def test_incremental_equals_full_load(spark, data, cut):
+    """merge(new, merge(old)) == merge(old ∪ new) when nothing arrives late and keep is total."""
+    df = spark.createDataFrame(data, "k string, t int, v int")
+    old, new = df.filter(F.col("t") <= cut), df.filter(F.col("t") > cut)
+    full = rows(merge_latest(df, None, ["k"], ["t", "v"]))
+    for method in ("window", "aggregate", "join"):
+        prev = merge_latest(old, None, ["k"], ["t", "v"], method=method)
+        assert rows(merge_latest(new, prev, ["k"], ["t", "v"], method=method)) == full, method
+
+
+@settings(max_examples=12, deadline=None)
+@given(ROWS, ROWS)
+def test_merge_is_idempotent(spark, a, b):
+    prev = merge_latest(spark.createDataFrame(a, "k string, t int, v int"), None, ["k"], ["t"])
+    new = spark.createDataFrame(b, "k string, t int, v int")
+    for method in ("window", "aggregate", "join"):
+        once = merge_latest(new, prev, ["k"], ["t"], method=method)
+        twice = merge_latest(new, once, ["k"], ["t"], method=method)
+        assert rows(twice) == rows(once), method
+
+
+def test_join_merge_with_null_keys(spark):
+    new = spark.createDataFrame([(None, 5, True, "n-null"), ("a", 1, True, "n-a")], MERGE)
+    prev = spark.createDataFrame([(None, 7, True, "p-null"), ("a", 3, True, "p-a")], MERGE)
+    got = rows(merge_latest(new, prev, ["k"], ["d"], method="join"), "k", "src")
+    assert got == [("a", "p-a"), (None, "p-null")]
