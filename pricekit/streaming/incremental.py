@@ -14,6 +14,7 @@ is never read again; that is the contract of the strict ``>``.
 from __future__ import annotations
 
 import datetime as dt
+import time
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,8 +29,22 @@ def high_water_mark(df: DataFrame | None, col: str, default=None):
     return default if value is None else value
 
 
+def _epoch_micros(value: dt.datetime) -> int:
+    if value.tzinfo is not None:
+        return (value - dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)) // dt.timedelta(microseconds=1)
+    # a naive value collected from a TIMESTAMP column is in the Python process's local zone
+    return int(time.mktime(value.timetuple())) * 1_000_000 + value.microsecond
+
+
 def watermark_literal(value, dtype: T.DataType) -> Column:
-    """A literal of exactly ``dtype`` (so the comparison stays pushable to the scan)."""
+    """A literal of exactly ``dtype`` (so the comparison stays pushable to the scan).
+
+    TIMESTAMP (an instant) goes through exact epoch microseconds, so the mark
+    does not shift when the session time zone differs from the Python
+    process's; TIMESTAMP_NTZ and DATE are wall-clock values and go as text.
+    """
+    if isinstance(dtype, T.TimestampType) and isinstance(value, dt.datetime):
+        return F.timestamp_micros(F.lit(_epoch_micros(value)))
     if isinstance(value, dt.datetime):
         value = value.isoformat(sep=" ")
     elif isinstance(value, dt.date):

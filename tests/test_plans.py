@@ -171,3 +171,20 @@ def test_cost_bucketed_target_merges_without_reshuffling_it(spark, load, tmp_pat
     full = cost.cost_latest(read_table(spark, {"path": src}), None, None, AS_OF)
     assert rows(merged.drop("created_on", "updated_on")) == rows(full)
     assert not spark.catalog.tableExists("cost_bucketed__stg")
+
+
+def test_ltz_watermark_survives_a_session_zone_change(spark, tmp_path):
+    from pricekit.streaming.incremental import high_water_mark, since_watermark
+    path = str(tmp_path / "ltz")
+    spark.sql("SELECT timestamp'2024-01-01 10:00:00' + make_interval(0,0,0,0,0,0, id) AS ts "
+              "FROM range(5)").write.parquet(path)
+    before = spark.conf.get("spark.sql.session.timeZone")
+    df = spark.read.parquet(path)
+    mark = high_water_mark(df.filter(F.col("ts") < F.lit("2024-01-01 10:00:03").cast("timestamp")), "ts")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        kept = since_watermark(spark.read.parquet(path), "ts", mark)
+        assert kept.count() == 2          # the mark is 10:00:02 (UTC); :03 and :04 are newer
+        assert "PushedFilters: [IsNotNull(ts), GreaterThan(ts," in kept._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
