@@ -4,10 +4,13 @@ Environment: ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS``
 (default 8), ``BENCH_REPEAT`` (default 3). Every run executes the full plan
 with the ``noop`` sink (all rows produced, nothing collected to the driver).
 
-Besides the registered queries, two comparison plans are timed (keys with
-``__``): the source system's shape of the cluster job (window + self left
-join + dropDuplicates) and of the watermark stamp (a window over the whole
-relation, i.e. one partition); they are not part of the total.
+Besides the registered queries, comparison plans are timed (keys with
+``__``, not part of the total): the source system's shape of the cluster
+job (window + self left join + dropDuplicates) and of the watermark stamp
+(a window over the whole relation, i.e. one partition); and the steady-state
+merge step against a previous cost table stored bucketed by its key, once as
+a one-to-one join that reads the buckets in place and once with the window
+form that re-shuffles the table.
 """
 
 from __future__ import annotations
@@ -16,6 +19,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -58,8 +62,41 @@ def stamp_by_window(spark, sf_dir):
     return df.withColumn("load_upto", F.max("load_upto").over(Window.partitionBy()))
 
 
+_BUCKETED = {}
+
+
+def _bucketed_previous(spark, sf_dir):
+    """The previous cost table (rows up to the query watermark), stored bucketed once."""
+    if sf_dir not in _BUCKETED:
+        from pricekit.queries import WATERMARK
+        from pricekit.sinks.tables import write_table
+        from pricekit.streaming.incremental import high_water_mark
+        feed = adapters.cost_feed(adapters.loader(spark, sf_dir))
+        arrived = feed.filter(F.col("inserted_on") <= F.lit(WATERMARK).cast("timestamp_ntz"))
+        name = f"bench_prev_{len(_BUCKETED)}"
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        write_table(cost.cost_latest(arrived, None, None, AS_OF, materialise=True), name,
+                    "overwrite", replace_schema=True, bucket_by=(buckets, list(cost.KEYS)))
+        _BUCKETED[sf_dir] = (name, high_water_mark(spark.table(name), "load_upto"))
+    return _BUCKETED[sf_dir]
+
+
+def merge_join_bucketed(spark, sf_dir):
+    name, mark = _bucketed_previous(spark, sf_dir)
+    feed = adapters.cost_feed(adapters.loader(spark, sf_dir))
+    return cost.cost_merged(feed, spark.table(name), mark, AS_OF, method="join")
+
+
+def merge_window_bucketed(spark, sf_dir):
+    name, mark = _bucketed_previous(spark, sf_dir)
+    feed = adapters.cost_feed(adapters.loader(spark, sf_dir))
+    return cost.cost_merged(feed, spark.table(name), mark, AS_OF, method="window")
+
+
 VARIANTS = {"cluster_latest__join_dedup": cluster_join_dedup,
-            "cost_full_load__window_stamp": stamp_by_window}
+            "cost_full_load__window_stamp": stamp_by_window,
+            "cost_merge_step__join_on_bucketed_target": merge_join_bucketed,
+            "cost_merge_step__window_on_bucketed_target": merge_window_bucketed}
 
 
 def time_query(spark, fn, sf_dir, repeat):
@@ -80,6 +117,7 @@ def main():
              .config("spark.ui.showConsoleProgress", "false")
              .config("spark.sql.shuffle.partitions", str(cpus * 2))
              .config("spark.driver.memory", os.environ.get("BENCH_DRIVER_MEMORY", "8g"))
+             .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="pricekit-bench-wh-"))
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     apply_defaults(spark)
