@@ -292,4 +292,7 @@ WHERE is_latest AND from_currency_code = 'USD' AND use_case IN ('pricing - IPG',
                   "count(*) FILTER (WHERE NOT passed) AS failed_rules FROM results"),
 }
 
+# the join form of the merge must give exactly the same table
+COST_SQL["cost_merge_latest_join"] = COST_SQL["cost_merge_latest"]
+
 ORACLE_SQL: dict[str, str] = {**COST_SQL, **CLUSTER_SQL, **OTHER_SQL}

@@ -104,6 +104,14 @@ def cost_merge_latest(spark, sf_dir):
     return cost.cost_latest(feed, previous, mark, AS_OF)
 
 
+def cost_merge_latest_join(spark, sf_dir):
+    """The same run, merged by the one-to-one join form (used for bucketed targets)."""
+    feed = adapters.cost_feed(_load(spark, sf_dir))
+    previous = _previous_run(feed, materialise=True)
+    mark = high_water_mark(previous, "load_upto")
+    return cost.cost_latest(feed, previous, mark, AS_OF, method="join")
+
+
 # ------------------------------------------------------------- cluster ----
 
 def cluster_clean_path(spark, sf_dir):
@@ -188,6 +196,7 @@ QUERIES: dict[str, Query] = {
     "cost_full_load": cost_full_load,
     "cost_high_water_mark": cost_high_water_mark,
     "cost_merge_latest": cost_merge_latest,
+    "cost_merge_latest_join": cost_merge_latest_join,
     "cluster_clean_path": cluster_clean_path,
     "cluster_conform": cluster_conform,
     "cluster_union": cluster_union,
