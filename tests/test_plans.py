@@ -188,3 +188,16 @@ def test_ltz_watermark_survives_a_session_zone_change(spark, tmp_path):
         assert "PushedFilters: [IsNotNull(ts), GreaterThan(ts," in kept._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_command_line_job(spark, load, tmp_path):
+    import json
+
+    from pricekit.__main__ import main
+    geo_in = _write(adapters.geography(load), str(tmp_path / "geo_in"))
+    cfg = {"input": {"geo": geo_in}, "output": {"geo": {"path": str(tmp_path / "geo_out")}},
+           "rules": [["geo", "*", "row_count", ">", 0, "ERROR"]]}
+    path = tmp_path / "geo.json"
+    path.write_text(json.dumps(cfg))
+    assert main(["geo", str(path)]) == 0
+    assert read_table(spark, cfg["output"]["geo"]).count() == 25
