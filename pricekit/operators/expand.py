@@ -22,7 +22,7 @@ def expand_by_rule(df: DataFrame, key_col: str, rules: Mapping[str, Sequence[str
         pairs += [F.lit(key), F.array(*[F.lit(v) for v in values]).cast("array<string>")]
     lookup = F.create_map(*pairs)
     return (df.filter(F.col(key_col).isin(*rules.keys()))
-              .withColumn(out_col, F.explode(F.element_at(lookup, F.col(key_col)))))
+              .withColumn(out_col, F.explode(F.try_element_at(lookup, F.col(key_col)))))
 
 
 def enrich(df: DataFrame, dim: DataFrame, on: str | Sequence[str], cols: Sequence[str]) -> DataFrame:
