@@ -135,3 +135,11 @@ def test_join_merge_with_null_keys(spark):
     prev = spark.createDataFrame([(None, 7, True, "p-null"), ("a", 3, True, "p-a")], MERGE)
     got = rows(merge_latest(new, prev, ["k"], ["d"], method="join"), "k", "src")
     assert got == [("a", "p-a"), (None, "p-null")]
+
+
+def test_dedupe_keys_is_deterministic(spark):
+    from pricekit.operators.latest import dedupe_keys
+    df = spark.createDataFrame([("a", 1, "x"), ("a", 1, "y"), ("b", 2, "z")], "k string, v int, w string")
+    first = rows(dedupe_keys(df, ["k"]))
+    assert first == [("a", 1, "y"), ("b", 2, "z")]
+    assert rows(dedupe_keys(df.repartition(3), ["k"])) == first

@@ -201,3 +201,16 @@ def test_command_line_job(spark, load, tmp_path):
     path.write_text(json.dumps(cfg))
     assert main(["geo", str(path)]) == 0
     assert read_table(spark, cfg["output"]["geo"]).count() == 25
+
+
+def test_command_line_cost_job(spark, load, tmp_path):
+    import json
+
+    from pricekit.__main__ import main
+    feed = _write(adapters.cost_feed(load), str(tmp_path / "feed"))
+    cfg = {"input": {"cost_feed": feed}, "output": {"cost": {"path": str(tmp_path / "cost")}}}
+    path = tmp_path / "cost.json"
+    path.write_text(json.dumps(cfg))
+    assert main(["cost", str(path), "--as-of", AS_OF]) == 0
+    got = read_table(spark, cfg["output"]["cost"]).drop("created_on", "updated_on")
+    assert rows(got) == rows(cost.cost_latest(read_table(spark, feed), None, None, AS_OF))
