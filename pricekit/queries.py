@@ -29,7 +29,7 @@ WATERMARK = "1998-01-01 00:00:00"
 EMEA = ("GB", "FR", "DE")
 AMS = ("US",)
 GT_COUNTRIES = ("C1", "C2", "C3", "C4")
-AUDIT_NOW = "2024-11-12 07:03:57"
+AUDIT_NOW = "2024-01-01 00:00:00"
 QC_TABLE = "ground_truth"
 QC_RULES = (
     (QC_TABLE, "*", "row_count", ">", 0, "ERROR"),
