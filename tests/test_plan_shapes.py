@@ -51,3 +51,9 @@ def test_expansion_adds_no_shuffle_over_the_adapter(spark):
         "1 AS year_month")
     plan = _plan(exchange_rates(rates))
     assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_latest_period_rows_use_an_equi_join(spark):
+    plan = _plan(entry_mod.queries()["cluster_latest_rows"](spark, SMALL))
+    assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
+    assert re.search(r"(SortMergeJoin|BroadcastHashJoin) .*LeftSemi", plan)
