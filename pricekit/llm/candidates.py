@@ -27,13 +27,13 @@ def verified_links(buckets: DataFrame, values: Callable[[DataFrame], DataFrame],
                    similarity: Callable[[Column, Column], Column], threshold: float) -> DataFrame:
     """Links ``(a, b, similarity)`` with ``similarity >= threshold`` of nodes that share a bucket.
 
-    ``buckets``: rows ``(key, node)``, each at most once. ``values`` turns rows
+    ``buckets``: rows ``(key, node)``. ``values`` turns rows
     ``(node)`` into rows ``(node, value)``; ``similarity`` of two values is exact.
     """
     within = Window.partitionBy("key")
     members = staged(buckets.select("key", "node", F.min("node").over(within).alias("lead"),
                                     F.max("node").over(within).alias("last"))
-                     .filter("lead < last").drop("last"), "members")
+                     .filter("lead < last").drop("last").distinct(), "members")
     known = staged(values(members.select("node").distinct()), "values")
 
     def compared(pairs: DataFrame, name: str) -> DataFrame:
