@@ -149,7 +149,7 @@ def _gain(giver: list[int], taker: list[int], room: int, size) -> tuple[int, tup
 def local_search(bins: list[list[int]], lengths: np.ndarray, capacity: int, patience: int = PATIENCE) -> list[list[int]]:
     """Empties the emptiest bins into others by moves and exchanges; each raises the sum of squared fills.
 
-    Ends when ``patience`` of the emptiest bins can't be emptied.
+    Ends when nothing can leave ``patience`` of the emptiest bins.
     """
     size = lengths.tolist()
     bins = [list(b) for b in bins]
@@ -160,6 +160,7 @@ def local_search(bins: list[list[int]], lengths: np.ndarray, capacity: int, pati
         victim = next((k for k in open_bins if k not in failed), None)
         if victim is None:
             break
+        changed = False
         for taker in reversed(open_bins):
             if taker == victim or fill[taker] < fill[victim] or len(bins[taker]) > 64 or len(bins[victim]) > 64:
                 continue
@@ -169,11 +170,14 @@ def local_search(bins: list[list[int]], lengths: np.ndarray, capacity: int, pati
                     break
                 bins[victim] = [i for i in bins[victim] if i not in out] + list(back)
                 bins[taker] = [i for i in bins[taker] if i not in back] + list(out)
+                changed = True
                 fill[victim] -= gain
                 fill[taker] += gain
             if not bins[victim]:
                 break
-        if bins[victim]:
+        if changed:  # the squared fills have grown, so this ends
+            failed.clear()
+        elif bins[victim]:
             failed.add(victim)
         open_bins = sorted((k for k in open_bins if bins[k] and fill[k] < capacity), key=lambda k: fill[k])
     return [b for b in bins if b]

@@ -7,11 +7,12 @@ sorted to that depth:
    Any two suffixes have sampled positions at one common distance of less than 133.
 2. Triples: each sampled position is named by the three blocks that follow it
    (together ``length`` - 132 bytes or less). Names are sorted in shards, and
-   equal neighbours are found. A repeated string contains at its samples
-   only names that occur elsewhere too, so all other suffixes are settled.
-3. Recursion and merge: the remaining suffixes, sampled or not, are those all of
-   whose samples have repeated names; they are named to the full depth, sorted in shards, and
-   neighbours whose prefixes are equal are marked in both places.
+   equal neighbours are found. Two equal strings of ``length`` bytes have a
+   sample at a common distance, whose names are equal, so all suffixes
+   without a repeated name at one of their samples are settled.
+3. Recursion and merge: the remaining suffixes, sampled or not, are named to
+   the full depth, sorted in shards, and neighbours whose prefixes are equal
+   are marked in both places.
 
 Names are 64-bit hashes, sorted as numbers instead of letters: equality of
 prefixes is what counts, not their alphabetic order. Sorted runs of names
@@ -63,13 +64,12 @@ def sample(size: int, ends: np.ndarray, length: int) -> np.ndarray:
 
 
 def remaining(size: int, ends: np.ndarray, sampled: np.ndarray, repeated: np.ndarray, length: int) -> np.ndarray:
-    """Positions of suffixes all of whose samples have repeated names and whose texts are long enough."""
-    wrong = np.zeros(size + PERIOD + 1, np.int32)
-    wrong[sampled[~repeated] + 1] = 1
-    wrong = np.cumsum(wrong, dtype=np.int32)
+    """Positions of suffixes one of whose samples has a repeated name and whose texts are long enough."""
+    hits = np.zeros(size + PERIOD + 1, np.int32)
+    hits[sampled[repeated] + 1] = 1
+    hits = np.cumsum(hits, dtype=np.int32)
     at = np.arange(max(0, size - length + 1))
-    clean = wrong[at + PERIOD] == wrong[at]
-    at = at[clean]
+    at = at[hits[at + PERIOD] > hits[at]]
     return at[at + length <= ends[np.searchsorted(ends, at, side="right")]] if len(at) else at
 
 
