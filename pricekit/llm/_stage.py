@@ -30,9 +30,9 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once under the shared folder and read back."""
+def staged(df: DataFrame, name: str, texts: bool = False) -> DataFrame:
+    """``df`` written once under the shared folder and read back; ``texts``: whole texts, packed closer."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd" if texts else "snappy").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

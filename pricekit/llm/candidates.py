@@ -34,7 +34,7 @@ def verified_links(buckets: DataFrame, values: Callable[[DataFrame], DataFrame],
     members = staged(buckets.select("key", "node", F.min("node").over(within).alias("lead"),
                                     F.max("node").over(within).alias("last"))
                      .filter("lead < last").drop("last").distinct(), "members")
-    known = staged(values(members.select("node").distinct()), "values")
+    known = staged(values(members.select("node").distinct()), "values", texts=True)
 
     def compared(pairs: DataFrame, name: str) -> DataFrame:
         return staged(pairs.join(known.select(F.col("node").alias("a"), F.col("value").alias("va")), "a")

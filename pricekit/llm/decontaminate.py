@@ -99,6 +99,6 @@ def leaks(docs: DataFrame, benchmark: DataFrame, row: str = "row", text: Column
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that leak no benchmark item."""
-    base = staged(docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc")), "documents")
+    base = staged(docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc")), "documents", texts=True)
     found = leaks(base, benchmark, "row", F.col(f"doc.{text_col}")).select("row").distinct()
     return base.join(found, "row", "left_anti").select("doc.*")

@@ -177,7 +177,7 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """The staged rows ``(row, doc, lines)`` and, of those that lose lines, ``(row, removed)``: places from 0."""
     text = F.col(f"doc.{text_col}")
     base = staged(docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc"))
-                  .withColumn("lines", _line_names()(text)), "documents")
+                  .withColumn("lines", _line_names()(text)), "documents", texts=True)
     buckets = line_buckets(base.select(text.alias("text")), "text", shingle, bands, rows)
     score = jaccard_udf(shingle)
 

@@ -152,7 +152,7 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     text = F.col(f"doc.{text_col}")
     base = staged(docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc"))
                   .withColumn("digest", F.when(F.length(text) > 0, F.md5(text)))
-                  .withColumn("bands", bands_udf(shingle, bands, rows)(text)), "documents")
+                  .withColumn("bands", bands_udf(shingle, bands, rows)(text)), "documents", texts=True)
     small = base.select("row", "digest", "bands")
     copies = small.filter("digest IS NOT NULL").groupBy("digest").agg(F.min("row").alias("node"))
     placed = staged(small.join(copies, "digest", "left")
