@@ -64,5 +64,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"), texts=True)
     return docs
