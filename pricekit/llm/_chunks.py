@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from pricekit.llm import _hash
 
-CHUNK = 4 << 20
+CHUNK = 3 << 20
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -52,7 +52,7 @@ def chunks_of(docs: DataFrame, id_col: str, text_col: str, most: int = CHUNK) ->
                 ids = ids.combine_chunks()
             yield pa.RecordBatch.from_arrays(
                 [pa.array([(task << 32) + number]), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
-                 pa.array([np.diff(off)], pa.list_(pa.int64())), pa.array([zstandard.compress(data.tobytes(), 1)], pa.binary()),
+                 pa.array([np.diff(off)], pa.list_(pa.int64())), pa.array([zstandard.compress(data.tobytes(), 3)], pa.binary()),
                  pa.array([len(data)], pa.int64())], ["chunk", "ids", "sizes", "data", "bytes"])
             number += 1
     kind = docs.schema[id_col].dataType.simpleString()
@@ -60,6 +60,13 @@ def chunks_of(docs: DataFrame, id_col: str, text_col: str, most: int = CHUNK) ->
         cut, f"chunk bigint, ids array<{kind}>, sizes array<bigint>, data binary, bytes bigint")
 
 
+def each_row(batches):
+    """Rows of record batches as dicts, one at a time."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield batch.slice(k, 1).to_pylist()[0]
+
+
 def open_chunk(row: dict) -> tuple[np.ndarray, np.ndarray]:
     import zstandard
     data = np.frombuffer(zstandard.decompress(row["data"], max_output_size=max(1, row["bytes"])), np.uint8)
