@@ -5,9 +5,8 @@ Environment: ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS``
 with the ``noop`` sink (all rows produced, nothing collected to the driver).
 
 Besides the registered queries, comparison plans are timed (keys with
-``__``, not part of the total): the source system's shape of the cluster
-job (window + self left join + dropDuplicates) and of the watermark stamp
-(a window over the whole relation, i.e. one partition); and the steady-state
+``__``, not part of the total): the watermark stamp as a window over the
+merged rows (one partition) instead of a subquery; and the steady-state
 merge step against a previous cost table stored bucketed by its key, once as
 a one-to-one join that reads the buckets in place and once with the window
 form that re-shuffles the table.
@@ -27,8 +26,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import SparkSession, Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from pricekit.plans import cluster, cost  # noqa: E402
-from pricekit.queries import AMS, AS_OF, EMEA, QUERIES  # noqa: E402
+from pricekit.plans import cost  # noqa: E402
+from pricekit.queries import AS_OF, QUERIES  # noqa: E402
 from pricekit.session import apply_defaults  # noqa: E402
 from pricekit.sources import adapters  # noqa: E402
 
@@ -36,29 +35,10 @@ HEADLINE = ("cost_full_load", "cost_merge_latest", "cluster_latest", "fx_expand"
             "gt_enrich_family", "qc_metrics")
 
 
-def cluster_join_dedup(spark, sf_dir):
-    """The source system's plan for the cluster job, for comparison only."""
-    feeds = adapters.cluster_feeds(adapters.loader(spark, sf_dir))
-    u = cluster.union_clusters(feeds, EMEA, AMS, distinct=True)
-    w = Window.partitionBy("SKU", "country_code").orderBy(
-        F.when(F.col("PATH").isNotNull(), F.col("fiscal_quarter")).desc()
-    ).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ranked = u.withColumn("fq_last", F.first("fiscal_quarter").over(w))
-    latest = ranked.filter(F.col("fiscal_quarter") == F.col("fq_last")).drop("fq_last")
-    old, new = u.alias("old"), latest.alias("latest")
-    j = old.join(new, (F.col("old.SKU") == F.col("latest.SKU"))
-                 & (F.col("old.country_code") == F.col("latest.country_code")), "left")
-    return j.select(F.col("old.SKU").alias("product_number"), F.col("latest.CLUSTER").alias("cluster_id"),
-                    F.col("old.PATH").alias("cluster_name"), F.col("latest.cluster_size"),
-                    F.col("old.country_code"), F.col("latest.fiscal_quarter").alias("latest_fiscal_quarter"),
-                    F.col("latest.PATH").alias("latest_cluster_name")
-                    ).dropDuplicates(["product_number", "country_code"])
-
-
 def stamp_by_window(spark, sf_dir):
     """Full-load cost job with the stamp as a window over everything (one partition)."""
     feed = adapters.cost_feed(adapters.loader(spark, sf_dir))
-    df = cost.cost_latest(feed, None, None, AS_OF)
+    df = cost.cost_merged(feed, None, None, AS_OF)
     return df.withColumn("load_upto", F.max("load_upto").over(Window.partitionBy()))
 
 
@@ -93,8 +73,7 @@ def merge_window_bucketed(spark, sf_dir):
     return cost.cost_merged(feed, spark.table(name), mark, AS_OF, method="window")
 
 
-VARIANTS = {"cluster_latest__join_dedup": cluster_join_dedup,
-            "cost_full_load__window_stamp": stamp_by_window,
+VARIANTS = {"cost_full_load__window_stamp": stamp_by_window,
             "cost_merge_step__join_on_bucketed_target": merge_join_bucketed,
             "cost_merge_step__window_on_bucketed_target": merge_window_bucketed}
 

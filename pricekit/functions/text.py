@@ -36,6 +36,12 @@ def parse_date_text(c: Column | str) -> Column:
     return F.coalesce(c.try_cast("date"), F.try_to_date(c, DAY_MONTH_YEAR))
 
 
+def parse_timestamp_text(c: Column | str) -> Column:
+    """Text of a timestamp or date, ISO or ``dd-MMM-yy`` → TIMESTAMP; anything else → NULL."""
+    c = as_col(c)
+    return F.coalesce(c.try_cast("timestamp"), F.try_to_date(c, DAY_MONTH_YEAR).cast("timestamp"))
+
+
 def to_amount(c: Column | str) -> Column:
     """Amount text (or number) → DOUBLE; unparsable text such as ``n/a`` → NULL."""
     return as_col(c).try_cast("double")

@@ -2,24 +2,21 @@
 
 Design notes (scale):
 
-* ``latest_per_key`` defaults to ``row_number() = 1`` over a window that
+* ``latest_per_key`` is ``row_number() = 1`` over a window that
   Catalyst plans as a *partial* ``WindowGroupLimit`` before the shuffle and
   a final one after it: every map task keeps only its best row per key, so
   a key holding a third of all rows is cut down to one row per input
-  partition before anything moves, and the sort + limit run in generated
-  code. ``method="aggregate"`` keeps, per key, the greatest
-  ``struct(order..., tie_break..., payload...)`` with a partial + final
-  aggregation (one shuffle, also combined map-side, but Spark runs struct
-  ``max`` as an interpreted sort aggregate).
-* Both forms order by the declared order, then the tie-break, then every
-  other column, so the chosen row is fully determined even when the caller's
-  order has ties; NULL sorts last for descending and first for ascending,
-  exactly as struct ordering (NULL smallest) does for ``max``/``min``.
+  partition before anything moves, and the sort + limit run in generated code.
+* Rows go by the declared order, then the tie-break (descending), then every
+  other column (descending), so the chosen row is fully determined even when
+  the caller's order has ties; NULL sorts last for descending and first for
+  ascending. Columns that have no order (maps, variants) are refused unless
+  the caller declares order and tie-break total.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,8 +25,6 @@ from pyspark.sql import types as T
 Order = Sequence[str | tuple[str, str]]
 
 _BEST = "__pricekit_best"
-_OK = "__pricekit_ok"
-_SRC = "__pricekit_src"
 
 
 def _order_spec(order: Order) -> list[tuple[str, bool]]:
@@ -44,13 +39,12 @@ def _order_spec(order: Order) -> list[tuple[str, bool]]:
 
 
 def _ranking_struct(df: DataFrame, keys: Sequence[str], order: Order,
-                    tie_break: Sequence[str], extra: Sequence[Column] = ()) -> Column:
-    """struct(order fields, tie-break fields, every non-key column, extras)."""
+                    tie_break: Sequence[str]) -> Column:
+    """struct(order fields, tie-break fields, every non-key column)."""
     spec = _order_spec(order)
     fields = [F.col(name).alias(f"__o{i}") for i, (name, _) in enumerate(spec)]
     fields += [F.col(name).alias(f"__t{i}") for i, name in enumerate(tie_break)]
     fields += [F.col(c) for c in df.columns if c not in keys]
-    fields += list(extra)
     return F.struct(*fields)
 
 
@@ -59,28 +53,22 @@ def _unpack(df: DataFrame, keys: Sequence[str], columns: Sequence[str], best: st
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Order,
-                   tie_break: Sequence[str] = (), method: str = "window") -> DataFrame:
-    """One row per ``keys``: the first by ``order`` then ``tie_break`` (both descending).
+                   tie_break: Sequence[str] = (), total: bool = False) -> DataFrame:
+    """One row per ``keys``: the first by ``order``, then ``tie_break`` and the other columns, both descending.
 
     ``order`` items are column names (descending) or ``(name, "asc"|"desc")``.
-    NULL sorts last for descending and first for ascending, as in Spark SQL.
+    ``total=True`` declares that order and tie-break leave no ties, so that
+    columns without an order may be present.
     """
     keys = list(keys)
-    spec = _order_spec(order)
-    directions = {d for _, d in spec}
-    if method == "aggregate" and len(directions) <= 1:
-        pick = F.min if directions == {False} else F.max
-        best = (df.groupBy(*keys)
-                .agg(pick(_ranking_struct(df, keys, order, tie_break)).alias(_BEST)))
-        return _unpack(best, keys, df.columns)
-    if method not in ("window", "aggregate"):
-        raise ValueError(f"unknown method {method!r}")
-    desc = not directions or directions == {True}
-    rest = [c for c in df.columns if c not in keys and _orderable(df.schema[c].dataType)]
+    rest = [c for c in df.columns if c not in keys]
+    bad = [c for c in rest if not _orderable(df.schema[c].dataType)]
+    if bad and not total:
+        raise ValueError(f"columns without an order can't break ties: {bad}; declare the order total")
     w = Window.partitionBy(*keys).orderBy(
-        *[F.col(n).desc() if d else F.col(n).asc() for n, d in spec],
-        *[F.col(t).desc() if desc else F.col(t).asc() for t in tie_break],
-        *[F.col(c).desc() if desc else F.col(c).asc() for c in rest])
+        *[F.col(n).desc() if d else F.col(n).asc() for n, d in _order_spec(order)],
+        *[F.col(t).desc() for t in tie_break],
+        *[F.col(c).desc() for c in rest if c not in bad])
     rn = "__pricekit_rn"
     return df.withColumn(rn, F.row_number().over(w)).filter(F.col(rn) == 1).drop(rn)
 
@@ -102,7 +90,8 @@ def dedupe_keys(df: DataFrame, keys: Sequence[str], order: Order = ()) -> DataFr
 
 def merge_latest(new: DataFrame, previous: DataFrame | None, keys: Sequence[str],
                  order: Order, tie_break: Sequence[str] = (),
-                 keep: Column | None = None, method: str = "window") -> DataFrame:
+                 keep: Column | None = None, method: str = "window",
+                 stage: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Top-1 per key of ``new``, merged with ``previous``, top-1 again.
 
     Equivalent to::
@@ -116,9 +105,7 @@ def merge_latest(new: DataFrame, previous: DataFrame | None, keys: Sequence[str]
 
     ``method="window"``: two ``row_number`` windows, each reduced map-side by
     a partial ``WindowGroupLimit``; the second shuffle only moves the batch
-    winners and the previous rows. ``method="aggregate"``: both steps in ONE
-    partial + final aggregation — per key the best new row and the best kept
-    previous row, then the greater survivor.
+    winners and the previous rows.
 
     ``method="join"`` requires ``previous`` to hold at most one row per key
     (it is this function's own earlier output): batch winners and previous
@@ -126,7 +113,8 @@ def merge_latest(new: DataFrame, previous: DataFrame | None, keys: Sequence[str]
     the two survives. When ``previous`` is a table bucketed by ``keys``, the
     join reuses its bucketing and only the batch is shuffled — the target is
     never re-shuffled, however large it grows. Rows with a NULL key part
-    (which an equi-join cannot match) go through the window form.
+    (which an equi-join cannot match) go through the window form; ``stage``
+    writes the batch winners once, as both branches read them.
     """
     keys = list(keys)
     spec = _order_spec(order)
@@ -143,33 +131,20 @@ def merge_latest(new: DataFrame, previous: DataFrame | None, keys: Sequence[str]
             batch = latest_per_key(batch, keys, order, tie_break)
         return batch
     if method == "join":
-        return _merge_by_join(new, previous, keys, order, tie_break, keep)
-    if method != "aggregate":
-        raise ValueError(f"unknown method {method!r}")
-    tagged = new.withColumn(_SRC, F.lit(1))
-    if previous is not None:
-        types = dict(new.dtypes)
-        prev = previous.select(*[F.col(c).cast(types[c]).alias(c) for c in cols])
-        tagged = tagged.unionByName(prev.withColumn(_SRC, F.lit(0)))
-    payload = tagged.drop(_SRC)
-    rank = _ranking_struct(payload, keys, order, tie_break, extra=[F.coalesce(keep, F.lit(False)).alias(_OK)])
-    is_new = F.col(_SRC) == 1
-    best = tagged.groupBy(*keys).agg(
-        F.max(F.when(is_new, rank)).alias("__b"),
-        F.max(F.when(~is_new & F.coalesce(keep, F.lit(False)), rank)).alias("__p"))
-    batch_winner = F.when(F.col(f"__b.{_OK}"), F.col("__b"))
-    winner = F.greatest(batch_winner, F.col("__p")) if previous is not None else batch_winner
-    best = best.select(*keys, winner.alias(_BEST)).filter(F.col(_BEST).isNotNull())
-    return _unpack(best, keys, cols)
+        return _merge_by_join(new, previous, keys, order, tie_break, keep, stage)
+    raise ValueError(f"unknown method {method!r}")
 
 
 def _merge_by_join(new: DataFrame, previous: DataFrame | None, keys: list[str], order: Order,
-                   tie_break: Sequence[str], keep: Column) -> DataFrame:
+                   tie_break: Sequence[str], keep: Column,
+                   stage: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     cols = new.columns
     kept = F.coalesce(keep, F.lit(False))
     batch = latest_per_key(new, keys, order, tie_break).filter(kept)
     if previous is None:
         return batch
+    if stage is not None:
+        batch = stage(batch)
     types = dict(new.dtypes)
     prev = previous.select(*[F.col(c).cast(types[c]).alias(c) for c in cols]).filter(kept)
     bad = [c for c in cols if c not in keys and not _orderable(new.schema[c].dataType)]

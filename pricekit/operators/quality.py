@@ -1,12 +1,12 @@
 """Data-quality metrics, rule checks and the write gate.
 
-Metrics of a whole DataFrame come from ONE aggregation (one scan): row
-count, per column NULL count, exact distinct count, and min / max of the
-numeric columns. Spark plans the distinct counts with an ``Expand`` and a
-partial aggregation on (column, value), so a value that fills a third of
-the table is reduced map-side before the shuffle. The result is a long
-table ``(table_name, column_name, metric, value)`` with a handful of rows
-per column — the only thing the driver ever sees is the final status.
+Metrics come from ONE aggregation (one scan): row count, per column NULL
+count, exact distinct count, min and max. Only the asked (column, metric)
+pairs are computed: exact distinct counts need an ``Expand`` and a shuffle of
+all distinct (column, value) pairs, so a rule set without them has neither;
+``approx_distinct_count`` is a metric of its own without that shuffle. The result is a long
+table ``(table_name, column_name, metric, value, value_text)``: numbers in
+``value``; min and max of dates, timestamps and strings as (ISO) text.
 
 Rules and statuses are this library's own contract: a rule is
 ``(table_name, column_name, metric, op, threshold, severity)``; status is
@@ -26,11 +26,14 @@ from pyspark.sql import types as T
 ROW_COUNT = "row_count"
 NULL_COUNT = "null_count"
 DISTINCT_COUNT = "distinct_count"
+APPROX_DISTINCT = "approx_distinct_count"
 MIN = "min"
 MAX = "max"
 TABLE_LEVEL = "*"
 OPS = ("<", "<=", "=", ">=", ">", "!=")
 ERROR, WARN, PASS = "ERROR", "WARN", "PASS"
+METRICS = (ROW_COUNT, NULL_COUNT, DISTINCT_COUNT, APPROX_DISTINCT, MIN, MAX)
+SEVERITIES = (ERROR, WARN)
 
 RULE_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType()),
@@ -39,6 +42,7 @@ RULE_SCHEMA = T.StructType([
     T.StructField("op", T.StringType()),
     T.StructField("threshold", T.DoubleType()),
     T.StructField("severity", T.StringType()),
+    T.StructField("threshold_text", T.StringType()),
 ])
 
 
@@ -50,38 +54,67 @@ def _numeric(dtype: T.DataType) -> bool:
     return isinstance(dtype, T.NumericType)
 
 
-def qc_metrics(df: DataFrame, table: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """Long metrics table of ``df`` (all columns unless ``columns`` is given)."""
+def _as_text(dtype: T.DataType) -> bool:
+    return isinstance(dtype, (T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType))
+
+
+def all_pairs(df: DataFrame, columns: Sequence[str] | None = None) -> list[tuple[str, str]]:
+    """Every (column, metric) that applies, but approximate distinct counts and min and max of strings:
+    an aggregation with those can't run by hash, so they are computed where asked for."""
+    pairs = [(TABLE_LEVEL, ROW_COUNT)]
+    for field in df.schema.fields:
+        if columns is None or field.name in columns:
+            pairs += [(field.name, NULL_COUNT), (field.name, DISTINCT_COUNT)]
+            if _numeric(field.dataType) or _as_text(field.dataType) and not isinstance(field.dataType, T.StringType):
+                pairs += [(field.name, MIN), (field.name, MAX)]
+    return pairs
+
+
+def rule_pairs(df: DataFrame, rules: Sequence[Sequence]) -> list[tuple[str, str]]:
+    """The (column, metric) pairs that some rule names and ``df`` has."""
+    wanted = {(r[1], r[2]) for r in rules}
+    strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    applies = {*all_pairs(df), *((c, APPROX_DISTINCT) for c in df.columns), *((c, m) for c in strings for m in (MIN, MAX))}
+    return sorted(wanted & applies)
+
+
+def qc_metrics(df: DataFrame, table: str, pairs: Sequence[tuple[str, str]] | None = None) -> DataFrame:
+    """Long metrics table of ``df``: the given (column, metric) pairs, by default all."""
     fields = {f.name: f.dataType for f in df.schema.fields}
-    columns = list(columns) if columns is not None else list(fields)
-    aggs = [F.count(F.lit(1)).cast("double").alias("m0")]
-    labels = [(TABLE_LEVEL, ROW_COUNT)]
-    for c in columns:
-        col = F.col(c)
-        aggs.append(F.count_if(col.isNull()).cast("double").alias(f"m{len(labels)}"))
-        labels.append((c, NULL_COUNT))
-        aggs.append(F.count_distinct(col).cast("double").alias(f"m{len(labels)}"))
-        labels.append((c, DISTINCT_COUNT))
-        if _numeric(fields[c]):
-            aggs.append(F.min(col).cast("double").alias(f"m{len(labels)}"))
-            labels.append((c, MIN))
-            aggs.append(F.max(col).cast("double").alias(f"m{len(labels)}"))
-            labels.append((c, MAX))
-    wide = df.agg(*aggs)
-    rows = F.array(*[
-        F.struct(F.lit(col).alias("column_name"), F.lit(metric).alias("metric"),
-                 F.col(f"m{i}").alias("value"))
-        for i, (col, metric) in enumerate(labels)])
-    return (wide.select(F.inline(rows))
-                .select(F.lit(table).alias("table_name"), "column_name", "metric", "value"))
+    pairs = list(pairs) if pairs is not None else all_pairs(df)
+    aggs, texts = [F.count(F.lit(1)).alias("rows")], []
+    for i, (name, metric) in enumerate(pairs):
+        col = F.col("`" + name + "`") if name != TABLE_LEVEL else None
+        one = {ROW_COUNT: lambda: F.count(F.lit(1)), NULL_COUNT: lambda: F.count_if(col.isNull()),
+               DISTINCT_COUNT: lambda: F.count_distinct(col), APPROX_DISTINCT: lambda: F.approx_count_distinct(col),
+               MIN: lambda: F.min(col), MAX: lambda: F.max(col)}[metric]()
+        text = metric in (MIN, MAX) and _as_text(fields[name])
+        aggs.append(one.cast("string" if text else "double").alias(f"m{i}"))
+        texts.append(text)
+    none = {True: F.lit(None).cast("string"), False: F.lit(None).cast("double")}
+    rows = [F.struct(F.lit(name).alias("column_name"), F.lit(metric).alias("metric"),
+                     (none[False] if text else F.col(f"m{i}")).alias("value"),
+                     (F.col(f"m{i}") if text else none[True]).alias("value_text"))
+            for i, ((name, metric), text) in enumerate(zip(pairs, texts))]
+    kind = "array<struct<column_name:string,metric:string,value:double,value_text:string>>"
+    return (df.agg(*aggs).select(F.inline(F.array(*rows).cast(kind)))
+            .select(F.lit(table).alias("table_name"), "column_name", "metric", "value", "value_text"))
 
 
 def rules_frame(spark: SparkSession, rules: Sequence[Sequence]) -> DataFrame:
-    """Rules given as tuples → DataFrame of ``RULE_SCHEMA``."""
+    """Rules given as tuples → DataFrame of ``RULE_SCHEMA``.
+
+    A threshold given as text is compared with the text of a date, timestamp or string.
+    An unknown operator, metric or severity is refused: such a rule could not block a write.
+    """
+    out = []
     for r in rules:
-        if r[3] not in OPS:
-            raise ValueError(f"unknown rule operator {r[3]!r}")
-    return spark.createDataFrame([tuple(r[:4]) + (float(r[4]), r[5]) for r in rules], RULE_SCHEMA)
+        for value, known, what in ((r[3], OPS, "operator"), (r[2], METRICS, "metric"), (r[5], SEVERITIES, "severity")):
+            if value not in known:
+                raise ValueError(f"unknown rule {what} {value!r}")
+        text = isinstance(r[4], str)
+        out.append((*r[:4], None if text else float(r[4]), r[5], r[4] if text else None))
+    return spark.createDataFrame(out, RULE_SCHEMA)
 
 
 def qc_check(metrics: DataFrame, rules: DataFrame) -> DataFrame:
@@ -89,13 +122,18 @@ def qc_check(metrics: DataFrame, rules: DataFrame) -> DataFrame:
 
     Both sides are tiny (a few rows per column), whatever the data size.
     """
-    m = metrics.select("table_name", "column_name", "metric", "value")
+    m = metrics.select("table_name", "column_name", "metric", "value", "value_text")
     joined = rules.join(m, on=["table_name", "column_name", "metric"], how="left")
-    v, t, op = F.col("value"), F.col("threshold"), F.col("op")
-    verdict = (F.when(op == "<", v < t).when(op == "<=", v <= t).when(op == "=", v == t)
-               .when(op == ">=", v >= t).when(op == ">", v > t).when(op == "!=", v != t))
+    op = F.col("op")
+
+    def verdict(v, t):
+        return (F.when(op == "<", v < t).when(op == "<=", v <= t).when(op == "=", v == t)
+                .when(op == ">=", v >= t).when(op == ">", v > t).when(op == "!=", v != t))
+
+    passed = F.when(F.col("threshold_text").isNull(), verdict(F.col("value"), F.col("threshold"))).otherwise(
+        verdict(F.col("value_text"), F.col("threshold_text")))
     return joined.select("table_name", "column_name", "metric", "value", "op", "threshold",
-                         "severity", F.coalesce(verdict, F.lit(False)).alias("passed"))
+                         "severity", F.coalesce(passed, F.lit(False)).alias("passed"))
 
 
 def qc_status(results: DataFrame) -> DataFrame:
@@ -108,28 +146,22 @@ def qc_status(results: DataFrame) -> DataFrame:
         F.count_if(failed).alias("failed_rules"))
 
 
-def run_qc(df: DataFrame, table: str, rules: DataFrame,
-           columns: Sequence[str] | None = None) -> tuple[DataFrame, str]:
-    """Metrics → checks → status; returns the results frame and the status text."""
-    results = qc_check(qc_metrics(df, table, columns), rules)
-    status = qc_status(results).first()["status"]
-    return results, status
-
-
-def rule_columns(df: DataFrame, rules: Sequence[Sequence]) -> list[str]:
-    """Columns of ``df`` that some rule names: only those need metrics."""
-    named = {r[1] for r in rules}
-    return [c for c in df.columns if c in named]
+def run_qc(df: DataFrame, table: str, rules: Sequence[Sequence]) -> tuple[DataFrame, str]:
+    """Metrics of the rules → checks → status; returns the results (one row a rule, computed once) and the status."""
+    spark = df.sparkSession
+    lazy = qc_check(qc_metrics(df, table, rule_pairs(df, rules)), rules_frame(spark, rules))
+    results = spark.createDataFrame(lazy.collect(), lazy.schema)
+    return results, qc_status(results).first()["status"]
 
 
 def check_before_write(df: DataFrame, table: str, rules: Sequence[Sequence] = ()) -> str:
-    """Pre-commit check: QC of the result about to be written; raises on ERROR.
+    """Pre-commit check: QC of the staged result about to be published; raises on ERROR.
 
     No rules → ``PASS`` without touching the data.
     """
     if not rules:
         return PASS
-    _, status = run_qc(df, table, rules_frame(df.sparkSession, rules), rule_columns(df, rules))
+    _, status = run_qc(df, table, rules)
     gate(status)
     return status
 

@@ -8,6 +8,7 @@ to 19yy (hence +100 years below 2000); DuckDB needs explicit NULL ordering.
 
 from __future__ import annotations
 
+from pricekit.plans.cost import COST_COLUMNS
 from pricekit.queries import AS_OF, AUDIT_NOW, QC_RULES, WATERMARK
 
 _AS_OF = f"DATE '{AS_OF}'"
@@ -61,10 +62,7 @@ LANDED = (f"CAST({_amount('matrl_cost')} * (CAST(1.0 AS DOUBLE) + {_amount('mala
           f" + {_amount('vwrty_cost')} + {_amount('vtrdx_cost')} + {_amount('vrlty_cost')}"
           f" + {_amount('ovblc_cost')} + {_amount('ofxdc_cost')} AS DOUBLE)")
 
-COST_COLS = ("product_id, start_date, prod_line, country_code, cost_status, output_currency, status, "
-             "matrl_cost, vtrdx_cost, malad_cost, vwrty_cost, vrlty_cost, ovblc_cost, ofxdc_cost, "
-             "total_cost, mcc, spn, latest_timestamp, price_descriptor, mot, geo_code, geo_level, "
-             "country_name, region, load_upto")
+COST_COLS = ", ".join(COST_COLUMNS)
 
 ORDER_LATEST = ("start_date DESC NULLS LAST, latest_timestamp DESC NULLS LAST, "
                 "mcc DESC NULLS LAST, spn DESC NULLS LAST")
@@ -72,10 +70,10 @@ ORDER_LATEST = ("start_date DESC NULLS LAST, latest_timestamp DESC NULLS LAST, "
 
 def _valid(source: str, lower_mark: str | None) -> str:
     mark = f" AND inserted_on > {lower_mark}" if lower_mark else ""
-    return f"""SELECT product_id, start_date, prod_line, country_code, cost_status, output_currency, status,
-  matrl_cost, vtrdx_cost, malad_cost, vwrty_cost, vrlty_cost, ovblc_cost, ofxdc_cost,
-  TRY_CAST(total_cost AS DOUBLE) AS total_cost, mcc, spn, {_norm_ts('latest_timestamp')} AS latest_timestamp,
-  price_descriptor, mot, geo_code, geo_level, country_name, region, inserted_on AS load_upto
+    computed = {"total_cost": "TRY_CAST(total_cost AS DOUBLE)", "latest_timestamp": _norm_ts("latest_timestamp"),
+                "load_upto": "inserted_on"}
+    cols = ", ".join(f"{computed[c]} AS {c}" if c in computed else c for c in COST_COLUMNS)
+    return f"""SELECT {cols}
 FROM {source}
 WHERE cost_status NOT LIKE 'NOT%' AND TRY_CAST(matrl_cost AS DOUBLE) > 0
   AND start_date < {_AS_OF}{mark}"""
@@ -245,14 +243,13 @@ _GT = f"gt AS (SELECT * FROM ({GROUND_TRUTH}) WHERE country_code IN ('C1', 'C2',
 
 
 def _metric_rows() -> str:
-    parts = ["SELECT '*' AS column_name, 'row_count' AS metric, CAST(count(*) AS DOUBLE) AS value FROM gt"]
+    parts = ["SELECT '*' AS column_name, 'row_count' AS metric, CAST(count(*) AS DOUBLE) AS value, CAST(NULL AS VARCHAR) AS value_text FROM gt"]
     for c, numeric in (("product_number", False), ("country_code", False), ("l_orderkey", True),
                        ("l_linenumber", True), ("price", True)):
-        parts.append(f"SELECT '{c}', 'null_count', CAST(count(*) FILTER (WHERE {c} IS NULL) AS DOUBLE) FROM gt")
-        parts.append(f"SELECT '{c}', 'distinct_count', CAST(count(DISTINCT {c}) AS DOUBLE) FROM gt")
-        if numeric:
-            parts.append(f"SELECT '{c}', 'min', CAST(min({c}) AS DOUBLE) FROM gt")
-            parts.append(f"SELECT '{c}', 'max', CAST(max({c}) AS DOUBLE) FROM gt")
+        parts.append(f"SELECT '{c}', 'null_count', CAST(count(*) FILTER (WHERE {c} IS NULL) AS DOUBLE), NULL FROM gt")
+        parts.append(f"SELECT '{c}', 'distinct_count', CAST(count(DISTINCT {c}) AS DOUBLE), NULL FROM gt")
+        for m in ("min", "max") if numeric else ():
+            parts.append(f"SELECT '{c}', '{m}', CAST({m}({c}) AS DOUBLE), NULL FROM gt")
     return " UNION ALL ".join(parts)
 
 
@@ -284,7 +281,7 @@ WHERE is_latest AND from_currency_code = 'USD' AND use_case IN ('pricing - IPG',
     "gt_country_filter": f"WITH {_GT} SELECT * FROM gt",
     "gt_enrich_family": (f"WITH {_GT}, pd AS ({PRODUCT_DIM}) SELECT gt.*, pd.family FROM gt "
                          "LEFT JOIN pd ON gt.product_number = pd.product_number"),
-    "qc_metrics": f"WITH {_GT}, {_METRICS} SELECT table_name, column_name, metric, value FROM m",
+    "qc_metrics": f"WITH {_GT}, {_METRICS} SELECT table_name, column_name, metric, value, value_text FROM m",
     "qc_results": f"WITH {_GT}, {_METRICS}, {_RULES}, {_RESULTS} SELECT * FROM results",
     "qc_status": (f"WITH {_GT}, {_METRICS}, {_RULES}, {_RESULTS} SELECT "
                   "CASE WHEN bool_or(NOT passed AND severity = 'ERROR') THEN 'ERROR' "
@@ -292,7 +289,36 @@ WHERE is_latest AND from_currency_code = 'USD' AND use_case IN ('pricing - IPG',
                   "count(*) FILTER (WHERE NOT passed) AS failed_rules FROM results"),
 }
 
+def _yy(c: str) -> str:
+    """What ``dd-MMM-yy`` text of a date is read back as: Spark's ``yy`` is always 20yy."""
+    return f"CASE WHEN year({c}) < 2000 THEN {c} + INTERVAL 100 YEAR ELSE {c} END"
+
+
+# jobs and sinks: what the written tables must hold
+_TEXT_FEED = f"""SELECT * REPLACE (
+  CASE WHEN split_part(mcc, '-', 2) = '4' THEN NULL ELSE product_id END AS product_id,
+  CASE WHEN country_name <> 'FRANCE' THEN country_name END AS country_name,
+  CASE split_part(mcc, '-', 2) WHEN '1' THEN CAST({_yy('start_date')} AS DATE) WHEN '2' THEN NULL
+       ELSE start_date END AS start_date,
+  CASE split_part(mcc, '-', 2) WHEN '5' THEN NULL WHEN '6' THEN {_yy('inserted_on')}
+       ELSE inserted_on END AS inserted_on) FROM feed"""
+JOB_SQL = {
+    "cost_text_feed": f"WITH {_FEED_CTE}, texts AS ({_TEXT_FEED}) {_valid('texts', _WM)}",
+    "cost_job_two_runs": COST_SQL["cost_merge_latest"],
+    "cluster_job": CLUSTER_SQL["cluster_latest"],
+    "rates_job": OTHER_SQL["fx_expand"],
+    "geo_job": OTHER_SQL["geo_snapshot"],
+    "ground_truth_job": OTHER_SQL["gt_enrich_family"],
+    "qc_gate_outcome": f"""WITH {_GT}, pd AS ({PRODUCT_DIM})
+SELECT 'failing rule' AS rule, 'FAILED' AS status, 'ERROR' AS log_level, CAST(0 AS BIGINT) AS rows_written
+UNION ALL SELECT 'passing rule', 'SUCCESS', 'INFO',
+  (SELECT count(*) FROM gt LEFT JOIN pd ON gt.product_number = pd.product_number)""",
+    "dedupe_product": (f"SELECT product_number, max(family) AS family FROM ({PRODUCT_DIM}) GROUP BY product_number"),
+    "write_append_ignore": f"WITH p AS ({PRODUCT_DIM}) SELECT * FROM p UNION ALL SELECT product_number, upper(family) FROM p",
+    "audit_roundtrip": GROUND_TRUTH,
+}
+
 # the join form of the merge must give exactly the same table
 COST_SQL["cost_merge_latest_join"] = COST_SQL["cost_merge_latest"]
 
-ORACLE_SQL: dict[str, str] = {**COST_SQL, **CLUSTER_SQL, **OTHER_SQL}
+ORACLE_SQL: dict[str, str] = {**COST_SQL, **CLUSTER_SQL, **OTHER_SQL, **JOB_SQL}

@@ -27,8 +27,7 @@ from pyspark.sql import functions as F
 from pricekit.operators.audit import with_audit_columns
 from pricekit.operators.conform import canonical_clusters, conform_all, union_feeds
 from pricekit.operators.latest import latest_row
-from pricekit.operators.quality import check_before_write
-from pricekit.sinks.tables import write_table
+from pricekit.sinks.tables import publish
 from pricekit.sources.tables import read_table
 
 KEYS = ("SKU", "country_code")
@@ -50,8 +49,15 @@ def allowed_countries(emea: Sequence[str], ams: Sequence[str]) -> dict[str, list
 
 def union_clusters(feeds: Mapping[str, DataFrame], emea: Sequence[str], ams: Sequence[str],
                    distinct: bool = True) -> DataFrame:
-    """Conformed, filtered, de-duplicated union of the feeds, in canonical form."""
-    frames = conform_all(feeds, allowed_countries(emea, ams))
+    """Conformed, filtered, de-duplicated union of the feeds, in canonical form.
+
+    The feeds are exactly those of ``allowed_countries``: an unknown one would
+    come in without a country filter, a missing one would leave a gap.
+    """
+    allowed = allowed_countries(emea, ams)
+    if set(feeds) != set(allowed):
+        raise ValueError(f"unknown feeds {sorted(set(feeds) - set(allowed))}, missing feeds {sorted(set(allowed) - set(feeds))}")
+    frames = conform_all({name: feeds[name] for name in allowed}, allowed)
     return canonical_clusters(union_feeds(frames, distinct=distinct))
 
 
@@ -82,6 +88,4 @@ def run(spark: SparkSession, config: Mapping, now=None, fmt: str = "parquet", ru
     basic = config["basic_config"]
     result = with_audit_columns(
         cluster_latest(feeds, basic["emea_countries"], basic["ams_countries"]), now)
-    check_before_write(result, "cluster", rules)
-    write_table(result, config["output"]["cluster"], "overwrite", fmt=fmt, replace_schema=True)
-    return result
+    return publish(result, config["output"]["cluster"], "cluster", rules, fmt=fmt, replace_schema=True)

@@ -11,13 +11,17 @@ Plan per run:
    cut down map-side by a partial ``WindowGroupLimit`` before its shuffle;
 3. compute the landed cost, stamp the new high-water mark on every row.
 
-The mark is the maximum over the result rows. With ``materialise=True``
-(used by ``run``) the result is written once to a staging table in the
-shared checkpoint folder, the mark is read from it with a one-column scan
-and stamped as a typed literal, and the final write reads the staging
-table — so nothing is computed twice and the target is never read by the
-job that overwrites it. Without it, the mark is a scalar subquery over the
-same plan (one lazy DataFrame; Spark reuses the shuffle where it can).
+The mark is the maximum over the result rows. ``run`` writes the merged rows
+once next to the target (``<target>__stg``), reads the mark from that copy
+with a one-column scan and stamps it as a typed literal; the final write
+reads the copy, so nothing is computed twice and the target is never read
+by the job that overwrites it. ``cost_latest`` is the lazy form: with
+``materialise=True`` the copy is a table in the shared checkpoint folder
+(an error if there is none), else the mark is a scalar subquery.
+
+A row whose ``start_date`` is not before ``as_of`` when it is first read is not
+in the result, and once the mark passes its insertion time it is not read
+again. ``hold_future=True`` keeps the mark below the oldest such row.
 """
 
 from __future__ import annotations
@@ -30,12 +34,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pricekit.functions.cost import landed_cost
-from pricekit.functions.text import normalise_date_text, parse_date_text, to_amount
+from pricekit.functions.text import (normalise_date_text, parse_date_text, parse_timestamp_text,
+                                     to_amount)
 from pricekit.operators.audit import drop_audit_columns, with_audit_columns
 from pricekit.operators.latest import latest_per_key, merge_latest
-from pricekit.operators.quality import check_before_write
-from pricekit.sinks.stage import materialise as stage, stage_root
-from pricekit.sinks.tables import drop_table, stage_entry, write_table
+from pricekit.sinks.stage import materialise as stage
+from pricekit.sinks.tables import publish
 from pricekit.sources.tables import read_previous, read_table
 from pricekit.streaming.incremental import (high_water_mark, since_watermark, stamp_max,
                                             watermark_literal)
@@ -68,7 +72,7 @@ def _as_timestamp(df: DataFrame, name: str) -> Column:
     dtype = df.schema[name].dataType
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         return F.col(name)
-    return F.col(name).try_cast("timestamp")
+    return parse_timestamp_text(name)
 
 
 def _as_date(df: DataFrame, name: str) -> Column:
@@ -115,18 +119,33 @@ def keep_final(as_of: dt.date | str | None = None) -> Column:
 
 def cost_merged(feed: DataFrame, previous: DataFrame | None = None, watermark=None,
                 as_of: dt.date | str | None = None, tie_break: Sequence[str] = TIE_BREAK,
-                method: str = "window") -> DataFrame:
+                method: str = "window", stage_batch=None) -> DataFrame:
     """The merged rows with their landed cost, before the high-water mark is stamped."""
     new = valid_cost_rows(feed, watermark, as_of)
     prev = drop_audit_columns(previous) if previous is not None else None
-    merged = merge_latest(new, prev, KEYS, ORDER, tie_break, keep=keep_final(as_of), method=method)
+    merged = merge_latest(new, prev, KEYS, ORDER, tie_break, keep=keep_final(as_of), method=method,
+                          stage=stage_batch)
     return merged.withColumn("total_cost", landed_cost()).select(*COST_COLUMNS)
 
 
-def _stamp_literal(df: DataFrame) -> DataFrame:
+def _stamp_literal(df: DataFrame, limit=None) -> DataFrame:
+    """The largest insertion time on every row, but at most ``limit``."""
     mark = high_water_mark(df, LOAD_UPTO)
     dtype = df.schema[LOAD_UPTO].dataType
-    return df.withColumn(LOAD_UPTO, watermark_literal(mark, dtype)).select(*COST_COLUMNS)
+    stamp = watermark_literal(mark, dtype)
+    if limit is not None:
+        stamp = F.least(stamp, watermark_literal(limit, dtype))
+    return df.withColumn(LOAD_UPTO, stamp).select(*COST_COLUMNS)
+
+
+def pending_mark(feed: DataFrame, watermark=None, as_of: dt.date | str | None = None):
+    """Just before the oldest insertion time of costed rows that only their start date keeps out; None without any."""
+    rows = since_watermark(feed, INSERTED_ON, watermark)
+    waiting = rows.filter(_costed(F.col("cost_status")) & (to_amount("matrl_cost") > 0)
+                          & (_as_date(rows, "start_date") >= _as_of(as_of)))
+    first = waiting.agg(F.min(_as_timestamp(rows, INSERTED_ON)).alias("first"))
+    # minus the smallest step of a timestamp
+    return high_water_mark(first.select((F.col("first") - F.expr("INTERVAL '0.000001' SECOND")).alias("first")), "first")
 
 
 def cost_latest(feed: DataFrame, previous: DataFrame | None = None, watermark=None,
@@ -135,18 +154,17 @@ def cost_latest(feed: DataFrame, previous: DataFrame | None = None, watermark=No
                 method: str = "window") -> DataFrame:
     """The cost table after one run: batch of ``feed`` newer than ``watermark`` merged into
     ``previous`` (``None`` = first run), landed cost, new high-water mark on every row."""
-    costed = cost_merged(feed, previous, watermark, as_of, tie_break, method)
-    if not materialise or stage_root(costed) is None:
-        return stamp_max(costed, LOAD_UPTO)
-    return _stamp_literal(stage(costed, "cost"))
+    stage_batch = (lambda df: stage(df, "cost-batch")) if method == "join" else None
+    costed = cost_merged(feed, previous, watermark, as_of, tie_break, method, stage_batch)
+    return _stamp_literal(stage(costed, "cost")) if materialise else stamp_max(costed, LOAD_UPTO)
 
 
 def run(spark: SparkSession, config: Mapping, as_of: dt.date | str | None = None,
         default_watermark=None, now: dt.datetime | None = None,
-        fmt: str = "parquet", rules=()) -> DataFrame | None:
+        fmt: str = "parquet", rules=(), hold_future: bool = False) -> DataFrame | None:
     """Run the cost job from a config ``{"input": {"cost_feed": ...}, "output": {"cost": ...}}``.
 
-    Returns the written DataFrame, or ``None`` when there was no new row
+    Returns the written table, or ``None`` when there was no new row
     (then nothing is written).
 
     When the target entry is a catalog table with ``"buckets": n``, the table
@@ -154,6 +172,9 @@ def run(spark: SparkSession, config: Mapping, as_of: dt.date | str | None = None
     one-to-one join that reads the previous table in its buckets: only the
     new batch is shuffled, never the whole table. Pick ``n`` at least
     ``spark.sql.shuffle.partitions``.
+
+    ``hold_future=True`` (or ``"hold_future": true`` in the target entry) lets the mark not pass rows that
+    start in the future, so a later run reads them again.
     """
     feed = read_table(spark, config["input"]["cost_feed"])
     target = config["output"]["cost"]
@@ -163,27 +184,12 @@ def run(spark: SparkSession, config: Mapping, as_of: dt.date | str | None = None
     watermark = high_water_mark(previous, LOAD_UPTO, default_watermark)
     if valid_cost_rows(feed, watermark, as_of).isEmpty():
         return None
-    buckets = target.get("buckets") if isinstance(target, Mapping) else None
-    if buckets:
-        return _run_bucketed(spark, feed, previous, target, int(buckets), watermark, as_of, now,
-                             fmt, rules)
-    result = with_audit_columns(cost_latest(feed, previous, watermark, as_of, materialise=True), now)
-    check_before_write(result, "cost", rules)
-    # the result reads the staging table, not the target, so a plain overwrite is safe
-    write_table(result, target, "overwrite", fmt=fmt, replace_schema=True,
-                staged=stage_root(result) is None and previous is not None)
-    return read_previous(spark, target)
-
-
-def _run_bucketed(spark, feed, previous, target, buckets, watermark, as_of, now, fmt, rules):
-    layout = (buckets, list(KEYS))
-    method = "join" if previous is not None else "window"
-    stage_table = stage_entry(target)
-    # the merge output is already hash-partitioned by the keys: one file per bucket
-    write_table(cost_merged(feed, previous, watermark, as_of, method=method), stage_table,
-                "overwrite", fmt=fmt, replace_schema=True, bucket_by=layout)
-    result = with_audit_columns(_stamp_literal(read_table(spark, stage_table)), now)
-    check_before_write(result, "cost", rules)
-    write_table(result, target, "overwrite", fmt=fmt, replace_schema=True, bucket_by=layout)
-    drop_table(spark, stage_table)
-    return read_table(spark, target)
+    options = target if isinstance(target, Mapping) else {}
+    limit = pending_mark(feed, watermark, as_of) if hold_future or options.get("hold_future") else None
+    buckets = options.get("buckets")
+    layout = (int(buckets), list(KEYS)) if buckets else None
+    method = "join" if buckets and previous is not None else "window"
+    stage_batch = (lambda df: stage(df, "cost-batch")) if method == "join" else None
+    merged = cost_merged(feed, previous, watermark, as_of, method=method, stage_batch=stage_batch)
+    return publish(merged, target, "cost", rules, fmt=fmt, replace_schema=True, bucket_by=layout,
+                   finish=lambda staged: with_audit_columns(_stamp_literal(staged, limit), now))

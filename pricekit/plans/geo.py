@@ -7,8 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from pricekit.operators.audit import with_audit_columns
-from pricekit.operators.quality import check_before_write
-from pricekit.sinks.tables import write_table
+from pricekit.sinks.tables import publish
 from pricekit.sources.tables import read_table
 
 
@@ -18,6 +17,4 @@ def geo_snapshot(geo: DataFrame, now=None) -> DataFrame:
 
 def run(spark: SparkSession, config: Mapping, now=None, fmt: str = "parquet", rules=()) -> DataFrame:
     result = geo_snapshot(read_table(spark, config["input"]["geo"]), now)
-    check_before_write(result, "geo", rules)
-    write_table(result, config["output"]["geo"], "overwrite", fmt=fmt, replace_schema=True)
-    return result
+    return publish(result, config["output"]["geo"], "geo", rules, fmt=fmt, replace_schema=True)

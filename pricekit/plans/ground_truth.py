@@ -1,22 +1,21 @@
 """Ground truth of the configured countries, quality-gated, enriched with product family.
 
-QC runs on the country-filtered ground truth BEFORE the enrichment join;
-an ERROR status logs a failure and raises, and nothing is written. The
-filtered frame is persisted for the two actions (QC, write) and always
-unpersisted.
+QC runs on the country-filtered ground truth BEFORE the enrichment join, on
+a staged copy next to the target that the join then reads, so what was
+checked is what is written. An ERROR status, like any other failure, is
+logged in the run log and raised, and nothing is written.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricekit.operators.expand import enrich
-from pricekit.operators.quality import gate, rule_columns, rules_frame, run_qc
-from pricekit.sinks.tables import append_audit, write_table
+from pricekit.operators.quality import PASS, gate, run_qc
+from pricekit.sinks.tables import append_audit, drop_table, stage_entry, write_table
 from pricekit.sources.tables import read_table
 
 PIPELINE = "ground_truth_family"
@@ -31,30 +30,41 @@ def with_family(gt: DataFrame, product_dim: DataFrame) -> DataFrame:
 
 
 def run(spark: SparkSession, config: Mapping, rules: Sequence[Sequence] = (),
-        write_mode: str = "overwrite", fmt: str = "parquet") -> str:
-    """Returns the QC status; raises :class:`QualityGateError` on ERROR."""
-    audit = config["output"].get("audit")
-    gt = in_countries(read_table(spark, config["input"]["ground_truth"]),
-                      config["basic_config"]["countries"])
-    gt = gt.persist(StorageLevel.MEMORY_AND_DISK)
+        write_mode: str | None = None, fmt: str = "parquet") -> str:
+    """Returns the QC status; raises :class:`QualityGateError` on ERROR.
+
+    The write mode comes from the argument, else from ``output.write_mode``, else overwrite. Only an
+    overwrite may replace the target's schema.
+    """
+    output = config["output"]
+    audit = output.get("audit")
+    mode = write_mode or output.get("write_mode", "overwrite")
     try:
-        status = "PASS"
-        if rules:
-            results, status = run_qc(gt, config["output"].get("qc_table_name", PIPELINE),
-                                     rules_frame(spark, rules), rule_columns(gt, rules))
-            if "qc_results" in config["output"]:
-                write_table(results, config["output"]["qc_results"], "append", fmt=fmt)
-        try:
-            gate(status)
-        except Exception:
-            if audit is not None:
-                append_audit(spark, audit, PIPELINE, "FAILED", f"QC Status is {status}", "ERROR")
-            raise
-        result = with_family(gt, read_table(spark, config["input"]["product_dim"]))
-        write_table(result, config["output"]["ground_truth_family"], write_mode, fmt=fmt,
-                    replace_schema=True)
+        status = _checked_write(spark, config, rules, mode, fmt)
+    except Exception as error:
         if audit is not None:
-            append_audit(spark, audit, PIPELINE, "SUCCESS", "PIPELINE EXECUTION COMPLETED")
-        return status
-    finally:
-        gt.unpersist()
+            append_audit(spark, audit, PIPELINE, "FAILED", f"{type(error).__name__}: {error}"[:1000], "ERROR")
+        raise
+    if audit is not None:
+        append_audit(spark, audit, PIPELINE, "SUCCESS", f"written with mode {mode}, quality {status}")
+    return status
+
+
+def _checked_write(spark: SparkSession, config: Mapping, rules: Sequence[Sequence], mode: str, fmt: str) -> str:
+    output = config["output"]
+    target = output["ground_truth_family"]
+    gt = in_countries(read_table(spark, config["input"]["ground_truth"]), config["basic_config"]["countries"])
+    status, stage = PASS, None
+    if rules:
+        stage = stage_entry(target)
+        write_table(gt, stage, "overwrite", fmt=fmt, replace_schema=True)
+        gt = read_table(spark, {**stage, "format": fmt} if isinstance(stage, Mapping) else stage)
+        results, status = run_qc(gt, output.get("qc_table_name", PIPELINE), rules)
+        if "qc_results" in output:
+            write_table(results, output["qc_results"], "append", fmt=fmt)
+        gate(status)
+    result = with_family(gt, read_table(spark, config["input"]["product_dim"]))
+    write_table(result, target, mode, fmt=fmt, replace_schema=mode == "overwrite")
+    if stage is not None:
+        drop_table(spark, stage)
+    return status

@@ -13,8 +13,7 @@ from pyspark.sql import functions as F
 
 from pricekit.functions.text import to_amount
 from pricekit.operators.expand import expand_by_rule
-from pricekit.operators.quality import check_before_write
-from pricekit.sinks.tables import write_table
+from pricekit.sinks.tables import publish
 from pricekit.sources.tables import read_table
 
 # Use cases and the product categories each one prices.
@@ -40,6 +39,4 @@ def exchange_rates(rates: DataFrame, rules: Mapping[str, Sequence[str]] = CATEGO
 def run(spark: SparkSession, config: Mapping, fmt: str = "parquet", rules=()) -> DataFrame:
     """Rates table has no audit columns and its schema must not change."""
     result = exchange_rates(read_table(spark, config["input"]["rates"]))
-    check_before_write(result, "rates", rules)
-    write_table(result, config["output"]["rates"], "overwrite", fmt=fmt, replace_schema=False)
-    return result
+    return publish(result, config["output"]["rates"], "rates", rules, fmt=fmt, replace_schema=False)

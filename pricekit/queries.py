@@ -7,6 +7,7 @@ them. Parameters are fixed values so that results are reproducible.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,13 +15,16 @@ from pyspark.sql import functions as F
 
 from pricekit.functions.cost import landed_cost
 from pricekit.functions.text import clean_path, normalise_date_text, normalise_quarter
-from pricekit.operators.audit import with_audit_columns
+from pricekit.operators.audit import drop_audit_columns, with_audit_columns
 from pricekit.operators.conform import conform_all, union_feeds
-from pricekit.operators.latest import latest_period, rows_of_latest_period
-from pricekit.operators.quality import qc_check, qc_metrics, qc_status, rules_frame
+from pricekit.operators.latest import dedupe_keys, latest_period, rows_of_latest_period
+from pricekit.operators.quality import (QualityGateError, qc_check, qc_metrics, qc_status, rule_pairs,
+                                        rules_frame)
 from pricekit.plans import cluster, cost, geo, ground_truth, rates
-from pricekit.session import apply_defaults
+from pricekit.sinks.stage import materialise, stage_folder
+from pricekit.sinks.tables import write_table
 from pricekit.sources import adapters
+from pricekit.sources.tables import read_previous, read_table
 from pricekit.streaming.incremental import high_water_mark, since_watermark
 
 # Fixed parameters of the registered queries.
@@ -45,10 +49,20 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _load(spark: SparkSession, sf_dir: str):
-    apply_defaults(spark)
     return adapters.loader(spark, sf_dir)
 
 
+def _folder(spark: SparkSession) -> str:
+    """A new folder for the tables of one query, in the shared checkpoint folder."""
+    return f"{stage_folder(spark)}/query-{uuid.uuid4().hex}"
+
+
+def _written(df: DataFrame, folder: str, name: str) -> dict[str, str]:
+    entry = {"path": f"{folder}/{name}"}
+    write_table(df, entry, "overwrite")
+    return entry
+
+
 # ---------------------------------------------------------------- cost ----
 
 def cost_date_text(spark, sf_dir):
@@ -139,7 +153,7 @@ def cluster_latest_period(spark, sf_dir):
 
 def cluster_latest_rows(spark, sf_dir):
     feeds = adapters.cluster_feeds(_load(spark, sf_dir))
-    union = cluster.union_clusters(feeds, EMEA, AMS, distinct=True)
+    union = materialise(cluster.union_clusters(feeds, EMEA, AMS, distinct=True), "cluster-union")
     return rows_of_latest_period(union, cluster.KEYS, "fiscal_quarter", "PATH")
 
 
@@ -180,14 +194,117 @@ def qc_metrics_query(spark, sf_dir):
 
 def qc_results(spark, sf_dir):
     gt = ground_truth.in_countries(adapters.ground_truth(_load(spark, sf_dir)), GT_COUNTRIES)
-    return qc_check(qc_metrics(gt, QC_TABLE), rules_frame(spark, QC_RULES))
+    return qc_check(qc_metrics(gt, QC_TABLE, rule_pairs(gt, QC_RULES)), rules_frame(spark, QC_RULES))
 
 
 def qc_status_query(spark, sf_dir):
     return qc_status(qc_results(spark, sf_dir))
 
 
+# --------------------------------------- jobs and sinks, on written tables ----
+
+def cost_text_feed(spark, sf_dir):
+    """Rows newer than the watermark of a feed whose insertion time and start date are text."""
+    valid = cost.valid_cost_rows(adapters.cost_text_feed(_load(spark, sf_dir)), WATERMARK, AS_OF)
+    return valid.withColumn("load_upto", F.col("load_upto").cast("timestamp_ntz"))
+
+
+def cost_job_two_runs(spark, sf_dir):
+    """The cost job on a written feed, run again after more rows have arrived."""
+    folder = _folder(spark)
+    feed = adapters.cost_feed(_load(spark, sf_dir))
+    early = F.col("inserted_on") <= F.lit(WATERMARK).cast("timestamp_ntz")
+    config = {"input": {"cost_feed": _written(feed.filter(early), folder, "feed")},
+              "output": {"cost": {"path": f"{folder}/cost"}}}
+    cost.run(spark, config, as_of=AS_OF)
+    write_table(feed.filter(~early), config["input"]["cost_feed"], "append")
+    cost.run(spark, config, as_of=AS_OF)
+    return drop_audit_columns(read_table(spark, config["output"]["cost"]))
+
+
+def cluster_job(spark, sf_dir):
+    folder = _folder(spark)
+    feeds = {name: _written(df, folder, name) for name, df in adapters.cluster_feeds(_load(spark, sf_dir)).items()}
+    out = cluster.run(spark, {"input": feeds, "output": {"cluster": {"path": f"{folder}/cluster"}},
+                              "basic_config": {"emea_countries": list(EMEA), "ams_countries": list(AMS)}})
+    return drop_audit_columns(out)
+
+
+def rates_job(spark, sf_dir):
+    folder = _folder(spark)
+    source = _written(adapters.exchange_rates(_load(spark, sf_dir)), folder, "rates-in")
+    return rates.run(spark, {"input": {"rates": source}, "output": {"rates": {"path": f"{folder}/rates"}}})
+
+
+def geo_job(spark, sf_dir):
+    folder = _folder(spark)
+    source = _written(adapters.geography(_load(spark, sf_dir)), folder, "geo-in")
+    return geo.run(spark, {"input": {"geo": source}, "output": {"geo": {"path": f"{folder}/geo"}}}, now=AUDIT_NOW)
+
+
+def _ground_truth_config(spark, sf_dir):
+    folder = _folder(spark)
+    load = _load(spark, sf_dir)
+    return {"input": {"ground_truth": _written(adapters.ground_truth(load), folder, "gt"),
+                      "product_dim": _written(adapters.product_dim(load), folder, "products")},
+            "output": {"ground_truth_family": {"path": f"{folder}/out"}, "qc_table_name": QC_TABLE,
+                       "qc_results": {"path": f"{folder}/qc"}, "audit": {"path": f"{folder}/audit"}},
+            "basic_config": {"countries": list(GT_COUNTRIES)}}
+
+
+def ground_truth_job(spark, sf_dir):
+    config = _ground_truth_config(spark, sf_dir)
+    ground_truth.run(spark, config, QC_RULES)
+    return read_table(spark, config["output"]["ground_truth_family"])
+
+
+def qc_gate_outcome(spark, sf_dir):
+    """What the ground-truth job writes and logs when a rule of severity ERROR fails, and when none does."""
+    blocked, passed = (_ground_truth_config(spark, sf_dir) for _ in range(2))
+    try:
+        ground_truth.run(spark, blocked, [(QC_TABLE, "*", "row_count", "<", 1, "ERROR")])
+    except QualityGateError:
+        pass
+    ground_truth.run(spark, passed, [(QC_TABLE, "product_number", "min", ">=", "P", "ERROR")])
+    out = None
+    for case, config in (("failing rule", blocked), ("passing rule", passed)):
+        written = read_previous(spark, config["output"]["ground_truth_family"])
+        rows = F.lit(0).cast("bigint") if written is None else written.agg(F.count("*")).scalar()
+        log = read_table(spark, config["output"]["audit"]).select(
+            F.lit(case).alias("rule"), "status", "log_level", rows.alias("rows_written"))
+        out = log if out is None else out.union(log)
+    return out
+
+
+def dedupe_product(spark, sf_dir):
+    return dedupe_keys(adapters.product_dim(_load(spark, sf_dir)), ["product_number"])
+
+
+def write_append_ignore(spark, sf_dir):
+    """A table overwritten, appended to, then left alone by a write in mode ignore."""
+    products = adapters.product_dim(_load(spark, sf_dir))
+    entry = _written(products, _folder(spark), "products")
+    write_table(products.withColumn("family", F.upper("family")), entry, "append")
+    write_table(products.limit(0), entry, "ignore")
+    return read_table(spark, entry)
+
+
+def audit_roundtrip(spark, sf_dir):
+    entry = _written(with_audit_columns(adapters.ground_truth(_load(spark, sf_dir)), AUDIT_NOW), _folder(spark), "gt")
+    return drop_audit_columns(read_table(spark, entry))
+
+
 QUERIES: dict[str, Query] = {
+    "cost_text_feed": cost_text_feed,
+    "cost_job_two_runs": cost_job_two_runs,
+    "cluster_job": cluster_job,
+    "rates_job": rates_job,
+    "geo_job": geo_job,
+    "ground_truth_job": ground_truth_job,
+    "qc_gate_outcome": qc_gate_outcome,
+    "dedupe_product": dedupe_product,
+    "write_append_ignore": write_append_ignore,
+    "audit_roundtrip": audit_roundtrip,
     "cost_date_text": cost_date_text,
     "cost_valid_rows": cost_valid_rows,
     "cost_since_watermark": cost_since_watermark,

@@ -41,17 +41,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     cluster session without the setting returns ``None`` and callers that
     need to cut lineage fail loudly instead of writing to a node-local disk.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if current:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(current)
-        return current
-    if not spark.sparkContext.master.startswith("local"):
-        return None
-    current = tempfile.mkdtemp(prefix="pricekit-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
-    return current
+    current = spark.conf.get("spark.checkpoint.dir", None)
+    if not current and spark.conf.get("spark.master", "").startswith("local"):
+        current = tempfile.mkdtemp(prefix="pricekit-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", current)
+    return current or None
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,

@@ -4,7 +4,8 @@ from pricekit.sinks.tables import (
     SchemaMismatchError,
     append_audit,
     drop_table,
+    publish,
     write_table,
 )
 
-__all__ = ["SchemaMismatchError", "append_audit", "drop_table", "write_table"]
+__all__ = ["SchemaMismatchError", "append_audit", "drop_table", "publish", "write_table"]

@@ -8,14 +8,18 @@ DataFrameWriter, i.e. distributed: each task writes its own files.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+import logging
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pricekit.operators.quality import QualityGateError, check_before_write
 from pricekit.sources.tables import read_previous, read_table, table_name
 
+log = logging.getLogger("pricekit")
+
 MODES = ("overwrite", "append", "ignore", "error", "errorifexists")
 
 AUDIT_LOG_SCHEMA = T.StructType([
@@ -31,13 +35,6 @@ class SchemaMismatchError(ValueError):
     """The target exists with another schema and replacing it was not allowed."""
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
-
-
 def _schema_key(schema: T.StructType) -> list[tuple[str, str]]:
     return [(f.name.lower(), f.dataType.simpleString()) for f in schema.fields]
 
@@ -65,7 +62,8 @@ def _raw_write(df: DataFrame, entry, mode: str, fmt: str, replace_schema: bool,
     else:
         if bucket_by:
             n, cols = bucket_by
-            writer = writer.bucketBy(n, *cols).sortBy(*cols)
+            # one task, and so one file, a bucket
+            writer = df.repartition(n, *cols).write.mode(mode).format(fmt or "parquet").bucketBy(n, *cols).sortBy(*cols)
         writer.saveAsTable(table_name(entry))
 
 
@@ -106,14 +104,42 @@ def write_table(df: DataFrame, entry: Mapping[str, str] | str, mode: str = "over
 
 
 def drop_table(spark: SparkSession, entry: Mapping[str, str] | str) -> None:
+    """Drop a catalog table; a file table is emptied (its folder keeps one empty file)."""
     if isinstance(entry, Mapping) and entry.get("path"):
-        jvm = spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(entry["path"])
-        hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+        empty = spark.createDataFrame([], "dropped boolean")
+        empty.coalesce(1).write.mode("overwrite").format(entry.get("format") or "parquet").save(entry["path"])
     else:
         spark.sql(f"DROP TABLE IF EXISTS {table_name(entry)}")
 
 
+def publish(result: DataFrame, entry: Mapping[str, str] | str, name: str, rules: Sequence[Sequence] = (),
+            mode: str = "overwrite", fmt: str | None = None, replace_schema: bool = False,
+            finish: Callable[[DataFrame], DataFrame] = lambda staged: staged,
+            bucket_by: tuple[int, Sequence[str]] | None = None) -> DataFrame:
+    """Evaluate ``result`` once into ``<target>__stg``, check that copy, write it to the target, return the target.
+
+    ``finish`` adds what needs the whole result (such as its high-water mark) when the copy is read. The copy
+    is dropped after the write has succeeded; when the write fails it stays, and its place is logged.
+    """
+    spark = result.sparkSession
+    stage = stage_entry(entry)
+    fmt = fmt or (entry.get("format") if isinstance(entry, Mapping) else None) or "parquet"
+    _raw_write(result, stage, "overwrite", fmt, True, bucket_by)
+    copy = finish(read_table(spark, {**stage, "format": fmt} if isinstance(stage, Mapping) else stage))
+    try:
+        check_before_write(copy, name, rules)
+    except QualityGateError:
+        drop_table(spark, stage)
+        raise
+    try:
+        write_table(copy, entry, mode, fmt=fmt, replace_schema=replace_schema, bucket_by=bucket_by)
+    except Exception:
+        log.error("%s: writing the target failed; the result is staged as %s", name, stage)
+        raise
+    drop_table(spark, stage)
+    return read_table(spark, {**entry, "format": fmt} if isinstance(entry, Mapping) else entry)
+
+
 def append_audit(spark: SparkSession, entry: Mapping[str, str] | str, pipeline: str,
                  status: str, message: str, level: str = "INFO",
                  at: dt.datetime | None = None) -> None:

@@ -2,10 +2,9 @@
 
 from pricekit.sources.tables import (
     columns_ci,
-    has_column,
     read_previous,
     read_table,
     table_name,
 )
 
-__all__ = ["columns_ci", "has_column", "read_previous", "read_table", "table_name"]
+__all__ = ["columns_ci", "read_previous", "read_table", "table_name"]

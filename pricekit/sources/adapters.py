@@ -24,38 +24,10 @@ from pyspark.sql import functions as F
 Loader = Callable[..., DataFrame]
 
 
-def _bytes(text: str) -> int:
-    """Spark size text (``134217728b``, ``128m``, ``1g``) → bytes."""
-    t = text.strip().lower().removesuffix("b")
-    scale = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}.get(t[-1:], 1)
-    return int(float(t[:-1] if scale > 1 else t) * scale)
-
-
-def _input_bytes(spark: SparkSession, path: str) -> int:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.getContentSummary(hpath).getLength()
-
-
 def loader(spark: SparkSession, sf_dir: str) -> Loader:
-    """``load(name, spread=False)``: read one table.
-
-    ``spread=True`` is for a fact table that feeds one heavy map-side
-    pipeline: when the input is smaller than one split per core (as with
-    the test tables, each a single parquet row group, i.e. one scan task),
-    the rows are spread round-robin over the cores first. Larger inputs are
-    split by the scan itself and are left alone, so at scale this is a no-op.
-    """
-    def load(name: str, spread: bool = False) -> DataFrame:
-        path = f"{sf_dir}/{name}.parquet"
-        df = spark.read.parquet(path)
-        if spread:
-            cores = spark.sparkContext.defaultParallelism
-            split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
-            if _input_bytes(spark, path) < cores * split:
-                df = df.repartition(cores)
-        return df
+    """``load(name)``: read one table."""
+    def load(name: str) -> DataFrame:
+        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return load
 
 
@@ -73,7 +45,7 @@ def _lpad_id(prefix: str, c, width: int) -> F.Column:
 
 def cost_feed(load: Loader) -> DataFrame:
     """Cost feed: one row per lineitem, columns of the cost source table."""
-    li = load("lineitem", spread=True).select(
+    li = load("lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
     o = load("orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
@@ -129,6 +101,25 @@ def cost_feed(load: Loader) -> DataFrame:
     )
 
 
+def cost_text_feed(load: Loader) -> DataFrame:
+    """The cost feed as text exports deliver it: ``inserted_on`` and ``start_date`` are text of
+    mixed formats, some of it unreadable; some product ids and country names are missing."""
+    feed = cost_feed(load)
+    line = F.split_part("mcc", F.lit("-"), F.lit(2)).cast("int")
+    day = F.col("start_date")
+    return feed.withColumns({
+        "inserted_on": F.when(line == 5, F.lit("n/a"))
+                        .when(line == 6, F.date_format("inserted_on", "dd-MMM-yy"))
+                        .when(line == 7, F.date_format("inserted_on", "yyyy-MM-dd'T'HH:mm:ss"))
+                        .otherwise(F.date_format("inserted_on", "yyyy-MM-dd HH:mm:ss")),
+        "start_date": F.when(line == 1, F.date_format(day, "dd-MMM-yy"))
+                       .when(line == 2, F.lit("n/a"))
+                       .otherwise(F.date_format(day, "yyyy-MM-dd")),
+        "product_id": F.when(line != 4, F.col("product_id")),
+        "country_name": F.when(F.col("country_name") != "FRANCE", F.col("country_name")),
+    })
+
+
 # --------------------------------------------------------------------------
 # cluster feeds
 # --------------------------------------------------------------------------

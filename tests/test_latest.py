@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -21,9 +22,8 @@ def test_top1_order_nulls_and_ties(spark):
         ("c", dt.date(2024, 1, 1), "s", 6, "q1"),
         ("c", dt.date(2024, 1, 1), "s", 6, "q2"),   # full tie on order + tie-break → payload decides
     ], SCHEMA)
-    for method in ("window", "aggregate"):
-        got = rows(latest_per_key(df, ["k"], ["d", "t"], ["v"], method=method), "k", "payload")
-        assert got == [("a", "p3"), ("b", "p5"), ("c", "q2")], method
+    got = rows(latest_per_key(df, ["k"], ["d", "t"], ["v"]), "k", "payload")
+    assert got == [("a", "p3"), ("b", "p5"), ("c", "q2")]
 
 
 def test_top1_ascending(spark):
@@ -32,6 +32,19 @@ def test_top1_ascending(spark):
     assert got == [("a", None), ("b", 2)]  # ASC puts NULL first, as in Spark SQL
 
 
+def test_tie_break_is_descending_whatever_the_order(spark):
+    df = spark.createDataFrame([("k", 1, 5, "a"), ("k", 1, 5, "b")], "k string, d int, e int, t string")
+    for order in (["d"], [("d", "asc")], [("d", "asc"), "e"]):
+        assert rows(latest_per_key(df, ["k"], order, ["t"]), "t") == [("b",)]
+
+
+def test_columns_without_an_order_are_refused(spark):
+    df = spark.sql("SELECT 'k' AS k, 1 AS d, map('a', 1) AS m")
+    with pytest.raises(ValueError):
+        latest_per_key(df, ["k"], ["d"])
+    assert latest_per_key(df, ["k"], ["d"], total=True).count() == 1
+
+
 def test_top1_plan_is_reduced_map_side(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"))
     plan = latest_per_key(df, ["k"], ["v"])._jdf.queryExecution().executedPlan().toString()
@@ -42,11 +55,9 @@ def test_top1_plan_is_reduced_map_side(spark):
 @given(st.lists(st.tuples(st.sampled_from("abc"), st.integers(0, 3) | st.none(),
                           st.sampled_from(["x", "y", None]), st.integers(0, 2)),
                 min_size=1, max_size=30))
-def test_window_and_aggregate_agree(spark, data):
+def test_window_equals_brute_force(spark, data):
     df = spark.createDataFrame(data, "k string, a int, b string, c int")
-    w = rows(latest_per_key(df, ["k"], ["a", "b"], method="window"))
-    a = rows(latest_per_key(df, ["k"], ["a", "b"], method="aggregate"))
-    assert w == a
+    w = rows(latest_per_key(df, ["k"], ["a", "b"]))
     # brute force: the first row of each key under (a, b, c) DESC NULLS LAST
     best = {}
     for r in data:
@@ -63,7 +74,7 @@ def test_merge_hidden_runner_up(spark):
     new = spark.createDataFrame([("a", 5, False, "new-best"), ("a", 4, True, "new-second"),
                                  ("b", 9, True, "new-b")], MERGE)
     prev = spark.createDataFrame([("a", 1, True, "prev-a"), ("c", 1, True, "prev-c")], MERGE)
-    for method in ("window", "aggregate"):
+    for method in ("window", "join"):
         got = rows(merge_latest(new, prev, ["k"], ["d"], keep=F.col("ok"), method=method), "k", "src")
         # the batch winner of a fails `keep`, which hides its runner-up: previous wins
         assert got == [("a", "prev-a"), ("b", "new-b"), ("c", "prev-c")], method
@@ -71,17 +82,6 @@ def test_merge_hidden_runner_up(spark):
         assert got == [("b", "new-b")], method
 
 
-@settings(max_examples=15, deadline=None)
-@given(st.lists(st.tuples(st.sampled_from("ab"), st.integers(0, 5), st.booleans()), max_size=12),
-       st.lists(st.tuples(st.sampled_from("abc"), st.integers(0, 5), st.booleans()), max_size=6))
-def test_merge_methods_agree(spark, new_rows, prev_rows):
-    new = spark.createDataFrame([r + ("n",) for r in new_rows], MERGE)
-    prev = spark.createDataFrame([r + ("p",) for r in prev_rows], MERGE)
-    w = rows(merge_latest(new, prev, ["k"], ["d"], keep=F.col("ok"), method="window"))
-    a = rows(merge_latest(new, prev, ["k"], ["d"], keep=F.col("ok"), method="aggregate"))
-    assert w == a
-
-
 PERIOD = "k string, c string, q string, path string, cl int"
 
 
@@ -114,7 +114,7 @@ def test_incremental_equals_full_load(spark, data, cut):
     df = spark.createDataFrame(data, "k string, t int, v int")
     old, new = df.filter(F.col("t") <= cut), df.filter(F.col("t") > cut)
     full = rows(merge_latest(df, None, ["k"], ["t", "v"]))
-    for method in ("window", "aggregate", "join"):
+    for method in ("window", "join"):
         prev = merge_latest(old, None, ["k"], ["t", "v"], method=method)
         assert rows(merge_latest(new, prev, ["k"], ["t", "v"], method=method)) == full, method
 
@@ -124,7 +124,7 @@ def test_incremental_equals_full_load(spark, data, cut):
 def test_merge_is_idempotent(spark, a, b):
     prev = merge_latest(spark.createDataFrame(a, "k string, t int, v int"), None, ["k"], ["t"])
     new = spark.createDataFrame(b, "k string, t int, v int")
-    for method in ("window", "aggregate", "join"):
+    for method in ("window", "join"):
         once = merge_latest(new, prev, ["k"], ["t"], method=method)
         twice = merge_latest(new, once, ["k"], ["t"], method=method)
         assert rows(twice) == rows(once), method

@@ -109,7 +109,6 @@ def test_ground_truth_gate_blocks_write(spark, load, tmp_path):
     assert read_previous(spark, cfg["output"]["ground_truth_family"]) is None
     audit = read_table(spark, cfg["output"]["audit"])
     assert rows(audit, "status") == [("FAILED",)]
-    assert spark.sparkContext._jsc.sc().getPersistentRDDs().isEmpty()
 
 
 def test_ground_truth_writes_on_warn(spark, load, tmp_path):
@@ -214,3 +213,107 @@ def test_command_line_cost_job(spark, load, tmp_path):
     assert main(["cost", str(path), "--as-of", AS_OF]) == 0
     got = read_table(spark, cfg["output"]["cost"]).drop("created_on", "updated_on")
     assert rows(got) == rows(cost.cost_latest(read_table(spark, feed), None, None, AS_OF))
+
+
+def test_hwm_is_exact_across_a_clock_change(spark, monkeypatch):
+    import time
+
+    from pricekit.streaming.incremental import high_water_mark, since_watermark
+    monkeypatch.setenv("TZ", "America/New_York")
+    time.tzset()
+    try:
+        # both instants read 01:10 on a New York clock of that night
+        df = spark.sql("SELECT timestamp'2024-11-03 05:10:00Z' + make_interval(0,0,0,0,id) AS ts FROM range(2)")
+        mark = high_water_mark(df, "ts")
+        assert since_watermark(df, "ts", mark).count() == 0
+        assert since_watermark(df, "ts", high_water_mark(df.orderBy("ts").limit(1), "ts")).count() == 1
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+
+
+def test_text_watermark_is_compared_as_time(spark):
+    from pricekit.streaming.incremental import high_water_mark, since_watermark
+    texts = ["2024-11-12T06:00:00", "2024-11-12 7:03:57", "n/a", "2024-11-12 08:00:00", "13-Nov-24", None]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    assert rows(since_watermark(df, "s", "2024-11-12 07:30:00")) == [("13-Nov-24",), ("2024-11-12 08:00:00",)]
+    assert since_watermark(df, "s", high_water_mark(df, "s")).count() == 0
+
+
+def test_jobs_evaluate_their_input_once(spark, load, tmp_path):
+    """With rules set, checked and written rows come from one staged copy, and that is returned."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def touch(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    geo_in = adapters.geography(load)
+    df = geo_in.mapInArrow(touch, geo_in.schema)
+    out = geo.publish(df, {"path": str(tmp_path / "geo")}, "geo", [("geo", "*", "row_count", ">", 0, "ERROR")], replace_schema=True)
+    assert out.count() == 25 and seen.value == 25
+
+
+def test_ground_truth_logs_any_failure_and_guards_appends(spark, load, tmp_path):
+    from pricekit.sinks.tables import SchemaMismatchError
+    cfg = _gt_config(load, tmp_path)
+    missing = {**cfg, "input": {**cfg["input"], "product_dim": {"path": str(tmp_path / "nowhere")}}}
+    with pytest.raises(Exception):
+        ground_truth.run(spark, missing)
+    assert rows(read_table(spark, cfg["output"]["audit"]), "status") == [("FAILED",)]
+    spark.range(1).write.parquet(cfg["output"]["ground_truth_family"]["path"])
+    with pytest.raises(SchemaMismatchError):
+        ground_truth.run(spark, {**cfg, "output": {**cfg["output"], "write_mode": "append"}})
+    ground_truth.run(spark, cfg)
+    once = read_table(spark, cfg["output"]["ground_truth_family"]).count()
+    ground_truth.run(spark, cfg, write_mode="append")
+    assert read_table(spark, cfg["output"]["ground_truth_family"]).count() == 2 * once
+
+
+@pytest.mark.parametrize("change", ["extra", "missing"])
+def test_cluster_feeds_are_exactly_the_known_ones(load, change):
+    feeds = dict(adapters.cluster_feeds(load))
+    one = feeds.popitem()[1] if change == "missing" else feeds["bps_emea_clustering"]
+    if change == "extra":
+        feeds["print_fr_old"] = one
+    with pytest.raises(ValueError):
+        cluster.cluster_latest(feeds, EMEA, AMS)
+
+
+def test_cluster_rows_are_among_those_the_source_allows(load):
+    """cluster_id, size and quarter come from a row of the key's latest period, the name from any row of the key."""
+    feeds = adapters.cluster_feeds(load)
+    union = cluster.union_clusters(feeds, EMEA, AMS).collect()
+    by_key = {}
+    for r in union:
+        by_key.setdefault((r["SKU"], r["country_code"]), []).append(r)
+    got = cluster.cluster_latest(feeds, EMEA, AMS).collect()
+    assert len(got) == len(by_key)
+    for g in got:
+        mine = by_key[g["product_number"], g["country_code"]]
+        with_path = [r["fiscal_quarter"] for r in mine if r["PATH"] is not None]
+        last = max(with_path) if with_path else max(r["fiscal_quarter"] for r in mine)
+        assert (g["cluster_id"], g["cluster_size"], last, g["latest_cluster_name"]) in {
+            (r["CLUSTER"], r["cluster_size"], r["fiscal_quarter"], r["PATH"]) for r in mine}
+        assert g["cluster_name"] in {r["PATH"] for r in mine}
+
+
+def test_future_rows_are_lost_or_held(spark, tmp_path):
+    feed = spark.createDataFrame([("A", "2024-01-05", "2024-01-10 00:00:00"), ("B", "2024-06-05", "2024-01-11 00:00:00"),
+                                  ("C", "2024-01-07", "2024-01-12 00:00:00")], "product_id string, start_date string, inserted_on string")
+    for c in cost.COST_COLUMNS:
+        if c not in (*feed.columns, "load_upto"):
+            feed = feed.withColumn(c, F.lit({"cost_status": "COSTED"}.get(c, "1")))
+    src = _write(feed, str(tmp_path / "feed"))
+    for hold, want in ((False, ["A", "C"]), (True, ["A", "B", "C"])):
+        cfg = {"input": {"cost_feed": src}, "output": {"cost": {"path": str(tmp_path / f"cost{hold}")}}}
+        cost.run(spark, cfg, as_of="2024-02-01", hold_future=hold)
+        cost.run(spark, cfg, as_of="2024-12-01", hold_future=hold)
+        assert [r[0] for r in rows(read_table(spark, cfg["output"]["cost"]), "product_id")] == want
+
+
+def test_bucketed_write_has_one_file_a_bucket(spark, tmp_path):
+    from pricekit.sinks.tables import write_table
+    spark.sql("DROP TABLE IF EXISTS one_file")
+    write_table(spark.range(0, 1000, 1, 6), "one_file", "overwrite", bucket_by=(7, ["id"]))
+    assert len(spark.table("one_file").inputFiles()) == 7

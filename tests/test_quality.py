@@ -25,8 +25,7 @@ def test_checks_and_status(spark, table):
     res = qc_check(qc_metrics(table, "t"), rules)
     assert rows(res, "column_name", "passed") == [("*", True), ("missing", False), ("n", False)]
     assert qc_status(res).first()["status"] == "WARN"
-    err = rules_frame(spark, [("t", "s", "null_count", "=", 0, "ERROR")])
-    results, status = run_qc(table, "t", err)
+    results, status = run_qc(table, "t", [("t", "s", "null_count", "=", 0, "ERROR")])
     assert status == "ERROR"
     with pytest.raises(QualityGateError):
         gate(status)
@@ -36,3 +35,28 @@ def test_checks_and_status(spark, table):
 def test_unknown_operator(spark):
     with pytest.raises(ValueError):
         rules_frame(spark, [("t", "s", "null_count", "~", 0, "ERROR")])
+
+
+@pytest.mark.parametrize("metric,severity", [("nul_count", "ERROR"), ("null_count", "Error"), ("null_count", "")])
+def test_typos_are_refused(spark, table, metric, severity):
+    with pytest.raises(ValueError):
+        run_qc(table, "t", [("t", "s", metric, "=", 0, severity)])
+
+
+def test_min_and_max_of_text_dates_and_timestamps(spark):
+    df = spark.sql("SELECT date'2024-01-02' + id AS d, timestamp_ntz'2024-01-02 03:04:05' AS ts, 'x' || id AS s FROM (SELECT cast(id AS int) AS id FROM range(3))")
+    asked = [(c, m) for c in df.columns for m in ("min", "max")]
+    got = {(r.column_name, r.metric): r.value_text for r in qc_metrics(df, "t", asked).collect()}
+    assert ("s", "min") not in {(r.column_name, r.metric) for r in qc_metrics(df, "t").collect()}
+    assert got["d", "min"] == "2024-01-02" and got["d", "max"] == "2024-01-04" and got["s", "max"] == "x2"
+    assert got["ts", "min"] == "2024-01-02 03:04:05"
+    assert run_qc(df, "t", [("t", "d", "max", "<", "2024-01-05", "ERROR"), ("t", "s", "min", "=", "x0", "ERROR")])[1] == "PASS"
+    assert run_qc(df, "t", [("t", "d", "max", "<", "2024-01-04", "ERROR")])[1] == "ERROR"
+
+
+def test_distinct_counts_only_when_asked(spark, table):
+    def plan(pairs):
+        return qc_metrics(table, "t", pairs)._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan([("n", "min"), ("s", "null_count"), ("s", "approx_distinct_count")])
+    assert "distinct" not in plan([("n", "min"), ("n", "max")]).lower()
+    assert "distinct" in plan([("n", "distinct_count")]).lower() or "n#" in plan([("n", "distinct_count")])

@@ -56,7 +56,7 @@ def test_top1_hot_key_is_combined_before_the_shuffle(spark):
 def test_merge_with_hot_key(spark):
     df = _skewed(spark)
     prev = merge_latest(df.filter(F.col("t") < N // 2), None, ["k"], ["t"])
-    for method in ("window", "aggregate", "join"):
+    for method in ("window", "join"):
         merged = merge_latest(df.filter(F.col("t") >= N // 2), prev, ["k"], ["t"], method=method)
         assert rows(merged) == rows(merge_latest(df, None, ["k"], ["t"])), method
 
