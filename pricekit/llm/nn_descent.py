@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from pricekit.llm import _hash
 from pricekit.llm._stage import staged
 
-K, TABLES, RUN, ROUNDS, SETTLED, EACH = 24, 6, 256, 8, 0.002, 6
-BEAM, WIDTH, STEPS, ENTRIES = 64, 16, 12, 32
+K, TABLES, RUN, ROUNDS, SETTLED, EACH = 32, 6, 256, 8, 0.002, 6
+BEAM, WIDTH, STEPS, ENTRIES = 128, 32, 12, 32
 
 
 def _matrix(column) -> np.ndarray:
