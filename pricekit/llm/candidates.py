@@ -1,12 +1,15 @@
-"""From buckets of look-alikes to verified links, without all pairs of a bucket.
+"""From buckets of look-alikes to verified links, without emitting all pairs of a bucket.
 
 1. In each bucket every member is compared with the bucket's leader (its
    smallest node): as many comparisons as there are members.
 2. Members that this already puts into one component need no more. Where a
-   bucket still holds several components, members of different ones are
-   compared too, except those whose distances to the leader differ by more
-   than the largest distance that counts as a link: one minus the similarity
-   is a metric for Jaccard and probability Jaccard, so these can't be links.
+   bucket still holds several components, members outside the leader's
+   component are compared with those of other components, except where the
+   distances to the leader differ by more than the largest distance of a
+   link: one minus the similarity is a metric for Jaccard and probability
+   Jaccard, so these can't be links. Small buckets do so pair by pair. Large
+   ones are cut into blocks; a task gets two blocks, compares them by matrix
+   products and returns links only, so rows grow with members and blocks.
 
 So every pair that shares a bucket is linked, proven too far apart, or known
 to be in one component.
@@ -16,6 +19,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,12 +29,80 @@ from pricekit.llm._stage import staged
 from pricekit.llm.components import connected_components
 
 
+SMALL, BLOCK, COLUMNS = 64, 256, 8192
+#: Distinct elements, their weights and their texts' numbers, of a column of texts.
+Features = Callable[[pa.Array], tuple[np.ndarray, np.ndarray, np.ndarray]]
+
+
+def probability_jaccard(x: tuple, y: tuple) -> float:
+    """Probability Jaccard similarity of two weighted sets, each (sorted elements, weights).
+
+    The sum over common elements i of 1 / sum_j max(x_j / x_i, y_j / y_i), by one
+    sort of the ratios x_j / y_j. With equal weights it is the Jaccard similarity.
+    """
+    (ea, wa), (eb, wb) = x, y
+    if not len(ea) or not len(eb):
+        return 0.0
+    every = np.union1d(ea, eb)
+    xs, ys = np.zeros(len(every)), np.zeros(len(every))
+    xs[np.searchsorted(every, ea)] = wa
+    ys[np.searchsorted(every, eb)] = wb
+    with np.errstate(divide="ignore"):
+        ratio = xs / ys
+    order = np.argsort(ratio, kind="stable")
+    xs, ys, ratio = xs[order], ys[order], ratio[order]
+    above = np.concatenate([np.cumsum(xs[::-1])[::-1], [0.0]])
+    below = np.concatenate([[0.0], np.cumsum(ys)])
+    common = (xs > 0) & (ys > 0)
+    cut = np.searchsorted(ratio, ratio[common], side="left")
+    return float((1 / (above[cut] / xs[common] + below[cut] / ys[common])).sum())
+
+
+def block_links(left: pa.Table, right: pa.Table, features: Features, threshold: float) -> pa.Table:
+    """Links between the rows ``(node, value, component, far)`` of two blocks."""
+    sides = []
+    for table in (left, right):
+        elements, weights, owner = features(table.column("value").combine_chunks())
+        order = np.lexsort((elements, owner))
+        sides.append((elements[order], weights[order], owner[order], table.num_rows))
+    every = np.unique(np.concatenate([s[0] for s in sides]))
+    totals = [np.bincount(o, w, n) for _, w, o, n in sides]
+    shared = [np.zeros((left.num_rows, right.num_rows), np.float32) for _ in range(2)]
+    places = [np.searchsorted(every, s[0]) for s in sides]
+    for low in range(0, len(every), COLUMNS):
+        dense = []
+        for (_, w, o, n), at in zip(sides, places):
+            mine = (at >= low) & (at < low + COLUMNS)
+            part = np.zeros((n, min(COLUMNS, len(every) - low)), np.float32)
+            part[o[mine], at[mine] - low] = w[mine]
+            dense.append(part)
+        shared[0] += dense[0] @ (dense[1] > 0).T.astype(np.float32)
+        shared[1] += (dense[0] > 0).astype(np.float32) @ dense[1].T
+    # a similarity is at most the share of either side's weight that is common
+    least = threshold - 1e-4
+    may = (shared[0] >= least * totals[0][:, None]) & (shared[1] >= least * totals[1][None, :])
+    may &= left.column("component").to_numpy()[:, None] != right.column("component").to_numpy()[None, :]
+    may &= np.abs(left.column("far").to_numpy()[:, None] - right.column("far").to_numpy()[None, :]) <= 1 - threshold + 1e-9
+    cuts = [np.searchsorted(o, np.arange(n + 1)) for _, _, o, n in sides]
+    nodes = [t.column("node").to_numpy() for t in (left, right)]
+    out = []
+    for i, j in zip(*np.nonzero(may)):
+        pair = [(s[0][c[k]:c[k + 1]], s[1][c[k]:c[k + 1]]) for s, c, k in zip(sides, cuts, (i, j))]
+        found = probability_jaccard(*pair)
+        if found >= threshold:
+            out.append((min(nodes[0][i], nodes[1][j]), max(nodes[0][i], nodes[1][j]), found))
+    a, b, s = zip(*out) if out else ((), (), ())
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "similarity": pa.array(s, pa.float64())})
+
+
 def verified_links(buckets: DataFrame, values: Callable[[DataFrame], DataFrame],
-                   similarity: Callable[[Column, Column], Column], threshold: float) -> DataFrame:
+                   similarity: Callable[[Column, Column], Column], features: Callable[[], Features],
+                   threshold: float) -> DataFrame:
     """Links ``(a, b, similarity)`` with ``similarity >= threshold`` of nodes that share a bucket.
 
     ``buckets``: rows ``(key, node)``. ``values`` turns rows
-    ``(node)`` into rows ``(node, value)``; ``similarity`` of two values is exact.
+    ``(node)`` into rows ``(node, value)``; ``similarity`` of two values is exact, ``features``
+    makes the function that gives the weighted elements it is computed from.
     """
     within = Window.partitionBy("key")
     members = staged(buckets.select("key", "node", F.min("node").over(within).alias("lead"),
@@ -53,14 +127,33 @@ def verified_links(buckets: DataFrame, values: Callable[[DataFrame], DataFrame],
                       F.when(F.col("node") == F.col("lead"), F.lit(0.0))
                       .otherwise(1 - F.col("similarity")).alias("far")))
     placed = staged(placed, "placed")
-    mixed = (placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-             .filter("x <> y").select("key"))
+    mixed = (placed.groupBy("key").agg(
+        F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n"),
+        F.max(F.when(F.col("node") == F.col("lead"), F.col("component"))).alias("main"))
+        .filter("x <> y").select("key", "n", "main"))
     rest = staged(placed.filter("node <> lead").join(mixed, "key"), "mixed")
-    left = rest.select("key", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("far").alias("fa"))
-    right = rest.select("key", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("far").alias("fb"))
+    few = rest.filter(F.col("n") <= SMALL)
+    left = few.filter("component <> main").select("key", F.col("node").alias("p"), F.col("component").alias("cp"), F.col("far").alias("fp"))
+    right = few.select("key", F.col("node").alias("q"), F.col("component").alias("cq"), F.col("far").alias("fq"))
     more = staged(left.join(right, "key")
-                  .filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
-                          & (F.abs(F.col("fa") - F.col("fb")) <= 1 - threshold + 1e-9))
-                  .select("a", "b").distinct()
+                  .filter((F.col("cp") != F.col("cq")) & (F.abs(F.col("fp") - F.col("fq")) <= 1 - threshold + 1e-9))
+                  .select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
                   .join(first.select("a", "b"), ["a", "b"], "left_anti"), "more")
-    return links.union(compared(more, "further").filter(F.col("similarity") >= threshold))
+    links = links.union(compared(more, "further").filter(F.col("similarity") >= threshold))
+    return links.union(_links_in_blocks(rest.filter(F.col("n") > SMALL), known, features, threshold))
+
+
+def _links_in_blocks(rest: DataFrame, known: DataFrame, features: Callable[[], Features], threshold: float) -> DataFrame:
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    mine = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    each = F.explode(F.sequence(F.lit(0), blocks - 1))
+    columns = ["key", "node", "component", "far"]
+    dealt = (rest.filter("component <> main").select(*columns, F.lit(True).alias("first"), mine.alias("i"), each.alias("j"))
+             .union(rest.select(*columns, F.lit(False).alias("first"), each.alias("i"), mine.alias("j"))))
+
+    def compare(table: pa.Table) -> pa.Table:
+        first = table.column("first")
+        return block_links(table.filter(first), table.filter(pc.invert(first)), features(), threshold)
+
+    return staged(dealt.join(known, "node").groupBy("key", "i", "j").applyInArrow(
+        compare, "a bigint, b bigint, similarity double").distinct(), "blocks")

@@ -148,6 +148,19 @@ def line_buckets(texts: DataFrame, text_col: str, shingle: int = SHINGLE, bands:
     return texts.select(text_col).mapInArrow(emit, "key bigint, node bigint")
 
 
+def distinct_shingles(lines, shingle: int, tables: dict):
+    """Distinct shingles of each line, equal weights, and the lines' numbers."""
+    data, off = _hash.buffers(_normal(lines))
+    hashes, owner, _ = char_shingles(data, off, shingle, tables)
+    _, index = np.unique(hashes + owner.astype(_U) * _U(_hash.BASE), return_index=True)
+    return hashes[index], np.ones(len(index)), owner[index]
+
+
+def _features(shingle: int):
+    tables: dict = {}
+    return lambda lines: distinct_shingles(lines, shingle, tables)
+
+
 def jaccard_udf(shingle: int = SHINGLE):
     """Column function: exact Jaccard similarity of two lines' character shingles."""
     @F.arrow_udf("double")
@@ -156,10 +169,8 @@ def jaccard_udf(shingle: int = SHINGLE):
 
         def sets(column):
             """Distinct shingles, made distinct between rows too, and their rows."""
-            data, off = _hash.buffers(_normal(column))
-            hashes, owner, _ = char_shingles(data, off, shingle, tables)
-            keys, index = np.unique(hashes + owner.astype(_U) * _U(_hash.BASE), return_index=True)
-            return keys, owner[index]
+            hashes, _, owner = distinct_shingles(column, shingle, tables)
+            return hashes + owner.astype(_U) * _U(_hash.BASE), owner
 
         out = [np.zeros(0)]
         for low in range(0, len(a), 2048):
@@ -186,7 +197,7 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return (lines.select("l.node", "l.value").join(nodes, "node")
                 .groupBy("node").agg(F.min("value").alias("value")))
 
-    links = verified_links(buckets, values, lambda a, b: score(a, b), threshold)
+    links = verified_links(buckets, values, lambda a, b: score(a, b), lambda: _features(shingle), threshold)
     component = connected_components(links)
     each = (base.select("row", F.col(f"doc.{id_col}").alias("id"), F.posexplode("lines").alias("at", "node"))
             .filter("node <> 0"))

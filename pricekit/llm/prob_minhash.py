@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from pricekit.llm import _hash
 from pricekit.llm._stage import staged
-from pricekit.llm.candidates import verified_links
+from pricekit.llm.candidates import probability_jaccard, verified_links
 from pricekit.llm.components import connected_components
 
 MASK = (1 << 64) - 1
@@ -101,30 +101,6 @@ def bands_udf(shingle: int = SHINGLE, bands: int = BANDS, rows: int = ROWS):
     return keys
 
 
-def probability_jaccard(x: dict | tuple, y: dict | tuple) -> float:
-    """Probability Jaccard similarity of two weighted sets, each (sorted elements, weights).
-
-    The sum over common elements i of 1 / sum_j max(x_j / x_i, y_j / y_i),
-    by one sort of the ratios x_j / y_j.
-    """
-    (ea, wa), (eb, wb) = x, y
-    if not len(ea) or not len(eb):
-        return 0.0
-    every = np.union1d(ea, eb)
-    xs, ys = np.zeros(len(every)), np.zeros(len(every))
-    xs[np.searchsorted(every, ea)] = wa
-    ys[np.searchsorted(every, eb)] = wb
-    with np.errstate(divide="ignore"):
-        ratio = xs / ys
-    order = np.argsort(ratio, kind="stable")
-    xs, ys, ratio = xs[order], ys[order], ratio[order]
-    above = np.concatenate([np.cumsum(xs[::-1])[::-1], [0.0]])
-    below = np.concatenate([[0.0], np.cumsum(ys)])
-    common = (xs > 0) & (ys > 0)
-    cut = np.searchsorted(ratio, ratio[common], side="left")
-    return float((1 / (above[cut] / xs[common] + below[cut] / ys[common])).sum())
-
-
 def similarity_udf(shingle: int = SHINGLE):
     """Column function: exact probability Jaccard of two texts' weighted shingles."""
     @F.arrow_udf("double")
@@ -145,6 +121,11 @@ def similarity_udf(shingle: int = SHINGLE):
     return similarity
 
 
+def _features(shingle: int):
+    tables: dict = {}
+    return lambda texts: weighted(texts, shingle, tables)[:3]
+
+
 def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                            shingle: int = SHINGLE, threshold: float = THRESHOLD,
                            bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -163,7 +144,7 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     def texts(nodes):
         return base.select(F.col("row").alias("node"), text.alias("value")).join(nodes, "node")
 
-    links = verified_links(buckets, texts, lambda a, b: score(a, b), threshold)
+    links = verified_links(buckets, texts, lambda a, b: score(a, b), lambda: _features(shingle), threshold)
     component = connected_components(links)
     return (base.select("row", "doc")
             .join(placed.select("row", "node"), "row")

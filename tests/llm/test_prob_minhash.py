@@ -88,3 +88,26 @@ def test_components_of_hubs_chains_and_loops(spark):
     nodes = {x for a, b in links if a != b for x in (a, b)}
     assert got == components(nodes, links)
     assert connected_components(df.limit(0)).count() == 0
+
+
+def test_large_buckets_go_in_blocks(spark, monkeypatch):
+    """The same classes when mixed buckets are cut into blocks."""
+    from pricekit.llm import candidates
+    monkeypatch.setattr(candidates, "SMALL", 3)
+    monkeypatch.setattr(candidates, "BLOCK", 7)
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(300)]
+    base = [rng.choice(words) for _ in range(100)]
+    texts = {}
+    for k in range(90):
+        c = list(base)
+        for _ in range(rng.randint(0, 4)):
+            c[rng.randrange(100)] = f"y{rng.randrange(12)}"
+        texts[k] = " ".join(c)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    by_class = {}
+    for r in prob_minhash.near_duplicate_classes(df).collect():
+        by_class.setdefault(r["class_row"], []).append(r["doc"]["doc_id"])
+    got = {d: min(g) for g in by_class.values() for d in g}
+    want = classes(texts)
+    assert sum(got[k] != want[k] for k in got) <= 2 and len(set(want.values())) > 1
