@@ -67,7 +67,8 @@ def signatures(shingles: np.ndarray, owner: np.ndarray, texts: int, size: int) -
     """
     empty = _U(0xFFFFFFFFFFFFFFFF)
     found = np.full(texts * size, empty)
-    np.minimum.at(found, owner * size + (shingles % _U(size)).astype(np.int64), _hash.mix(shingles))
+    register = ((shingles >> _U(32)) * _U(size) >> _U(32)).astype(np.int64)
+    np.minimum.at(found, owner * size + register, shingles * _U(_hash.BASE))  # the order does not follow the register
     found = found.reshape(texts, size)
     result = found.copy()
     text, place = np.nonzero(found == empty)
@@ -168,16 +169,19 @@ def jaccard_udf(shingle: int = SHINGLE):
         tables: dict = {}
 
         def sets(column):
-            """Distinct shingles, made distinct between rows too, and their rows."""
-            hashes, _, owner = distinct_shingles(column, shingle, tables)
-            return hashes + owner.astype(_U) * _U(_hash.BASE), owner
+            """Distinct keys in order, each a row's number and 53 bits of a shingle."""
+            data, off = _hash.buffers(_normal(column))
+            hashes, owner, _ = char_shingles(data, off, shingle, tables)
+            keys = np.sort(owner.astype(_U) << _U(53) | hashes >> _U(11))
+            return keys[np.append(True, keys[1:] != keys[:-1])] if len(keys) else keys
 
         out = [np.zeros(0)]
         for low in range(0, len(a), 2048):
             n = min(2048, len(a) - low)
-            (x, of_x), (y, of_y) = sets(a.slice(low, n)), sets(b.slice(low, n))
-            common = np.bincount(of_x[np.isin(x, y, assume_unique=True)], minlength=n)
-            union = np.bincount(of_x, minlength=n) + np.bincount(of_y, minlength=n) - common
+            x, y = sets(a.slice(low, n)), sets(b.slice(low, n))
+            both = np.sort(np.concatenate([x, y]))
+            common = np.bincount((both[1:][both[1:] == both[:-1]] >> _U(53)).astype(np.int64), minlength=n)
+            union = np.bincount((both >> _U(53)).astype(np.int64), minlength=n) - common
             out.append(common / np.maximum(union, 1))
         return pa.array(np.concatenate(out))
     return similarity
