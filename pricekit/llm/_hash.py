@@ -43,7 +43,7 @@ class Prefix:
 
     def __init__(self, data: np.ndarray, tables: dict):
         n = len(data)
-        if tables.get("n", 0) < n:
+        if tables.get("n", -1) < n:
             size = max(n, BLOCK + 4096)
             inverse = pow(BASE, -1, 1 << 64)
             tables["n"] = size

@@ -51,12 +51,14 @@ def char_shingles(data: np.ndarray, offsets: np.ndarray, size: int, tables: dict
     first = np.searchsorted(chars, offsets)
     chars = np.append(chars, len(data))
     count = np.diff(first)
-    number = np.where(count >= size, count - size + 1, (count > 0).astype(count.dtype))
-    owner = np.repeat(np.arange(len(count)), number)
-    begin = np.concatenate([[0], np.cumsum(number)])[:-1]
-    at = first[:-1][owner] + np.arange(len(owner)) - begin[owner]
-    end = np.minimum(at + size, first[1:][owner])
-    return _hash.mix(sums.ranges(chars[at], chars[end])), owner, _names(sums, offsets)
+    runs = max(0, len(chars) - size)  # of characters of all texts, one after the other
+    text = np.repeat(np.arange(len(count)), count)[:runs]
+    inside = np.arange(size, size + runs) <= first[1:][text]
+    at = sums.sums[chars]
+    hashes = ((at[size:] - at[:runs]) * sums.down[chars[:runs]])[inside]
+    short = np.flatnonzero((count > 0) & (count < size))
+    hashes = np.concatenate([hashes, sums.ranges(offsets[short], offsets[short + 1])])
+    return _hash.mix(hashes), np.concatenate([text[inside], short]), _names(sums, offsets)
 
 
 def signatures(shingles: np.ndarray, owner: np.ndarray, texts: int, size: int) -> np.ndarray:
