@@ -7,7 +7,8 @@
    component are compared with those of other components, except where the
    distances to the leader differ by more than the largest distance of a
    link: one minus the similarity is a metric for Jaccard and probability
-   Jaccard, so these can't be links. Small buckets do so pair by pair. Large
+   Jaccard, so these can't be links. For this, buckets with one leader are
+   taken together. Small ones go pair by pair. Large
    ones are cut into blocks; a task gets two blocks, compares them by matrix
    products and returns links only, so rows grow with members and blocks.
 
@@ -29,7 +30,7 @@ from pricekit.llm._stage import staged
 from pricekit.llm.components import connected_components
 
 
-SMALL, BLOCK, COLUMNS = 64, 256, 8192
+SMALL, BLOCK, BLOCK_CHARS, COLUMNS = 64, 1024, 8 << 20, 4096
 #: Distinct elements, their weights and their texts' numbers, of a column of texts.
 Features = Callable[[pa.Array], tuple[np.ndarray, np.ndarray, np.ndarray]]
 
@@ -126,16 +127,17 @@ def verified_links(buckets: DataFrame, values: Callable[[DataFrame], DataFrame],
               .select("key", "node", "lead", F.coalesce("component", "node").alias("component"),
                       F.when(F.col("node") == F.col("lead"), F.lit(0.0))
                       .otherwise(1 - F.col("similarity")).alias("far")))
-    placed = staged(placed, "placed")
-    mixed = (placed.groupBy("key").agg(
+    # buckets with one leader go together: their members' distances to it are the same
+    placed = staged(placed.drop("key").distinct(), "placed")
+    mixed = (placed.groupBy("lead").agg(
         F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n"),
         F.max(F.when(F.col("node") == F.col("lead"), F.col("component"))).alias("main"))
-        .filter("x <> y").select("key", "n", "main"))
-    rest = staged(placed.filter("node <> lead").join(mixed, "key"), "mixed")
+        .filter("x <> y").select("lead", "n", "main"))
+    rest = staged(placed.filter("node <> lead").join(mixed, "lead"), "mixed")
     few = rest.filter(F.col("n") <= SMALL)
-    left = few.filter("component <> main").select("key", F.col("node").alias("p"), F.col("component").alias("cp"), F.col("far").alias("fp"))
-    right = few.select("key", F.col("node").alias("q"), F.col("component").alias("cq"), F.col("far").alias("fq"))
-    more = staged(left.join(right, "key")
+    left = few.filter("component <> main").select("lead", F.col("node").alias("p"), F.col("component").alias("cp"), F.col("far").alias("fp"))
+    right = few.select("lead", F.col("node").alias("q"), F.col("component").alias("cq"), F.col("far").alias("fq"))
+    more = staged(left.join(right, "lead")
                   .filter((F.col("cp") != F.col("cq")) & (F.abs(F.col("fp") - F.col("fq")) <= 1 - threshold + 1e-9))
                   .select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
                   .join(first.select("a", "b"), ["a", "b"], "left_anti"), "more")
@@ -144,10 +146,12 @@ def verified_links(buckets: DataFrame, values: Callable[[DataFrame], DataFrame],
 
 
 def _links_in_blocks(rest: DataFrame, known: DataFrame, features: Callable[[], Features], threshold: float) -> DataFrame:
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    mine = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    each = F.explode(F.sequence(F.lit(0), blocks - 1))
-    columns = ["key", "node", "component", "far"]
+    size = (rest.join(known.select("node", F.length("value").alias("chars")), "node").groupBy("lead")
+            .agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("chars") / BLOCK_CHARS)).cast("int").alias("blocks")))
+    rest = rest.join(size, "lead")
+    mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    each = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    columns = ["lead", "node", "component", "far"]
     dealt = (rest.filter("component <> main").select(*columns, F.lit(True).alias("first"), mine.alias("i"), each.alias("j"))
              .union(rest.select(*columns, F.lit(False).alias("first"), each.alias("i"), mine.alias("j"))))
 
@@ -155,5 +159,5 @@ def _links_in_blocks(rest: DataFrame, known: DataFrame, features: Callable[[], F
         first = table.column("first")
         return block_links(table.filter(first), table.filter(pc.invert(first)), features(), threshold)
 
-    return staged(dealt.join(known, "node").groupBy("key", "i", "j").applyInArrow(
+    return staged(dealt.join(known, "node").groupBy("lead", "i", "j").applyInArrow(
         compare, "a bigint, b bigint, similarity double").distinct(), "blocks")
