@@ -128,6 +128,12 @@ def cost_merge_latest_join(spark, sf_dir):
 
 # ------------------------------------------------------------- cluster ----
 
+def _cluster_feeds(spark, sf_dir):
+    """The six feeds as scans of one written table, as in production they are tables."""
+    load = _load(spark, sf_dir)
+    return adapters.cluster_feeds(load, materialise(adapters.cluster_raw(load), "cluster-raw"))
+
+
 def cluster_clean_path(spark, sf_dir):
     raw = adapters.cluster_raw(_load(spark, sf_dir))
     return raw.select("sku", "path", clean_path("path").alias("cleaned_path"), "quarter",
@@ -135,30 +141,30 @@ def cluster_clean_path(spark, sf_dir):
 
 
 def cluster_conform(spark, sf_dir):
-    feeds = adapters.cluster_feeds(_load(spark, sf_dir))
+    feeds = _cluster_feeds(spark, sf_dir)
     return union_feeds(conform_all(feeds, with_name=True), distinct=False)
 
 
 def cluster_union(spark, sf_dir):
-    feeds = adapters.cluster_feeds(_load(spark, sf_dir))
+    feeds = _cluster_feeds(spark, sf_dir)
     return cluster.union_clusters(feeds, EMEA, AMS, distinct=True)
 
 
 def cluster_latest_period(spark, sf_dir):
-    feeds = adapters.cluster_feeds(_load(spark, sf_dir))
+    feeds = _cluster_feeds(spark, sf_dir)
     union = cluster.union_clusters(feeds, EMEA, AMS, distinct=False)
     return latest_period(union, cluster.KEYS, "fiscal_quarter", "PATH",
                          out="latest_fiscal_quarter")
 
 
 def cluster_latest_rows(spark, sf_dir):
-    feeds = adapters.cluster_feeds(_load(spark, sf_dir))
+    feeds = _cluster_feeds(spark, sf_dir)
     union = materialise(cluster.union_clusters(feeds, EMEA, AMS, distinct=True), "cluster-union")
     return rows_of_latest_period(union, cluster.KEYS, "fiscal_quarter", "PATH")
 
 
 def cluster_latest(spark, sf_dir):
-    return cluster.cluster_latest(adapters.cluster_feeds(_load(spark, sf_dir)), EMEA, AMS)
+    return cluster.cluster_latest(_cluster_feeds(spark, sf_dir), EMEA, AMS)
 
 
 # ------------------------------------------------------ rates, geo, gt ----
@@ -224,7 +230,7 @@ def cost_job_two_runs(spark, sf_dir):
 
 def cluster_job(spark, sf_dir):
     folder = _folder(spark)
-    feeds = {name: _written(df, folder, name) for name, df in adapters.cluster_feeds(_load(spark, sf_dir)).items()}
+    feeds = {name: _written(df, folder, name) for name, df in _cluster_feeds(spark, sf_dir).items()}
     out = cluster.run(spark, {"input": feeds, "output": {"cluster": {"path": f"{folder}/cluster"}},
                               "basic_config": {"emea_countries": list(EMEA), "ams_countries": list(AMS)}})
     return drop_audit_columns(out)

@@ -169,9 +169,12 @@ def _pick(ctry, names: tuple[str, str, str, str]):
             .when(ctry == 2, F.lit(names[2])).otherwise(F.lit(names[3])))
 
 
-def cluster_feeds(load: Loader) -> dict[str, DataFrame]:
-    """The six feeds, each with its own column shape (see the module docs of conform)."""
-    raw = cluster_raw(load)
+def cluster_feeds(load: Loader, raw: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The six feeds, each with its own column shape (see the module docs of conform).
+
+    ``raw``: the rows of :func:`cluster_raw` as a written table, so the feeds are scans of it.
+    """
+    raw = cluster_raw(load) if raw is None else raw
     ctry = F.col("ctry")
     base = [F.col("sku").alias("SKU"), F.col("cluster").alias("CLUSTER"), F.col("path").alias("PATH")]
 
