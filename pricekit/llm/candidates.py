@@ -61,32 +61,38 @@ def probability_jaccard(x: tuple, y: tuple) -> float:
 
 def block_links(left: pa.Table, right: pa.Table, features: Features, threshold: float) -> pa.Table:
     """Links between the rows ``(node, value, component, far)`` of two blocks."""
-    sides = []
+    sides, out = [], []
     for table in (left, right):
         elements, weights, owner = features(table.column("value").combine_chunks())
         order = np.lexsort((elements, owner))
         sides.append((elements[order], weights[order], owner[order], table.num_rows))
-    every = np.unique(np.concatenate([s[0] for s in sides]))
     totals = [np.bincount(o, w, n) for _, w, o, n in sides]
-    shared = [np.zeros((left.num_rows, right.num_rows), np.float32) for _ in range(2)]
-    places = [np.searchsorted(every, s[0]) for s in sides]
-    for low in range(0, len(every), COLUMNS):
+    # elements of one side only are in no intersection
+    both = np.intersect1d(sides[0][0], sides[1][0])
+    equal = all((w == 1).all() for _, w, _, _ in sides)
+    shared = [np.zeros((left.num_rows, right.num_rows), np.float32) for _ in range(1 if equal else 2)]
+    places = [np.searchsorted(both, e) for e, _, _, _ in sides]
+    common = [at < len(both) for at in places]
+    common = [c & (both[np.minimum(at, len(both) - 1)] == s[0]) if len(both) else c for c, at, s in zip(common, places, sides)]
+    for low in range(0, len(both), COLUMNS):
         dense = []
-        for (_, w, o, n), at in zip(sides, places):
-            mine = (at >= low) & (at < low + COLUMNS)
-            part = np.zeros((n, min(COLUMNS, len(every) - low)), np.float32)
+        for (_, w, o, n), at, c in zip(sides, places, common):
+            mine = c & (at >= low) & (at < low + COLUMNS)
+            part = np.zeros((n, min(COLUMNS, len(both) - low)), np.float32)
             part[o[mine], at[mine] - low] = w[mine]
             dense.append(part)
-        shared[0] += dense[0] @ (dense[1] > 0).T.astype(np.float32)
-        shared[1] += (dense[0] > 0).astype(np.float32) @ dense[1].T
+        if equal:
+            shared[0] += dense[0] @ dense[1].T
+        else:
+            shared[0] += dense[0] @ (dense[1] > 0).T.astype(np.float32)
+            shared[1] += (dense[0] > 0).astype(np.float32) @ dense[1].T
     # a similarity is at most the share of either side's weight that is common
     least = threshold - 1e-4
-    may = (shared[0] >= least * totals[0][:, None]) & (shared[1] >= least * totals[1][None, :])
+    may = (shared[0] >= least * totals[0][:, None]) & (shared[-1] >= least * totals[1][None, :])
     may &= left.column("component").to_numpy()[:, None] != right.column("component").to_numpy()[None, :]
     may &= np.abs(left.column("far").to_numpy()[:, None] - right.column("far").to_numpy()[None, :]) <= 1 - threshold + 1e-9
     cuts = [np.searchsorted(o, np.arange(n + 1)) for _, _, o, n in sides]
     nodes = [t.column("node").to_numpy() for t in (left, right)]
-    out = []
     for i, j in zip(*np.nonzero(may)):
         pair = [(s[0][c[k]:c[k + 1]], s[1][c[k]:c[k + 1]]) for s, c, k in zip(sides, cuts, (i, j))]
         found = probability_jaccard(*pair)
