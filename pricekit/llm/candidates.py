@@ -30,7 +30,7 @@ from pricekit.llm._stage import staged
 from pricekit.llm.components import connected_components
 
 
-SMALL, BLOCK, BLOCK_CHARS, COLUMNS = 64, 1024, 8 << 20, 4096
+SMALL, BLOCK, BLOCK_CHARS, COLUMNS = 16, 1024, 8 << 20, 4096
 #: Distinct elements, their weights and their texts' numbers, of a column of texts.
 Features = Callable[[pa.Array], tuple[np.ndarray, np.ndarray, np.ndarray]]
 
