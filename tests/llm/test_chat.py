@@ -62,3 +62,14 @@ def test_deep_chain_nulls_and_repeated_turns(spark):
 def test_empty(spark):
     df = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.format_conversations(chat.linear_messages(df)).count() == 0
+
+
+def test_query_equals_sql(spark):
+    import duckdb
+
+    from pricekit.llm.queries import ORACLE_SQL
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{SMALL}/conversations.parquet')")
+    res = con.execute(ORACLE_SQL["op4_reply_trees"])
+    names = [d[0] for d in res.description]
+    assert sorted(res.fetchall()) == sorted(tuple(r[c] for c in names) for r in QUERIES["op4_reply_trees"](spark, SMALL).collect())
