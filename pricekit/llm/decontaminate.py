@@ -6,7 +6,10 @@ the documents are joined by hash with those of the benchmark. A document
 leaks an item if it holds at least 0.8 of the item's distinct windows in
 consistent places: within one alignment of document and item (the distance
 between the places of a window in both), one value of the item must always
-stand for one value of the document. DataFrame functions only.
+stand for one value of the document; or if it holds, within one such alignment, a
+run of at least 13 words that windows of a benchmark row cover without a gap
+(all that its windows cover, if that is less), however small the share. Such
+an item is in the result with its share. DataFrame functions only.
 
 Windows with fewer than two ordinary words say nothing and take no part. An
 item without any window (too short, or placeholders only) matches nothing.
@@ -21,12 +24,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricekit.llm._stage import staged
 
 WINDOW, THRESHOLD, LITERALS = 5, 0.8, 2
+#: So many words in a row are a leak, whatever the share of the item.
+RUN = 13
 #: The benchmark's windows are broadcast up to this number (at most 40 bytes each), else shuffled.
 BROADCAST_ROWS = 1_000_000
 # Words that count as units.
@@ -67,21 +72,24 @@ def windows(df: DataFrame, key: str, text: Column, size: int = WINDOW) -> DataFr
 
 def leaks(docs: DataFrame, benchmark: DataFrame, row: str = "row", text: Column | str = "text",
           item_col: str = "item_id", item_text: str = "text", size: int = WINDOW,
-          threshold: float = THRESHOLD) -> DataFrame:
+          threshold: float = THRESHOLD, run: int = RUN) -> DataFrame:
     """``(row, item, matched, total, similarity)`` of documents and the items they leak.
 
     ``row`` must be unique in ``docs``.
     """
     text = F.col(text) if isinstance(text, str) else text
-    items = staged(windows(benchmark.select(F.col(item_col).alias("item"), F.col(item_text).alias("t")), "item", F.col("t"), size)
-                   .select(F.col("item"), F.col("at").alias("item_at"), "window", F.col("slots").alias("item_slots")), "benchmark")
+    each = F.struct(F.monotonically_increasing_id().alias("row"), F.col(item_col).alias("item")).alias("key")
+    items = staged(windows(benchmark.select(each, F.col(item_text).alias("t")), "key", F.col("t"), size)
+                   .select("key.item", F.col("key.row").alias("item_row"), F.col("at").alias("item_at"), "window",
+                           F.col("slots").alias("item_slots")), "benchmark")
+    covered = items.groupBy("item_row").agg((F.max("item_at") - F.min("item_at") + size).alias("covered"))
     total = items.groupBy("item").agg(F.count_distinct("window").alias("total"))
     keyed = items.select("window").distinct()
     few = keyed.count() <= BROADCAST_ROWS
     found = windows(docs.select(F.col(row).alias("row"), text.alias("t")), "row", F.col("t"), size)
     hits = staged(found.join(F.broadcast(keyed) if few else keyed, "window", "left_semi"), "hits").join(items, "window")
     diagonal = F.col("at") - F.col("item_at")
-    hits = hits.select("row", "item", "window", diagonal.alias("diagonal"), "slots", "item_slots").distinct()
+    hits = hits.select("row", "item", "item_row", "at", "window", diagonal.alias("diagonal"), "slots", "item_slots")
     pairs = (hits.select("row", "item", "diagonal",
                          F.explode(F.arrays_zip(F.split("item_slots", " ").alias("theirs"), F.split("slots", " ").alias("ours"))).alias("p"))
              .select("row", "item", "diagonal", "p.theirs", "p.ours").distinct()
@@ -92,9 +100,19 @@ def leaks(docs: DataFrame, benchmark: DataFrame, row: str = "row", text: Column
         (F.col("h.row") == F.col("p.row")) & F.col("h.item").eqNullSafe(F.col("p.item")) & (F.col("h.diagonal") == F.col("p.diagonal")),
         "left_semi")
     matched = good.select("row", "item", "window").distinct().groupBy("row", "item").agg(F.count("*").alias("matched"))
+    # windows at most their size apart leave no word between them
+    order = Window.partitionBy("row", "item_row", "diagonal").orderBy("at")
+    runs = (good.select("row", "item", "item_row", "diagonal", "at",
+                        F.when(F.col("at") - F.lag("at").over(order) <= size, 0).otherwise(1).alias("new"))
+            .withColumn("island", F.sum("new").over(order))
+            .groupBy("row", "item", "item_row", "diagonal", "island").agg((F.max("at") - F.min("at") + size).alias("words"))
+            .join(covered, "item_row").filter(F.col("words") >= F.least(F.lit(run), F.col("covered")))
+            .select("row", "item").distinct())
     return (matched.alias("m").join(total.alias("t"), F.col("m.item").eqNullSafe(F.col("t.item")))
-            .select("m.row", "m.item", "matched", "total", (F.col("matched") / F.col("total")).alias("similarity"))
-            .filter(F.col("similarity") >= threshold))
+            .join(runs.alias("r"), (F.col("m.row") == F.col("r.row")) & F.col("m.item").eqNullSafe(F.col("r.item")), "left")
+            .select("m.row", "m.item", "matched", "total", (F.col("matched") / F.col("total")).alias("similarity"),
+                    F.col("r.row").isNotNull().alias("in_a_row"))
+            .filter((F.col("similarity") >= threshold) | F.col("in_a_row")).drop("in_a_row"))
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:

@@ -33,6 +33,19 @@ def test_planted(spark):
     assert leaked(spark, [f"some words before {ITEM} and after", other, mixed, half, None, "", ITEM.lower().replace("a train", "the train"), "nothing of it"]) == {(0, 1), (1, 1)}
 
 
+def test_run_of_words(spark):
+    part = " ".join(ITEM.split()[3:17])  # 14 of 24 words
+    other = part.replace("Paris", "Rome").replace("120", "85").replace("9.30", "7.15")
+    clash = "so " + part.replace("Paris at", "Rome at")
+    scattered = " ".join(ITEM.split()[:12] + ["but", "then"] + ITEM.split()[14:])
+    texts = [f"some words before {part} and after", other, clash, " ".join(ITEM.split()[:12]), scattered, "six words of a short item stay"]
+    short = "short item of eight words or fewer here"
+    assert leaked(spark, [*texts, f"so {short} it is"], items=((1, ITEM), (1, short))) == {(0, 1), (1, 1), (6, 1)}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = decontaminate.without_leaks(docs, spark.createDataFrame([(1, ITEM)], "item_id long, text string"))
+    assert sorted(r["doc_id"] for r in kept.collect()) == [2, 3, 4, 5]
+
+
 def test_edges(spark):
     assert leaked(spark, [ITEM, ITEM], items=((1, ITEM), (1, ITEM), (2, None), (3, "too short"), (4, "1 2 3 4 5 6 7"), (None, "words of an item that has no number at all"))) == {(0, 1), (1, 1)}
     assert leaked(spark, ["1 2 3 4 5 6 7 8"], items=((4, "1 2 3 4 5 6 7"),)) == set()
