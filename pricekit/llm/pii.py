@@ -3,7 +3,7 @@
 Base spans come from four patterns. Their values seed a graph of lexical
 patterns (the one or two words before a value, and the word after it) and
 instances (values that stand in such a context: base values, and words that
-hold a digit or an at sign). In each round a pattern's confidence for a kind
+hold a digit or an at sign and overlap no base span). In each round a pattern's confidence for a kind
 is the share of its distinct instances known to be of that kind; instances
 in patterns of high confidence, if they look like the kind, become known and
 support more patterns. Their occurrences that no base span overlaps are the
@@ -111,6 +111,14 @@ def occurrences(rows: DataFrame) -> DataFrame:
                          F.when(after != "", F.concat(F.lit("a "), after))), lambda x: x.isNotNull()).alias("contexts"))
 
 
+def _apart(blocks: Column) -> Column:
+    """Whether a span overlaps none of the other spans of its row that are blocks."""
+    order = Window.partitionBy("row").orderBy("start", "end")
+    before = F.max(F.when(blocks, F.col("end"))).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    after = F.min(F.when(blocks, F.col("start"))).over(order.rowsBetween(1, Window.unboundedFollowing))
+    return F.coalesce(before <= F.col("start"), F.lit(True)) & F.coalesce(after >= F.col("end"), F.lit(True))
+
+
 def bootstrap(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT,
               confidence: float = CONFIDENCE) -> DataFrame:
     """Known ``(kind, value)`` after some rounds on a graph ``(pattern, value)`` from seeds ``(kind, value)``.
@@ -141,14 +149,18 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                   .withColumn("row", F.monotonically_increasing_id())
                   .select("row", "doc_id", *[F.when(when[k], _events(text, PATTERNS.get(k, WORD_PATTERN))).alias(k)
                                              for k in (*KINDS, WORD)]), "matches")
-    every = staged(occurrences(rows).withColumn("ok", _valid(F.col("kind"), F.col("value"))).filter("ok").drop("ok"), "spans")
-    base = every.filter(F.col("kind") != WORD)
+    every = occurrences(rows).withColumn("ok", _valid(F.col("kind"), F.col("value"))).filter("ok").drop("ok")
     # punctuation around a word is not part of it; its span shrinks with it
+    is_word = F.col("kind") == WORD
     lead = F.length(F.regexp_extract("value", r"^([\"'(\[{<,;:]*)", 1))
     bare = F.regexp_replace(F.regexp_replace("value", r"^[\"'(\[{<,;:]+", ""), r"[^A-Za-z0-9]+$", "")
-    words = (every.filter(F.col("kind") == WORD)
-             .select("row", "contexts", (F.col("start") + lead).alias("start"), bare.alias("value"))
+    every = (every.withColumn("start", F.when(is_word, F.col("start") + lead).otherwise(F.col("start")))
+             .withColumn("value", F.when(is_word, bare).otherwise(F.col("value")))
              .withColumn("end", F.col("start") + F.length("value")).filter("length(value) > 0"))
+    # a word that overlaps a base span is a piece of it, not an instance of its own
+    every = staged(every.withColumn("free", _apart(~is_word)).filter(~is_word | F.col("free")).drop("free"), "spans")
+    base, words = every.filter(~is_word), every.filter(is_word)
+
     def by_context(df):
         return df.select(F.explode("contexts").alias("pattern"), "value")
 
@@ -157,13 +169,6 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
              .filter(_looks_like())
              .select("row", "kind", "start", "end", "value", F.lit(True).alias("added")))
     spans = base.select("row", "kind", "start", "end", "value", F.lit(False).alias("added")).union(added)
-    order = Window.partitionBy("row").orderBy("start", "end")
-    base_end, base_start = F.when(~F.col("added"), F.col("end")), F.when(~F.col("added"), F.col("start"))
-    spans = (spans
-             .withColumn("before", F.max(base_end).over(order.rowsBetween(Window.unboundedPreceding, -1)))
-             .withColumn("next", F.min(base_start).over(order.rowsBetween(1, Window.unboundedFollowing)))
-             .filter(~F.col("added") | (F.coalesce(F.col("before") <= F.col("start"), F.lit(True))
-                                        & F.coalesce(F.col("next") >= F.col("end"), F.lit(True)))))
     rank = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind")).cast("int")
     lists = spans.groupBy("row").agg(F.array_sort(F.collect_list(
         F.struct(rank.alias("rank"), "start", "end", "kind", "value", "added"))).alias("spans"))

@@ -64,6 +64,19 @@ def test_context_discovers_unseen_values(spark):
     assert not any(v for k, v in got.items() if k != 100)
 
 
+def test_pieces_of_base_values_are_no_instances(spark):
+    cards = []
+    for i in range(8):
+        head = f"{4100 + i * 37} 1{i}23 4567 890"
+        cards.append(head + next(str(k) for k in range(10) if luhn(re.sub(" ", "", head) + str(k))))
+    rows = [(i, f"charge my card {c} today") for i, c in enumerate(cards)]
+    rows += [(20 + i, f"so +1 (743) 555-{3824 + i} answers") for i in range(8)]
+    rows += [(100, "charge my card 4111-1111-1111-111 today"), (101, "so 743-555-9876 answers"), (102, "sold 743-555-1111 of them")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: [(s["kind"], s["value"]) for s in r["spans"] or [] if s["added"]] for r in pii.find_personal_data(df).collect()}
+    assert {k: v for k, v in got.items() if v} == {100: [("card", "4111-1111-1111-111")], 101: [("phone", "743-555-9876")]}
+
+
 @pytest.mark.parametrize("rows", [[], [(1, None), (1, ""), (1, "a@b.cc"), (1, "a@b.cc")]])
 def test_empty_and_repeated(spark, rows):
     df = spark.createDataFrame([r + ("x", "y") for r in rows], "doc_id long, text string, row string, kind string")
