@@ -3,7 +3,10 @@
 Base spans come from four patterns. Their values seed a graph of lexical
 patterns (the one or two words before a value, and the word after it) and
 instances (values that stand in such a context: base values, and words that
-hold a digit or an at sign and overlap no base span). In each round a pattern's confidence for a kind
+hold a digit or an at sign and grouped numbers, i.e. runs of digits, brackets,
+dots, hyphens and single spaces, which overlap no base span). A word inside a
+grouped number that looks like a kind can be found, but does not count in the
+confidence of patterns, and the longest of nested added spans of a kind stays. In each round a pattern's confidence for a kind
 is the share of its distinct instances known to be of that kind; instances
 in patterns of high confidence, if they look like the kind, become known and
 support more patterns. Their occurrences that no base span overlaps are the
@@ -42,6 +45,9 @@ PATTERNS = {
 #: Words with a digit or an at sign, without the punctuation around them.
 WORD = "word"
 WORD_PATTERN = r"(?<![^\s])[^\s0-9@]*+[0-9@]\S*+"
+#: Numbers in groups with single spaces between them.
+GROUP = "group"
+GROUP_PATTERN = r"(?<![^\s\"'\[{<,;:=])\(?[0-9][0-9().-]*+(?: \(?[0-9][0-9().-]*+)++"
 #: What an added value of a kind must look like.
 LOOKS = {
     "email": r"^[^@\s]+@[^@\s]+$",
@@ -49,6 +55,11 @@ LOOKS = {
     "card": r"^[0-9][0-9-]{11,}[0-9]$",
     "phone": r"^\(?[0-9][0-9().-]{5,}[0-9]$",
 }
+#: The same for values with spaces: 13 to 19 and 7 to 15 digits.
+GROUP_LOOKS = {
+    "card": r"^[0-9](?:[ -]*[0-9]){12,18}$",
+    "phone": r"^\(?[0-9](?:[ ().-]*[0-9]){6,14}$",
+}
 ROUNDS, SUPPORT, CONFIDENCE, CONTEXT = 3, 5, 0.8, 80
 BASE_TYPE = "array<struct<gap:int,tail:string,head:string,value:string>>"
 
@@ -88,14 +99,15 @@ def _valid(kind: Column, value: Column) -> Column:
 
 
 def _looks_like() -> Column:
-    return reduce(lambda a, b: a | b, [(F.col("kind") == k) & F.col("value").rlike(v) for k, v in LOOKS.items()])
+    return reduce(lambda a, b: a | b, [(F.col("kind") == k) & F.col("value").rlike(v)
+                                       for looks in (LOOKS, GROUP_LOOKS) for k, v in looks.items()])
 
 
 def occurrences(rows: DataFrame) -> DataFrame:
     """``(row, kind, start, end, value, contexts)`` of all matches of staged rows, also those that a kind's test drops."""
     each = reduce(DataFrame.union, [
         rows.filter(F.col(k).isNotNull()).select("row", F.lit(k).alias("kind"), F.posexplode(k).alias("i", "e"))
-        for k in (*KINDS, WORD)]).select("row", "kind", "i", "e.*")
+        for k in (*KINDS, WORD, GROUP)]).select("row", "kind", "i", "e.*")
     order = Window.partitionBy("row", "kind").orderBy("i")
     size = F.coalesce(F.length("value"), F.lit(0))
     placed = each.select(
@@ -121,16 +133,17 @@ def _apart(blocks: Column) -> Column:
 
 def bootstrap(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT,
               confidence: float = CONFIDENCE) -> DataFrame:
-    """Known ``(kind, value)`` after some rounds on a graph ``(pattern, value)`` from seeds ``(kind, value)``.
+    """Known ``(kind, value)`` after some rounds on a graph ``(pattern, value, counts)`` from seeds ``(kind, value)``.
 
-    A pattern counts for a kind from ``support`` distinct known values on. Scores are
+    Edges that do not count can be found but say nothing about a pattern. A pattern counts for a kind from ``support`` distinct known values on. Scores are
     aggregated before they are shuffled; the frequency of one pattern does not matter.
     """
-    edges = staged(edges.distinct(), "edges")
+    edges = staged(edges.groupBy("pattern", "value").agg(F.max("counts").alias("counts")), "edges")
+    counted = edges.filter("counts")
     known = staged(seeds.distinct(), "known")
-    size = edges.groupBy("pattern").agg(F.count("*").alias("n"))
+    size = counted.groupBy("pattern").agg(F.count("*").alias("n"))
     for _ in range(rounds):
-        patterns = (edges.join(known, "value").groupBy("pattern", "kind").agg(F.count("*").alias("k"))
+        patterns = (counted.join(known, "value").groupBy("pattern", "kind").agg(F.count("*").alias("k"))
                     .filter(F.col("k") >= support).join(size, "pattern")
                     .filter(F.col("k") / F.col("n") >= confidence).select("pattern", "kind"))
         found = edges.join(patterns, "pattern").filter(_looks_like()).select("kind", "value")
@@ -144,29 +157,35 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     text = F.coalesce(F.col("_text"), F.lit(""))
     digit = F.col("_text").rlike("[0-9]")
     at = F.col("_text").contains("@")
-    when = {"email": at, "ip": digit, "card": digit, "phone": F.col("_text").contains("+"), WORD: digit | at}
+    when = {"email": at, "ip": digit, "card": digit, "phone": F.col("_text").contains("+"), WORD: digit | at, GROUP: digit}
+    patterns = {**PATTERNS, WORD: WORD_PATTERN, GROUP: GROUP_PATTERN}
     rows = staged(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
                   .withColumn("row", F.monotonically_increasing_id())
-                  .select("row", "doc_id", *[F.when(when[k], _events(text, PATTERNS.get(k, WORD_PATTERN))).alias(k)
-                                             for k in (*KINDS, WORD)]), "matches")
+                  .select("row", "doc_id", *[F.when(when[k], _events(text, patterns[k])).alias(k)
+                                             for k in patterns]), "matches")
     every = occurrences(rows).withColumn("ok", _valid(F.col("kind"), F.col("value"))).filter("ok").drop("ok")
-    # punctuation around a word is not part of it; its span shrinks with it
-    is_word = F.col("kind") == WORD
-    lead = F.length(F.regexp_extract("value", r"^([\"'(\[{<,;:]*)", 1))
-    bare = F.regexp_replace(F.regexp_replace("value", r"^[\"'(\[{<,;:]+", ""), r"[^A-Za-z0-9]+$", "")
-    every = (every.withColumn("start", F.when(is_word, F.col("start") + lead).otherwise(F.col("start")))
-             .withColumn("value", F.when(is_word, bare).otherwise(F.col("value")))
-             .withColumn("end", F.col("start") + F.length("value")).filter("length(value) > 0"))
-    # a word that overlaps a base span is a piece of it, not an instance of its own
-    every = staged(every.withColumn("free", _apart(~is_word)).filter(~is_word | F.col("free")).drop("free"), "spans")
-    base, words = every.filter(~is_word), every.filter(is_word)
-
-    def by_context(df):
-        return df.select(F.explode("contexts").alias("pattern"), "value")
-
-    known = bootstrap(by_context(base).union(by_context(words)), base.select("kind", "value"), rounds, support, confidence)
-    added = (words.select("row", "start", "end", "value").join(known, "value")
+    # punctuation around a word is not part of it; its span shrinks with it; a group keeps a bracket that it closes
+    is_word, is_group = F.col("kind") == WORD, F.col("kind") == GROUP
+    opened = is_group & F.col("value").contains(")")
+    lead = F.when(opened, 0).otherwise(F.length(F.regexp_extract("value", r"^([\"'(\[{<,;:]*)", 1)))
+    bare = F.regexp_replace(F.when(opened, F.col("value")).otherwise(F.regexp_replace("value", r"^[\"'(\[{<,;:]+", "")),
+                            r"[^A-Za-z0-9]+$", "")
+    every = (every.withColumn("start", F.when(is_word | is_group, F.col("start") + lead).otherwise(F.col("start")))
+             .withColumn("value", F.when(is_word | is_group, bare).otherwise(F.col("value")))
+             .withColumn("end", F.col("start") + F.length("value")).filter("length(value) > 0")
+             .filter(~is_group | reduce(lambda a, b: a | b, [F.col("value").rlike(v) for v in GROUP_LOOKS.values()])))
+    # what overlaps a base span is a piece of it, not an instance of its own
+    is_base = ~is_word & ~is_group
+    every = every.withColumn("free", _apart(is_base)).filter(is_base | F.col("free")).drop("free")
+    every = staged(every.withColumn("counts", ~is_word | _apart(is_group)), "spans")
+    base, others = every.filter(is_base), every.filter(~is_base)
+
+    known = bootstrap(every.select(F.explode("contexts").alias("pattern"), "value", "counts"),
+                      base.select("kind", "value"), rounds, support, confidence)
+    longest = Window.partitionBy("row", "kind").orderBy("start", F.desc("end")).rowsBetween(Window.unboundedPreceding, -1)
+    added = (others.select("row", "start", "end", "value").join(known, "value")
              .filter(_looks_like())
+             .withColumn("inside", F.coalesce(F.max("end").over(longest) >= F.col("end"), F.lit(False))).filter("not inside")
              .select("row", "kind", "start", "end", "value", F.lit(True).alias("added")))
     spans = base.select("row", "kind", "start", "end", "value", F.lit(False).alias("added")).union(added)
     rank = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind")).cast("int")

@@ -77,6 +77,24 @@ def test_pieces_of_base_values_are_no_instances(spark):
     assert {k: v for k, v in got.items() if v} == {100: [("card", "4111-1111-1111-111")], 101: [("phone", "743-555-9876")]}
 
 
+def test_values_with_spaces_are_found(spark):
+    rows = [(i, f"note {i}: reach me under phone line +1 555 000 {1000 + i} please") for i in range(12)]
+    rows += [(20 + i, f"charge my card {c} today") for i, c in enumerate(
+        ["4111 1111 1111 1111", "5500 0000 0000 0004", "4012 8888 8888 1881", "6011 1111 1111 1117", "5105 1051 0510 5100", "4222 2222 2222 2220",
+         "3530 1113 3330 0000", "5555 5555 5555 4444", "6011 0009 9013 9424"])]
+    texts = ["so (555) 123-4567 please", "under phone line 030 123 4567, please", "charge my card 3782 822463 10005 today", "charge my card 4111 1111 1111 1112 today",
+             "(phone line (555) 765-4321)", "sold 030 123 9999 of 12 34 kinds", "1 " * 3000]
+    rows += [(100 + i, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: [(s["kind"], s["value"]) for s in r["spans"] or [] if s["added"]] for r in pii.find_personal_data(df).collect()}
+    for r in pii.find_personal_data(df).collect():
+        text = dict(rows)[r["doc_id"]]
+        assert all(text[s["start"]:s["end"]] == s["value"] for s in r["spans"] or [])
+    assert {k: v for k, v in got.items() if v} == {
+        100: [("phone", "(555) 123-4567")], 101: [("phone", "030 123 4567")], 102: [("card", "3782 822463 10005")],
+        103: [("card", "4111 1111 1111 1112")], 104: [("phone", "(555) 765-4321")]}
+
+
 @pytest.mark.parametrize("rows", [[], [(1, None), (1, ""), (1, "a@b.cc"), (1, "a@b.cc")]])
 def test_empty_and_repeated(spark, rows):
     df = spark.createDataFrame([r + ("x", "y") for r in rows], "doc_id long, text string, row string, kind string")
