@@ -19,11 +19,12 @@ from pricekit.llm._stage import staged
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of a language learned from the labelled ones; ``und`` and those near to none go."""
+    """Documents of a language learned from the labelled ones; ``und`` and those as far from all as random letters go."""
     learned = language.prototypes(docs)
     whole = docs.select(F.struct("*").alias("doc"))
     found = whole.withColumn("found", language.predict_language(learned, F.col("doc.text")))
-    return found.filter((F.col("found.lang_pred") != language.UNKNOWN) & (F.col("found.score") > 0)).select("doc.*")
+    near = language.is_near(F.col("doc.text"), F.col("found.score"))
+    return found.filter((F.col("found.lang_pred") != language.UNKNOWN) & near).select("doc.*")
 
 
 def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

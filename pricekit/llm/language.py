@@ -29,6 +29,8 @@ from pricekit.llm import _hash
 
 DIMENSIONS, GRAM, SCALE = 1024, 3, 1 << 20
 UNKNOWN = "und"
+#: Least scores of known languages by number of letters, for 1024 dimensions (README: how they were fitted).
+BOUNDS = ((0, 1 / 32), (32, 0.16), (4096, 0.2))
 
 
 def letter_vectors(codes: np.ndarray, dimensions: int) -> np.ndarray:
@@ -150,6 +152,15 @@ def predict_language(learned: DataFrame, text: Column, dimensions: int = DIMENSI
     return predict(text)
 
 
+def is_near(text: Column, score: Column) -> Column:
+    """Whether a text's score is beyond what random letters reach at its length; letters count with single spaces between words."""
+    letters = F.length(F.trim(F.regexp_replace(text, r"[^\p{L}]+", " ")))
+    least = F.lit(BOUNDS[0][1])
+    for at, bound in BOUNDS[1:]:
+        least = F.when(letters >= at, bound).otherwise(least)
+    return score >= least
+
+
 def held_out(id_col: str, parts: int, rest: int) -> Column:
     """Whether crc32 of the id as text leaves this remainder (a null id does not)."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % parts == rest, F.lit(False))

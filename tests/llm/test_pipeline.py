@@ -1,5 +1,6 @@
 """The pipeline against its stages' plain versions, and without the operators' folder."""
 
+import random
 import subprocess
 import sys
 
@@ -35,6 +36,19 @@ def test_rejected_documents(spark):
     assert got.columns == df.columns and sorted(r["doc_id"] for r in got.collect()) == [1, 2]
 
 
+def test_unlearned_script_and_random_letters_go(spark, documents):
+    rng = random.Random(7)
+    def noise(letters, words):
+        return " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(words))
+    latin, others = "abcdefghijklmnopqrstuvwxyz", ("абвгдежзийклмнопрстуфхцчшщъыьэюя", "αβγδεζηθικλμνξοπρστυφχψω")
+    texts = [noise(x, n) for x in (latin, *others) for n in (25, 150, 150, 600)]
+    real = documents.select("doc_id", "text", "lang")
+    df = real.union(spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate(texts)], real.schema))
+    kept = {r["doc_id"] for r in corpus_pipeline.known_language(spark, df, SMALL).collect()}
+    assert kept == {r["doc_id"] for r in corpus_pipeline.known_language(spark, real, SMALL).collect()}
+    assert len(kept) == real.filter("text rlike '\\\\p{L}'").count()
+
+
 def test_empty_table_passes_all_stages(spark, documents):
     docs = documents.limit(0)
     for _, stage in corpus_pipeline.STAGES:
