@@ -11,6 +11,10 @@ run of at least 13 words that windows of a benchmark row cover without a gap
 (all that its windows cover, if that is less), however small the share. Such
 an item is in the result with its share. DataFrame functions only.
 
+With ``verbatim``, as in ``without_leaks``, a window also matches if its words
+are the same in lower case, whatever looks like a name, and a value with two
+counterparts in an alignment drops only the template windows that hold it.
+
 Windows with fewer than two ordinary words say nothing and take no part. An
 item without any window (too short, or placeholders only) matches nothing.
 
@@ -70,36 +74,58 @@ def windows(df: DataFrame, key: str, text: Column, size: int = WINDOW) -> DataFr
                     F.concat_ws(" ", *[F.when(_is_slot(x), x) for x in here]).alias("slots")))
 
 
+def _both(df: DataFrame, key: str, text: Column, size: int, every: bool) -> DataFrame:
+    """As ``windows``, with the plain window beside each, and the template of both; ``every``: plain windows of all words."""
+    each = df.select(F.col(key), words(text).alias("w")).select(
+        key, "w", F.explode(F.when(F.size("w") >= size, F.sequence(F.lit(0), F.size("w") - size))).alias("at"))
+    here = [F.get("w", F.col("at") + k) for k in range(size)]
+    enough = reduce(lambda a, b: a + b, [F.when(_is_slot(x) | x.isin(*UNITS), 0).otherwise(1) for x in here]) >= LITERALS
+    bare = F.xxhash64(F.lit("="), *[F.regexp_replace(x, "^" + NAME, "") for x in here])
+    named = each.select(key, "at", F.when(enough, F.xxhash64(*[_typed(x) for x in here])).alias("template"), bare.alias("bare"),
+                        F.concat_ws(" ", *[F.when(_is_slot(x), x) for x in here]).alias("own"))
+    pair = F.array(F.struct(F.col("template").alias("window"), F.col("own").alias("slots")),
+                   F.struct(F.col("bare").alias("window"), F.lit("").alias("slots")))
+    named = named if every else named.filter(F.col("template").isNotNull())
+    return named.select(key, "at", "template", F.explode(pair).alias("p")).select(key, "at", "template", "p.*").filter("window IS NOT NULL")
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, row: str = "row", text: Column | str = "text",
           item_col: str = "item_id", item_text: str = "text", size: int = WINDOW,
-          threshold: float = THRESHOLD, run: int = RUN) -> DataFrame:
+          threshold: float = THRESHOLD, run: int = RUN, verbatim: bool = False) -> DataFrame:
     """``(row, item, matched, total, similarity)`` of documents and the items they leak.
 
-    ``row`` must be unique in ``docs``.
+    ``row`` must be unique in ``docs``. ``verbatim``: plain windows count too (see above).
     """
     text = F.col(text) if isinstance(text, str) else text
     each = F.struct(F.monotonically_increasing_id().alias("row"), F.col(item_col).alias("item")).alias("key")
-    items = staged(windows(benchmark.select(each, F.col(item_text).alias("t")), "key", F.col("t"), size)
+    def named(df, key, every):
+        if verbatim:
+            return _both(df, key, F.col("t"), size, every)
+        return windows(df, key, F.col("t"), size).withColumn("template", F.col("window"))
+
+    items = staged(named(benchmark.select(each, F.col(item_text).alias("t")), "key", False)
                    .select("key.item", F.col("key.row").alias("item_row"), F.col("at").alias("item_at"), "window",
-                           F.col("slots").alias("item_slots")), "benchmark")
+                           F.col("slots").alias("item_slots"), "template"), "benchmark")
     covered = items.groupBy("item_row").agg((F.max("item_at") - F.min("item_at") + size).alias("covered"))
-    total = items.groupBy("item").agg(F.count_distinct("window").alias("total"))
+    total = items.groupBy("item").agg(F.count_distinct("template").alias("total"))
     keyed = items.select("window").distinct()
     few = keyed.count() <= BROADCAST_ROWS
-    found = windows(docs.select(F.col(row).alias("row"), text.alias("t")), "row", F.col("t"), size)
+    found = named(docs.select(F.col(row).alias("row"), text.alias("t")), "row", True).drop("template")
     hits = staged(found.join(F.broadcast(keyed) if few else keyed, "window", "left_semi"), "hits").join(items, "window")
     diagonal = F.col("at") - F.col("item_at")
-    hits = hits.select("row", "item", "item_row", "at", "window", diagonal.alias("diagonal"), "slots", "item_slots")
+    hits = hits.select("row", "item", "item_row", "at", "template", diagonal.alias("diagonal"), "slots", "item_slots")
     pairs = (hits.select("row", "item", "diagonal",
                          F.explode(F.arrays_zip(F.split("item_slots", " ").alias("theirs"), F.split("slots", " ").alias("ours"))).alias("p"))
              .select("row", "item", "diagonal", "p.theirs", "p.ours").distinct()
              .groupBy("row", "item", "diagonal", "theirs").agg(F.count("*").alias("n"))
-             .groupBy("row", "item", "diagonal").agg(F.max("n").alias("values")))
-    good = hits.alias("h").join(
-        pairs.filter("values = 1").alias("p"),
-        (F.col("h.row") == F.col("p.row")) & F.col("h.item").eqNullSafe(F.col("p.item")) & (F.col("h.diagonal") == F.col("p.diagonal")),
-        "left_semi")
-    matched = good.select("row", "item", "window").distinct().groupBy("row", "item").agg(F.count("*").alias("matched"))
+             .groupBy("row", "item", "diagonal").agg(F.max("n").alias("values"), F.collect_set(F.when(F.col("n") > 1, F.col("theirs"))).alias("clashing")))
+    same = (F.col("h.row") == F.col("p.row")) & F.col("h.item").eqNullSafe(F.col("p.item")) & (F.col("h.diagonal") == F.col("p.diagonal"))
+    if verbatim:
+        good = (hits.alias("h").join(pairs.alias("p"), same)
+                .filter(~F.arrays_overlap(F.split("h.item_slots", " "), F.col("p.clashing"))).select("h.*"))
+    else:
+        good = hits.alias("h").join(pairs.filter("values = 1").alias("p"), same, "left_semi")
+    matched = good.select("row", "item", "template").distinct().groupBy("row", "item").agg(F.count("*").alias("matched"))
     # windows at most their size apart leave no word between them
     order = Window.partitionBy("row", "item_row", "diagonal").orderBy("at")
     runs = (good.select("row", "item", "item_row", "diagonal", "at",
@@ -118,5 +144,5 @@ def leaks(docs: DataFrame, benchmark: DataFrame, row: str = "row", text: Column
 def without_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that leak no benchmark item."""
     base = staged(docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc")), "documents", texts=True)
-    found = leaks(base, benchmark, "row", F.col(f"doc.{text_col}")).select("row").distinct()
+    found = leaks(base, benchmark, "row", F.col(f"doc.{text_col}"), verbatim=True).select("row").distinct()
     return base.join(found, "row", "left_anti").select("doc.*")

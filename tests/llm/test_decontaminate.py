@@ -43,7 +43,15 @@ def test_run_of_words(spark):
     assert leaked(spark, [*texts, f"so {short} it is"], items=((1, ITEM), (1, short))) == {(0, 1), (1, 1), (6, 1)}
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     kept = decontaminate.without_leaks(docs, spark.createDataFrame([(1, ITEM)], "item_id long, text string"))
-    assert sorted(r["doc_id"] for r in kept.collect()) == [2, 3, 4, 5]
+    assert sorted(r["doc_id"] for r in kept.collect()) == [3, 4, 5]  # 2: 13 words are verbatim
+
+
+def test_verbatim_copies_go(spark):
+    texts = [ITEM.lower().replace("a train", "the train"), ITEM.upper(), ITEM.replace("travels 120 km in", "travels 121 km in"),
+             ITEM.replace("Paris", "Rome").replace("120", "85"), "other words of a train that leaves Rome at 9.30 and no more", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = decontaminate.without_leaks(docs, spark.createDataFrame([(1, ITEM)], "item_id long, text string"))
+    assert sorted(r["doc_id"] for r in kept.collect()) == [4, 5]
 
 
 def test_edges(spark):
