@@ -80,20 +80,18 @@ def _word_table() -> np.ndarray:
     return table
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, tables: dict,
-                is_word: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every word, in order, and each text's first word (n + 1 offsets).
+def word_spans(data: np.ndarray, offsets: np.ndarray, tables: dict,
+               is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, start and end of every word, in order.
 
-    A word is a longest run of bytes that ``is_word`` marks (by default ASCII
-    letters, digits, underscore, and all bytes above 127); words end where
+    A word is a longest run of bytes that ``is_word`` marks; words end where
     their text ends.
     """
-    table = _word_table() if is_word is None else is_word
     n = len(data)
-    word = table[data]
+    word = is_word[data]
     first = np.zeros(n + 1, bool)
     first[offsets] = True
-    out, starts_all, pos = [], [], 0
+    out, starts, ends, pos = [], [], [], 0
     while pos < n:
         end = min(n, pos + BLOCK)
         while end < n and word[end] and not first[end]:
@@ -109,10 +107,21 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, tables: dict,
         after[:-1] = w[1:]
         stop = np.flatnonzero(w & (~after | first[pos + 1:end + 1])) + 1
         out.append(mix(Prefix(data[pos:end], tables).ranges(begin, stop)))
-        starts_all.append(begin + pos)
+        starts.append(begin + pos)
+        ends.append(stop + pos)
         pos = end
-    hashes = np.concatenate(out) if out else np.zeros(0, _U)
-    starts = np.concatenate(starts_all) if starts_all else np.zeros(0, np.int64)
+    if not out:
+        return np.zeros(0, _U), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(out), np.concatenate(starts), np.concatenate(ends)
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray, tables: dict,
+                is_word: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word, in order, and each text's first word (n + 1 offsets).
+
+    By default words are ASCII letters, digits, underscore, and all bytes above 127.
+    """
+    hashes, starts, _ = word_spans(data, offsets, tables, _word_table() if is_word is None else is_word)
     return hashes, np.searchsorted(starts, offsets)
 
 

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pricekit.llm import (chat, decontaminate, kneser_ney, language, line_dedup, nn_descent, packing, pii, prob_minhash,
-                          suffix_dedup)
+from pricekit.llm import (chat, collocations, decontaminate, kneser_ney, language, line_dedup, merkle, nn_descent, packing, pii,
+                          prob_minhash, simhash, suffix_dedup)
 
 
 def table(spark, sf_dir, name):
@@ -91,9 +91,34 @@ def op10_suffix_dedup(spark, sf_dir):
                         F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_debruijn_phrases(spark, sf_dir):
+    """Each language's first 2000 collocations."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_popcount_simhash(spark, sf_dir):
+    """Every document with its fingerprint and the smallest doc_id that links reach."""
+    found = simhash.near_duplicate_components(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op13_butterfly_manifest(spark, sf_dir):
+    """Every document's leaf and proof in the manifest, checked with some leaves tampered with."""
+    docs = table(spark, sf_dir, "documents")
+    def leaf(n_chars):
+        return merkle.digest(F.col("doc_id"), F.col("source"), F.col("lang"), n_chars, F.col("text"))
+    forged = F.when(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, leaf(F.col("n_chars") + 1))
+    found = merkle.manifest(docs, leaf(F.col("n_chars")), F.col("lang"), F.col("doc_id"), F.struct("doc_id", forged.alias("forged")))
+    folded = found.select("keep.doc_id", "leaf", "subroot", "root",
+                          F.sha2(F.array_join(merkle.siblings(F.col("proof")), ""), 256).alias("proof_sha256"),
+                          merkle.fold(F.coalesce("keep.forged", "leaf"), F.col("proof")).alias("folded_root"))
+    return folded.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_fuzzy_lines, op2_prob_minhash, op3_best_fit_packing, op4_reply_trees, op5_language_profiles,
-    op6_kneser_ney, op7_template_decontamination, op8_nn_descent, op9_contextual_pii, op10_suffix_dedup)}
+    op6_kneser_ney, op7_template_decontamination, op8_nn_descent, op9_contextual_pii, op10_suffix_dedup,
+    op11_debruijn_phrases, op12_popcount_simhash, op13_butterfly_manifest)}
 
 _WORDS = """string_split(trim(regexp_replace(lower(
         regexp_replace(regexp_replace(text, '([\\p{Ll},;] )(\\p{Lu}\\p{Ll}+)', '\\1__\\2', 'g'),
@@ -141,4 +166,75 @@ said AS (
 SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(masked) AS loss_chars, sha256(masked) AS loss_sha256, formatted_chars
 FROM said"""
 
-ORACLE_SQL: dict[str, str] = {"op4_reply_trees": _CHATS, "op7_template_decontamination": _LEAKS}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_RUNS = " UNION ALL ".join(f"SELECT lang, unnest(list_transform(range(1, len(w) - {k - 2}), lambda i: w[i:i + {k - 1}])) AS p FROM pieces"
+                           for k in range(1, collocations.LONGEST + 1))
+_PHRASES = f"""
+WITH cut AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER}, '[.,;:!?\n\x0B\x0C\r]')) AS piece FROM documents),
+pieces AS (SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda x: x <> '') AS w FROM cut),
+every AS (SELECT lang, p, count(*) AS f FROM ({_RUNS}) GROUP BY ALL HAVING count(*) >= {collocations.LEAST}),
+total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+inside AS (SELECT lang, f, unnest([q[1] FOR q IN parts]) AS p FROM (
+  SELECT lang, f, flatten(list_transform(range(2, len(p)), lambda k: list_transform(range(1, len(p) - k + 2), lambda i: [p[i:i + k - 1]]))) AS parts
+  FROM every WHERE len(p) > 2)),
+around AS (SELECT lang, p, max(f) AS most FROM inside GROUP BY ALL),
+kept AS (SELECT lang, p, f AS a FROM every LEFT JOIN around USING (lang, p)
+         WHERE len(p) > 1 AND (most IS NULL OR 100 * most < {collocations.SHARE} * f)),
+cuts AS (SELECT lang, p, a, k, p[1:k] AS p1, p[k + 1:] AS p2 FROM (SELECT *, unnest(range(1, len(p))) AS k FROM kept)),
+scores AS (
+  SELECT c.lang, c.p, a, k, x.f AS l, y.f AS r, CAST({collocations.SCALE}::HUGEINT * a // (x.f + y.f) AS BIGINT) AS score
+  FROM cuts c JOIN every x ON x.lang = c.lang AND x.p = p1 JOIN every y ON y.lang = c.lang AND y.p = p2),
+best AS (SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, score FROM scores
+         QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM best JOIN total USING (lang)
+QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= {collocations.TOP}"""
+
+
+def _field(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE strlen({value}::VARCHAR)::VARCHAR || ':' || {value}::VARCHAR END"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(_field(v) for v in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+_STEP = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END"
+_CRC = """xor(list_reduce(list_prepend(4294967295::UBIGINT, [ord(x)::UBIGINT FOR x IN string_split(doc_id::VARCHAR, '')]),
+    lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[], lambda c, z: """ + _STEP + """)), 4294967295::UBIGINT)"""
+_FOLD = "list_reduce(list_prepend({leaf}, steps), lambda x, s: sha256(CASE s[1] WHEN 'L' THEN s[2:] || x WHEN 'R' THEN x || s[2:] ELSE x END))"
+_MANIFEST = f"""
+WITH RECURSIVE rows AS (
+  SELECT doc_id, lang, {_leaf('n_chars')} AS leaf,
+         CASE WHEN {_CRC} % 7 = 0 THEN {_leaf('(n_chars + 1)')} ELSE {_leaf('n_chars')} END AS forged,
+         row_number() OVER () AS r FROM documents),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS size FROM rows),
+tree AS (
+  SELECT lang, 0 AS level, pos, size, leaf AS node FROM placed
+  UNION ALL
+  SELECT lang, level + 1, pos // 2, (size + 1) // 2, sha256(string_agg(node, '' ORDER BY pos)) FROM tree WHERE size > 1
+  GROUP BY lang, level, pos // 2, size),
+tops AS (SELECT lang, node AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS size FROM tree WHERE size = 1),
+over AS (
+  SELECT 0 AS level, pos, size, subroot AS node FROM tops
+  UNION ALL
+  SELECT level + 1, pos // 2, (size + 1) // 2, sha256(string_agg(node, '' ORDER BY pos)) FROM over WHERE size > 1 GROUP BY level, pos // 2, size),
+steps AS (
+  SELECT r, 0 AS part, t.level, CASE WHEN s.node IS NULL THEN '-' WHEN s.pos < t.pos THEN 'L' || s.node ELSE 'R' || s.node END AS step
+  FROM placed p JOIN tree t ON t.lang IS NOT DISTINCT FROM p.lang AND t.pos = p.pos >> t.level AND t.size > 1
+  LEFT JOIN tree s ON s.lang IS NOT DISTINCT FROM p.lang AND s.level = t.level AND s.pos = xor(t.pos, 1)
+  UNION ALL
+  SELECT r, 1, t.level, CASE WHEN s.node IS NULL THEN '-' WHEN s.pos < t.pos THEN 'L' || s.node ELSE 'R' || s.node END
+  FROM placed p JOIN tops q ON q.lang IS NOT DISTINCT FROM p.lang JOIN over t ON t.pos = q.pos >> t.level AND t.size > 1
+  LEFT JOIN over s ON s.level = t.level AND s.pos = xor(t.pos, 1)),
+listed AS (SELECT r, list(step ORDER BY part, level) AS steps FROM steps GROUP BY r),
+proved AS (
+  SELECT doc_id, leaf, subroot, root, coalesce(steps, []::VARCHAR[]) AS steps, forged
+  FROM placed p JOIN tops q ON q.lang IS NOT DISTINCT FROM p.lang LEFT JOIN listed USING (r), (SELECT node AS root FROM over WHERE size = 1))
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string([s[2:] FOR s IN steps], '')) AS proof_sha256,
+       {_FOLD.format(leaf='forged')} AS folded_root, {_FOLD.format(leaf='forged')} = root AS verified FROM proved"""
+
+ORACLE_SQL: dict[str, str] = {"op4_reply_trees": _CHATS, "op7_template_decontamination": _LEAKS,
+                              "op11_debruijn_phrases": _PHRASES, "op13_butterfly_manifest": _MANIFEST}
