@@ -16,9 +16,11 @@ fails, else ``PASS``. ``ERROR`` blocks the write.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -78,11 +80,10 @@ def rule_pairs(df: DataFrame, rules: Sequence[Sequence]) -> list[tuple[str, str]
     return sorted(wanted & applies)
 
 
-def qc_metrics(df: DataFrame, table: str, pairs: Sequence[tuple[str, str]] | None = None) -> DataFrame:
-    """Long metrics table of ``df``: the given (column, metric) pairs, by default all."""
+def _aggregates(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> tuple[list, list[bool]]:
+    """One aggregate ``m<i>`` a pair, and whether its value is text."""
     fields = {f.name: f.dataType for f in df.schema.fields}
-    pairs = list(pairs) if pairs is not None else all_pairs(df)
-    aggs, texts = [F.count(F.lit(1)).alias("rows")], []
+    aggs, texts = [], []
     for i, (name, metric) in enumerate(pairs):
         col = F.col("`" + name + "`") if name != TABLE_LEVEL else None
         one = {ROW_COUNT: lambda: F.count(F.lit(1)), NULL_COUNT: lambda: F.count_if(col.isNull()),
@@ -91,14 +92,25 @@ def qc_metrics(df: DataFrame, table: str, pairs: Sequence[tuple[str, str]] | Non
         text = metric in (MIN, MAX) and _as_text(fields[name])
         aggs.append(one.cast("string" if text else "double").alias(f"m{i}"))
         texts.append(text)
+    return aggs, texts
+
+
+def qc_metrics(df: DataFrame, table: str, pairs: Sequence[tuple[str, str]] | None = None,
+               by: str | None = None) -> DataFrame:
+    """Long metrics table of ``df``: the given (column, metric) pairs, by default all; ``by``: per value of that column."""
+    pairs = list(pairs) if pairs is not None else all_pairs(df)
+    aggs, texts = _aggregates(df, pairs)
     none = {True: F.lit(None).cast("string"), False: F.lit(None).cast("double")}
     rows = [F.struct(F.lit(name).alias("column_name"), F.lit(metric).alias("metric"),
                      (none[False] if text else F.col(f"m{i}")).alias("value"),
                      (F.col(f"m{i}") if text else none[True]).alias("value_text"))
             for i, ((name, metric), text) in enumerate(zip(pairs, texts))]
     kind = "array<struct<column_name:string,metric:string,value:double,value_text:string>>"
-    return (df.agg(*aggs).select(F.inline(F.array(*rows).cast(kind)))
-            .select(F.lit(table).alias("table_name"), "column_name", "metric", "value", "value_text"))
+    aggs = [F.count(F.lit(1)).alias("rows"), *aggs]
+    grouped = df.agg(*aggs) if by is None else df.groupBy(by).agg(*aggs)
+    group = [] if by is None else [by]
+    return (grouped.select(*group, F.inline(F.array(*rows).cast(kind)))
+            .select(*group, F.lit(table).alias("table_name"), "column_name", "metric", "value", "value_text"))
 
 
 def rules_frame(spark: SparkSession, rules: Sequence[Sequence]) -> DataFrame:
@@ -154,19 +166,78 @@ def run_qc(df: DataFrame, table: str, rules: Sequence[Sequence]) -> tuple[DataFr
     return results, qc_status(results).first()["status"]
 
 
-def check_before_write(df: DataFrame, table: str, rules: Sequence[Sequence] = ()) -> str:
-    """Pre-commit check: QC of the staged result about to be published; raises on ERROR.
+def observe_rules(df: DataFrame, table: str, rules: Sequence[Sequence], extra: Mapping[str, Column] | None = None):
+    """``df`` with the metrics of its rules observed while it is written, and a function giving the results.
 
-    No rules → ``PASS`` without touching the data.
+    The function takes the written copy and returns the results (one row a rule), the status and the observed values. Exact distinct counts can't be
+    observed: rules that name them scan their columns of the copy. ``extra``: further aggregates to observe, by name.
+    Nothing to observe leaves ``df`` as it is.
     """
-    if not rules:
-        return PASS
-    _, status = run_qc(df, table, rules)
-    gate(status)
-    return status
+    pairs = rule_pairs(df, rules)
+    seen = [p for p in pairs if p[1] != DISTINCT_COUNT]
+    aggs, texts = _aggregates(df, seen)
+    aggs += [column.alias(name) for name, column in (extra or {}).items()]
+    observation = Observation(f"{table}-{uuid.uuid4().hex}") if aggs else None
+    watched = df.observe(observation, *aggs) if observation else df
+
+    def results(copy: DataFrame) -> tuple[DataFrame | None, str, dict]:
+        values = _observed(observation, copy, aggs) if observation else {}
+        checked, status = observed_results(copy, table, rules, seen, texts, values) if rules else (None, PASS)
+        return checked, status, values
+
+    return watched, results
+
+
+def _observed(observation: Observation, copy: DataFrame, aggs: Sequence[Column]) -> Mapping:
+    """The observed values; where the optimizer has removed a write of no rows, and the observation with it, those of the copy."""
+    try:
+        return observation.get
+    except Py4JError:
+        return copy.agg(*aggs).first().asDict()
+
+
+def observed_results(copy: DataFrame, table: str, rules: Sequence[Sequence], seen: Sequence[tuple[str, str]],
+                     texts: Sequence[bool], values: Mapping) -> tuple[DataFrame, str]:
+    """Results (one row a rule) and status from observed metrics; only exact distinct counts read ``copy``."""
+    spark = copy.sparkSession
+    schema = "table_name string, column_name string, metric string, value double, value_text string"
+    rows = [(table, name, metric, None if text else values[f"m{i}"], values[f"m{i}"] if text else None)
+            for i, ((name, metric), text) in enumerate(zip(seen, texts))]
+    metrics = spark.createDataFrame(rows, schema)
+    distinct = [p for p in rule_pairs(copy, rules) if p[1] == DISTINCT_COUNT]
+    if distinct:
+        metrics = metrics.unionByName(qc_metrics(copy, table, distinct))
+    lazy = qc_check(metrics, rules_frame(spark, rules))
+    results = spark.createDataFrame(lazy.collect(), lazy.schema)
+    return results, qc_status(results).first()["status"]
 
 
 def gate(status: str) -> None:
     """Raise :class:`QualityGateError` when the status is ERROR."""
     if status == ERROR:
         raise QualityGateError("QC status is ERROR; see the QC results table")
+
+
+def history_check(history: DataFrame, rules: Sequence[Sequence], order: str = "run_id") -> DataFrame:
+    """Every run's metrics against the runs before it.
+
+    ``history``: ``(<order>, table_name, column_name, metric, value)``, one value a run. A rule is
+    ``(table_name, column_name, metric, runs, most)``: the value may differ from the mean of the last ``runs`` values before
+    it by at most ``most`` times that mean. A run without a value before it passes; a null value fails.
+    Windows go over the values of one metric: as many rows as runs.
+    """
+    spark = history.sparkSession
+    given = spark.createDataFrame([(t, c, m, int(n), float(x)) for t, c, m, n, x in rules],
+                                  "table_name string, column_name string, metric string, runs int, most double")
+    rows = history.join(F.broadcast(given), ["table_name", "column_name", "metric"])
+    keys = ["table_name", "column_name", "metric", "runs"]
+    numbered = rows.withColumn("place", F.row_number().over(Window.partitionBy(*keys).orderBy(order)))
+    before = F.collect_list(F.struct("place", "value")).over(
+        Window.partitionBy(*keys).orderBy("place").rowsBetween(-max([r[3] for r in rules], default=1), -1))
+    last = F.transform(F.filter(before, lambda x: (x["place"] >= F.col("place") - F.col("runs")) & x["value"].isNotNull()), lambda x: x["value"])
+    mean = F.when(F.size(last) > 0, F.aggregate(last, F.lit(0.0), lambda a, x: a + x) / F.size(last))
+    found = numbered.withColumn("baseline", mean)
+    change = F.abs(F.col("value") - F.col("baseline"))
+    passed = F.col("value").isNotNull() & (F.col("baseline").isNull() | (change <= F.col("most") * F.abs("baseline")))
+    return found.select(order, "table_name", "column_name", "metric", "value", "baseline", "runs", "most",
+                        F.coalesce(passed, F.lit(False)).alias("passed"))

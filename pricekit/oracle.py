@@ -9,7 +9,7 @@ to 19yy (hence +100 years below 2000); DuckDB needs explicit NULL ordering.
 from __future__ import annotations
 
 from pricekit.plans.cost import COST_COLUMNS
-from pricekit.queries import AS_OF, AUDIT_NOW, QC_RULES, WATERMARK
+from pricekit.queries import AS_OF, AUDIT_NOW, EARLY_AS_OF, HISTORY_RULES, QC_RULES, WATERMARK
 
 _AS_OF = f"DATE '{AS_OF}'"
 _WM = f"TIMESTAMP '{WATERMARK}'"
@@ -302,7 +302,51 @@ _TEXT_FEED = f"""SELECT * REPLACE (
        ELSE start_date END AS start_date,
   CASE split_part(mcc, '-', 2) WHEN '5' THEN NULL WHEN '6' THEN {_yy('inserted_on')}
        ELSE inserted_on END AS inserted_on) FROM feed"""
+def _early(sql: str) -> str:
+    return sql.replace(_AS_OF, f"DATE '{EARLY_AS_OF}'")
+
+
+_DEFERRED = (f"WITH {_FEED_CTE},\narrived AS (SELECT * FROM feed WHERE inserted_on <= {_WM}),\n"
+             + _early(_run("p", "arrived", None, None))
+             + f""",
+later AS (SELECT * FROM feed WHERE inserted_on > (SELECT max(load_upto) FROM p_out)
+          UNION SELECT * FROM arrived WHERE start_date >= DATE '{EARLY_AS_OF}'),
+""" + _run("m", "later", "p_out", None) + "\nSELECT * FROM m_out")
+
+
+def _history() -> str:
+    value = {"row_count": "count(*)", "null_count": "count(*) FILTER (WHERE {c} IS NULL)"}
+    parts = []
+    for t, c, m, runs, most in HISTORY_RULES:
+        v = value[m].format(c=c)
+        parts.append(f"""SELECT run_id, '{t}' AS table_name, '{c}' AS column_name, '{m}' AS metric, value,
+  avg(value) OVER w AS baseline, {runs} AS runs, CAST({most} AS DOUBLE) AS most,
+  coalesce(abs(value - avg(value) OVER w) <= CAST({most} AS DOUBLE) * abs(avg(value) OVER w), true) AS passed
+FROM (SELECT CAST(year(inserted_on) AS VARCHAR) AS run_id, CAST({v} AS DOUBLE) AS value FROM feed GROUP BY 1)
+WINDOW w AS (ORDER BY run_id ROWS BETWEEN {runs} PRECEDING AND 1 PRECEDING)""")
+    return f"WITH {_FEED_CTE} " + " UNION ALL ".join(f"({p})" for p in parts)
+
+
+_SKETCHES = f"WITH gt AS ({GROUND_TRUTH}) " + " UNION ALL ".join(
+    f"SELECT 'ground_truth' AS table_name, '{c}' AS column_name, count(*) AS rows, count(*) FILTER (WHERE {c} IS NULL) AS nulls, "
+    f"count(DISTINCT {c}) AS exact_distinct, true AS within_bound FROM gt"
+    for c in ("product_number", "country_code", "l_orderkey", "l_linenumber", "price"))
+
+_DRIFT = f"""WITH gt AS ({GROUND_TRUTH})
+SELECT product_number, CASE WHEN l_linenumber <= 3 THEN country_code END AS country_code,
+  CASE WHEN l_linenumber <= 3 OR l_orderkey % 50 <> 0 THEN CAST(l_orderkey AS BIGINT) END AS l_orderkey,
+  CAST(l_linenumber AS INTEGER) AS l_linenumber,
+  CASE WHEN l_linenumber <= 3 THEN price ELSE CAST(CAST(price AS DECIMAL(12,2)) AS DOUBLE) END AS price,
+  CASE WHEN l_linenumber > 3 THEN CAST(l_orderkey % 3 AS VARCHAR) END AS promo,
+  CASE WHEN l_linenumber > 3 AND l_orderkey % 50 = 0 THEN 'K' || CAST(l_orderkey AS VARCHAR) END AS bad_orderkey FROM gt"""
+
 JOB_SQL = {
+    "cost_job_rewrite": COST_SQL["cost_merge_latest"],
+    "cost_job_deferred": _DEFERRED,
+    "cost_job_mark": COST_SQL["cost_merge_latest"].replace("SELECT * FROM m_out", "SELECT max(load_upto) AS high_water_mark FROM m_out"),
+    "qc_history": _history(),
+    "qc_sketch_merge": _SKETCHES,
+    "feed_drift": _DRIFT,
     "cost_text_feed": f"WITH {_FEED_CTE}, texts AS ({_TEXT_FEED}) {_valid('texts', _WM)}",
     "cost_job_two_runs": COST_SQL["cost_merge_latest"],
     "cluster_job": CLUSTER_SQL["cluster_latest"],

@@ -36,10 +36,11 @@ from pyspark.sql import types as T
 from pricekit.functions.cost import landed_cost
 from pricekit.functions.text import (normalise_date_text, parse_date_text, parse_timestamp_text,
                                      to_amount)
-from pricekit.operators.audit import drop_audit_columns, with_audit_columns
+from pricekit.operators.audit import CREATED_ON, UPDATED_ON, drop_audit_columns, with_audit_columns
 from pricekit.operators.latest import latest_per_key, merge_latest
+from pricekit.sinks.keyed import BUCKET, bucket_of, publish_keyed, read_keyed, recover, thaw
 from pricekit.sinks.stage import materialise as stage
-from pricekit.sinks.tables import publish
+from pricekit.sinks.tables import publish, recover_publish
 from pricekit.sources.tables import read_previous, read_table
 from pricekit.streaming.incremental import (high_water_mark, since_watermark, stamp_max,
                                             watermark_literal)
@@ -79,9 +80,11 @@ def _as_date(df: DataFrame, name: str) -> Column:
     return F.col(name) if isinstance(df.schema[name].dataType, T.DateType) else parse_date_text(name)
 
 
-def valid_cost_rows(feed: DataFrame, watermark=None, as_of: dt.date | str | None = None) -> DataFrame:
+def valid_cost_rows(feed: DataFrame, watermark=None, as_of: dt.date | str | None = None,
+                    effective: bool = True) -> DataFrame:
     """Feed rows eligible for a run, projected to the cost table's columns.
 
+    ``effective=False`` gives the rows that only their start date, not before ``as_of``, keeps out.
     ``latest_timestamp`` text is normalised to ``yyyy-MM-dd``; ``start_date``
     becomes a DATE (ISO or ``dd-MMM-yy`` text); ``total_cost`` a DOUBLE;
     ``load_upto`` is the row's insertion time.
@@ -90,7 +93,7 @@ def valid_cost_rows(feed: DataFrame, watermark=None, as_of: dt.date | str | None
     start = _as_date(rows, "start_date")
     rows = rows.filter(_costed(F.col("cost_status"))
                        & (to_amount("matrl_cost") > 0)
-                       & (start < _as_of(as_of)))
+                       & ((start < _as_of(as_of)) if effective else (start >= _as_of(as_of))))
     projected = []
     for c in COST_COLUMNS:
         if c == "start_date":
@@ -175,21 +178,84 @@ def run(spark: SparkSession, config: Mapping, as_of: dt.date | str | None = None
 
     ``hold_future=True`` (or ``"hold_future": true`` in the target entry) lets the mark not pass rows that
     start in the future, so a later run reads them again.
+
+    When the target entry is a ``path`` with ``"key_buckets": n``, the table is kept in ``n`` buckets of the key's hash
+    (:mod:`pricekit.sinks.keyed`): a run reads and overwrites only the buckets that its batch touches, files of the others
+    stay, the mark comes from the commit log without a scan, and a write that failed midway is finished by the next run.
+    Read such a table by :func:`pricekit.sinks.keyed.read_keyed`. Rules see the rows of the touched buckets.
+    ``"defer_future": true`` puts rows that start in the future aside in ``<path>__deferred``; the run whose ``as_of`` passes their
+    start date merges them, although the mark has moved on, and reads each of them once.
     """
-    feed = read_table(spark, config["input"]["cost_feed"])
     target = config["output"]["cost"]
+    options = target if isinstance(target, Mapping) else {}
+    hold = hold_future or bool(options.get("hold_future"))
+    if options.get("key_buckets"):
+        return _run_keyed(spark, config, as_of, default_watermark, now, rules, hold)
+    recover_publish(spark, target)
+    feed = read_table(spark, config["input"]["cost_feed"])
     previous = read_previous(spark, target)
     if previous is not None:
         previous = drop_audit_columns(previous)
     watermark = high_water_mark(previous, LOAD_UPTO, default_watermark)
     if valid_cost_rows(feed, watermark, as_of).isEmpty():
         return None
-    options = target if isinstance(target, Mapping) else {}
-    limit = pending_mark(feed, watermark, as_of) if hold_future or options.get("hold_future") else None
+    limit = pending_mark(feed, watermark, as_of) if hold else None
     buckets = options.get("buckets")
     layout = (int(buckets), list(KEYS)) if buckets else None
     method = "join" if buckets and previous is not None else "window"
     stage_batch = (lambda df: stage(df, "cost-batch")) if method == "join" else None
     merged = cost_merged(feed, previous, watermark, as_of, method=method, stage_batch=stage_batch)
     return publish(merged, target, "cost", rules, fmt=fmt, replace_schema=True, bucket_by=layout,
-                   finish=lambda staged: with_audit_columns(_stamp_literal(staged, limit), now))
+                   finish=lambda staged: with_audit_columns(_stamp_literal(staged, limit), now),
+                   constants=(LOAD_UPTO, CREATED_ON, UPDATED_ON))
+
+
+def _deferred_entry(target: Mapping) -> dict:
+    return {"path": target["path"].rstrip("/") + "__deferred"}
+
+
+def _due(spark: SparkSession, target: Mapping, since: str | None, as_of: str) -> DataFrame | None:
+    """Deferred rows whose start date was reached since the last run: whole months are skipped in the scan."""
+    deferred = read_previous(spark, _deferred_entry(target))
+    if deferred is None:
+        return None
+    rows = deferred.filter((F.col("start_date") < _as_of(as_of)) & (F.col("start_month") <= as_of[:7]))
+    if since is not None:
+        rows = rows.filter((F.col("start_date") >= _as_of(since)) & (F.col("start_month") >= since[:7]))
+    return rows.select(*COST_COLUMNS)
+
+
+def _run_keyed(spark: SparkSession, config: Mapping, as_of, default_watermark, now, rules, hold: bool) -> DataFrame | None:
+    """The job on a target kept in key buckets: see :func:`run`."""
+    target = config["output"]["cost"]
+    number, defer = int(target["key_buckets"]), bool(target.get("defer_future"))
+    last = recover(spark, target)
+    feed = read_table(spark, config["input"]["cost_feed"])
+    as_of = str(as_of) if as_of is not None else str(spark.range(1).select(F.current_date().alias("d")).first()["d"])
+    as_of_before = last.notes.get("as_of") if last else None
+    # a date earlier than the last run's takes back rows of any bucket, so all are merged
+    whole = last is None or last.number != number or (as_of_before or as_of) > as_of
+    dtype = _as_timestamp(feed, INSERTED_ON)
+    dtype = feed.select(dtype.alias("t")).schema["t"].dataType
+    watermark = thaw(last.facts.get(LOAD_UPTO), dtype) if last and last.facts.get(LOAD_UPTO) else default_watermark
+    new = valid_cost_rows(feed, watermark, as_of)
+    due = _due(spark, target, None if whole else as_of_before, as_of) if defer else None
+    if due is not None:
+        new = new.unionByName(due)
+    batch = stage(batch_latest(new).withColumn(BUCKET, bucket_of(KEYS, number)), "cost-batch")
+    if batch.isEmpty():
+        return None
+    kept = batch.filter(F.coalesce(keep_final(as_of), F.lit(False)))
+    touched = None if whole else [r[0] for r in kept.select(BUCKET).distinct().collect()]
+    previous = read_keyed(spark, target, touched)
+    rows = kept.drop(BUCKET)
+    if previous is not None:
+        previous = drop_audit_columns(previous).filter(F.coalesce(keep_final(as_of), F.lit(False)))
+        rows = latest_per_key(rows.unionByName(previous.select(*COST_COLUMNS)), KEYS, ORDER, TIE_BREAK)
+    rows = with_audit_columns(rows.withColumn("total_cost", landed_cost()).select(*COST_COLUMNS), now)
+    if defer:
+        # before the commit: rows put aside twice, by a run that is tried again, count once in the latest row a key
+        later = valid_cost_rows(feed, watermark, as_of, effective=False).withColumn("start_month", F.date_format("start_date", "yyyy-MM"))
+        later.write.mode("append").partitionBy("start_month").parquet(_deferred_entry(target)["path"])
+    limit = pending_mark(feed, watermark, as_of) if hold else None
+    return publish_keyed(rows, target, KEYS, number, touched, "cost", rules, mark=LOAD_UPTO, limit=limit, notes={"as_of": as_of})

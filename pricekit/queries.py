@@ -12,18 +12,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pricekit.functions.cost import landed_cost
 from pricekit.functions.text import clean_path, normalise_date_text, normalise_quarter
 from pricekit.operators.audit import drop_audit_columns, with_audit_columns
 from pricekit.operators.conform import conform_all, union_feeds
 from pricekit.operators.latest import dedupe_keys, latest_period, rows_of_latest_period
-from pricekit.operators.quality import (QualityGateError, qc_check, qc_metrics, qc_status, rule_pairs,
+from pricekit.operators.metric_state import ERROR, merged_state, metric_state
+from pricekit.operators.quality import (QualityGateError, history_check, qc_check, qc_metrics, qc_status, rule_pairs,
                                         rules_frame)
 from pricekit.plans import cluster, cost, geo, ground_truth, rates
+from pricekit.sinks.keyed import last_commit, read_keyed
 from pricekit.sinks.stage import materialise, stage_folder
-from pricekit.sinks.tables import write_table
+from pricekit.sinks.tables import append_once, write_table
 from pricekit.sources import adapters
+from pricekit.sources.drift import read_drifting
 from pricekit.sources.tables import read_previous, read_table
 from pricekit.streaming.incremental import high_water_mark, since_watermark
 
@@ -32,6 +36,13 @@ AS_OF = "2000-01-01"
 WATERMARK = "1998-01-01 00:00:00"
 EMEA = ("GB", "FR", "DE")
 AMS = ("US",)
+EARLY_AS_OF = "1996-01-01"
+KEY_BUCKETS = 16
+HISTORY_RULES = (
+    ("cost_feed", "*", "row_count", 3, 0.01),
+    ("cost_feed", "country_code", "null_count", 2, 0.05),
+    ("cost_feed", "matrl_cost", "null_count", 4, 0.03),
+)
 GT_COUNTRIES = ("C1", "C2", "C3", "C4")
 AUDIT_NOW = "2024-01-01 00:00:00"
 QC_TABLE = "ground_truth"
@@ -215,19 +226,45 @@ def cost_text_feed(spark, sf_dir):
     return valid.withColumn("load_upto", F.col("load_upto").cast("timestamp_ntz"))
 
 
-def cost_job_two_runs(spark, sf_dir):
-    """The cost job on a written feed, run again after more rows have arrived."""
+def _two_runs(spark, sf_dir, options, first_as_of=AS_OF):
+    """The cost job on a written feed, run again after more rows have arrived; the config."""
     folder = _folder(spark)
     feed = adapters.cost_feed(_load(spark, sf_dir))
     early = F.col("inserted_on") <= F.lit(WATERMARK).cast("timestamp_ntz")
     config = {"input": {"cost_feed": _written(feed.filter(early), folder, "feed")},
-              "output": {"cost": {"path": f"{folder}/cost"}}}
-    cost.run(spark, config, as_of=AS_OF)
+              "output": {"cost": {"path": f"{folder}/cost", **options}}}
+    cost.run(spark, config, as_of=first_as_of)
     write_table(feed.filter(~early), config["input"]["cost_feed"], "append")
     cost.run(spark, config, as_of=AS_OF)
+    return config
+
+
+def cost_job_two_runs(spark, sf_dir):
+    """Both runs on a target kept in key buckets: the second one replaces the buckets it touches."""
+    config = _two_runs(spark, sf_dir, {"key_buckets": KEY_BUCKETS})
+    return drop_audit_columns(read_keyed(spark, config["output"]["cost"]))
+
+
+def cost_job_rewrite(spark, sf_dir):
+    """Both runs on a target that each of them writes as a whole."""
+    config = _two_runs(spark, sf_dir, {})
     return drop_audit_columns(read_table(spark, config["output"]["cost"]))
 
 
+def cost_job_deferred(spark, sf_dir):
+    """Rows that start after the first run's date are put aside and merged by the second run, behind its mark."""
+    config = _two_runs(spark, sf_dir, {"key_buckets": KEY_BUCKETS, "defer_future": True}, EARLY_AS_OF)
+    return drop_audit_columns(read_keyed(spark, config["output"]["cost"]))
+
+
+def cost_job_mark(spark, sf_dir):
+    """The high-water mark after both runs, from the commit log alone."""
+    config = _two_runs(spark, sf_dir, {"key_buckets": KEY_BUCKETS})
+    last = last_commit(spark, config["output"]["cost"])
+    return spark.createDataFrame([(last.facts["load_upto"],)], "mark string").select(
+        F.col("mark").cast("timestamp_ntz").alias("high_water_mark"))
+
+
 def cluster_job(spark, sf_dir):
     folder = _folder(spark)
     feeds = {name: _written(df, folder, name) for name, df in _cluster_feeds(spark, sf_dir).items()}
@@ -282,6 +319,45 @@ def qc_gate_outcome(spark, sf_dir):
     return out
 
 
+def qc_history(spark, sf_dir):
+    """Metrics of the cost feed by year of insertion, as runs, each checked against the runs before it."""
+    feed = adapters.cost_feed(_load(spark, sf_dir)).withColumn("run_id", F.year("inserted_on").cast("string"))
+    metrics = qc_metrics(feed, "cost_feed", [(c, m) for _, c, m, _, _ in HISTORY_RULES], by="run_id")
+    entry = {"path": f"{_folder(spark)}/history"}
+    once = ("run_id", "table_name", "column_name", "metric")
+    append_once(metrics.filter("run_id < '1997'"), entry, once)
+    append_once(metrics, entry, once)
+    return history_check(read_table(spark, entry), HISTORY_RULES)
+
+
+def qc_sketch_merge(spark, sf_dir):
+    """Stored sketches of two runs, merged, against exact counts over both."""
+    gt = adapters.ground_truth(_load(spark, sf_dir))
+    entry = {"path": f"{_folder(spark)}/state"}
+    for run, rows in (("a", gt.filter("l_linenumber <= 3")), ("b", gt.filter("l_linenumber > 3")), ("a", gt)):
+        append_once(metric_state(rows, QC_TABLE, run), entry, ("table_name", "run_id", "column_name"))
+    exact = qc_metrics(gt, QC_TABLE, [(c, "distinct_count") for c in gt.columns]).select(
+        "column_name", F.col("value").cast("bigint").alias("exact_distinct"))
+    near = F.abs(F.col("approx_distinct_count") - F.col("exact_distinct")) <= 4 * ERROR * F.col("exact_distinct")
+    return merged_state(read_table(spark, entry)).join(exact, "column_name").select(
+        "table_name", "column_name", "rows", "nulls", "exact_distinct", near.alias("within_bound"))
+
+
+def feed_drift(spark, sf_dir):
+    """Ground truth delivered twice: other types, another case, a further column, and keys that are no numbers."""
+    gt = adapters.ground_truth(_load(spark, sf_dir))
+    folder = _folder(spark)
+    key = F.when(F.col("l_orderkey") % 50 == 0, F.concat(F.lit("K"), F.col("l_orderkey"))).otherwise(F.col("l_orderkey").cast("string"))
+    _written(gt.filter("l_linenumber <= 3").withColumn("l_orderkey", F.col("l_orderkey").cast("int")), folder, "feed/a")
+    _written(gt.filter("l_linenumber > 3").select(
+        F.col("product_number").alias("PRODUCT_NUMBER"), (F.col("l_orderkey") % 3).alias("promo"), key.alias("l_orderkey"),
+        F.col("price").cast("decimal(12,2)").alias("price"), F.col("l_linenumber").cast("smallint").alias("l_linenumber")), folder, "feed/b")
+    contract = T.StructType.fromDDL("product_number string, country_code string, l_orderkey bigint, l_linenumber int, price double")
+    rows = read_drifting(spark, f"{folder}/feed", contract)
+    return rows.select(*contract.names, F.try_element_at("extras", F.lit("promo")).alias("promo"),
+                       F.try_element_at("extras", F.lit("l_orderkey")).alias("bad_orderkey"))
+
+
 def dedupe_product(spark, sf_dir):
     return dedupe_keys(adapters.product_dim(_load(spark, sf_dir)), ["product_number"])
 
@@ -303,6 +379,12 @@ def audit_roundtrip(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     "cost_text_feed": cost_text_feed,
     "cost_job_two_runs": cost_job_two_runs,
+    "cost_job_rewrite": cost_job_rewrite,
+    "cost_job_deferred": cost_job_deferred,
+    "cost_job_mark": cost_job_mark,
+    "qc_history": qc_history,
+    "qc_sketch_merge": qc_sketch_merge,
+    "feed_drift": feed_drift,
     "cluster_job": cluster_job,
     "rates_job": rates_job,
     "geo_job": geo_job,
