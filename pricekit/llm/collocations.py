@@ -19,7 +19,7 @@ Texts are cut into pieces and words. Every run of ``LONGEST`` words is an edge f
    (38-digit decimals).
 
 Words are 64-bit hashes until the end; two words of a language with one hash are an error, not a wrong count.
-Everything after step 2 is bounded by the number of runs that occur ``least`` times, or by the rows of step 2.
+Everything after step 3 is bounded by the number of runs that occur ``least`` times.
 
 Cases: null texts are empty; a null language is ``und``; empty tables give no rows; repeated rows count each
 time; ties go by weight, then by the phrase's UTF-8 bytes; a language without candidates has no rows.
@@ -28,6 +28,7 @@ time; ties go by weight, then by the phrase's UTF-8 bytes; a language without ca
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,7 @@ from pricekit.llm import _hash
 from pricekit.llm._stage import staged
 
 LONGEST, LEAST, TOP, SHARE, SCALE = 4, 30, 2000, 80, 2_000_000
-FILTER_BITS, SLICE_BITS, BATCH, ROUNDS = 25, 16, 8 << 20, 40
+FILTER_BITS, PAIR_BITS, SLICE_BITS, BATCH, ROUNDS = 25, 40, 16, 8 << 20, 40
 # Bytes that end a piece, and bytes that end a word within one.
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 WORD_ENDS = b" \t"
@@ -59,7 +60,7 @@ def _byte_tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 class Words:
-    """The words of a batch of texts: hash, place, language, and whether the next word continues the piece."""
+    """The words of a batch of texts: hash (of word and language), place, language, and whether the next word continues the piece."""
 
     def __init__(self, batch: pa.RecordBatch, tables: dict):
         lower, is_word, is_end = _byte_tables()
@@ -74,14 +75,16 @@ class Words:
         named = pc.binary_length(self.langs).to_numpy(zero_copy_only=False) > 0
         salts = np.zeros(len(self.langs), _U)
         salts[named] = salt
-        self.salt = salts[self.lang]
+        self.hash = _hash.mix(self.hash * _hash.seeds(1, 102)[0] + salts[self.lang])
         piece = np.cumsum(is_end[data], dtype=np.int32)[self.start] if len(data) else self.start
         self.next = np.zeros(len(self.hash), bool)
         self.next[:-1] = (piece[1:] == piece[:-1]) & (document[1:] == document[:-1])
 
     def keys(self, length: int) -> np.ndarray:
-        """A 64-bit key of language and words for the run of ``length`` words from each word on."""
-        out = self.salt.copy()
+        """A 64-bit key for the run of ``length`` words from each word on."""
+        if length == 1:
+            return self.hash
+        out = np.zeros(len(self.hash), _U)
         for k, seed in enumerate(_hash.seeds(length, 101 + length)):
             out[:max(0, len(out) - k)] += self.hash[k:] * seed
         return _hash.mix(out)
@@ -128,34 +131,33 @@ def _grouped(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
-    """``(lang, hash, key, word, n)``: every word's occurrences."""
+    """``(lang, hash, word, n)``: every word's occurrences."""
     def emit(words):
-        key = words.keys(1)
-        row, count = _grouped(key, words.hash, words.lang)
+        row, count = _grouped(words.hash, words.lang)
         size = words.stop[row] - words.start[row]
         at = np.repeat(words.start[row] - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
         text = pa.Array.from_buffers(pa.large_string(), len(row), [None, pa.py_buffer(np.concatenate([[0], np.cumsum(size)]).astype(np.int64)),
                                                                    pa.py_buffer(np.ascontiguousarray(words.data[at]))])
         return pa.RecordBatch.from_arrays(
             [words.langs.take(pa.array(words.lang[row])).cast(pa.string()), pa.array(words.hash[row].view(np.int64)),
-             pa.array(key[row].view(np.int64)), text.cast(pa.string()), pa.array(count)], ["lang", "hash", "key", "word", "n"])
-    found = _each(texts, emit, "lang string, hash bigint, key bigint, word string, n bigint")
-    return found.groupBy("lang", "hash", "key", "word").agg(F.sum("n").alias("n"))
+             text.cast(pa.string()), pa.array(count)], ["lang", "hash", "word", "n"])
+    found = _each(texts, emit, "lang string, hash bigint, word string, n bigint")
+    return found.groupBy("lang", "hash", "word").agg(F.sum("n").alias("n"))
 
 
 def pair_counts(texts: DataFrame, filters: list) -> DataFrame:
-    """``(key, n)``: occurrences of word pairs, by their keys."""
+    """``(key, n)``: occurrences of word pairs, by the first ``PAIR_BITS`` bits of their keys."""
     def emit(words):
         _, goes = _runs(words, filters)
-        key = words.keys(2)[goes]
+        key = words.keys(2)[goes] >> _U(64 - PAIR_BITS)
         row, count = _grouped(key)
         return pa.RecordBatch.from_arrays([pa.array(key[row].view(np.int64)), pa.array(count)], ["key", "n"])
     return _each(texts, emit, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def bit_filter(keys: DataFrame) -> np.ndarray:
-    """The bits of all ``key``: 2 ** FILTER_BITS of them, whatever the number of keys."""
-    slots = keys.select(F.shiftrightunsigned("key", 64 - FILTER_BITS).alias("slot")).distinct()
+def bit_filter(keys: DataFrame, key: str, width: int = 64) -> np.ndarray:
+    """The bits of all keys of ``width`` bits: 2 ** FILTER_BITS of them, whatever the number of keys."""
+    slots = keys.select(F.shiftrightunsigned(key, width - FILTER_BITS).alias("slot")).distinct()
     size = 1 << SLICE_BITS
 
     def fill(key, table):
@@ -170,7 +172,7 @@ def bit_filter(keys: DataFrame) -> np.ndarray:
 
 
 def edges_and_ends(texts: DataFrame, filters: list) -> DataFrame:
-    """``(lang, w1..w4, n)``: the longest run from each word on; shorter ones, with nulls, stop at a cut or an end."""
+    """``(lang, w1..w4, n, size)``: the longest run from each word on; shorter ones, with nulls, stop at a cut or an end."""
     def emit(words):
         stays, goes = _runs(words, filters)
         n = len(stays)
@@ -179,7 +181,7 @@ def edges_and_ends(texts: DataFrame, filters: list) -> DataFrame:
             on = np.zeros(n, bool)
             on[:max(0, n - k)] = goes[k - 1:n - 1]
             length[(length == k) & on] = k + 1
-        key = words.keys(1)
+        key = words.hash.copy()
         for k in range(2, LONGEST + 1):
             longer = length >= k
             key[longer] = words.keys(k)[longer]
@@ -193,25 +195,34 @@ def edges_and_ends(texts: DataFrame, filters: list) -> DataFrame:
         first, count = _grouped(key[rows], *cols, words.lang[rows], length[rows])
         size = length[rows][first]
         hashes = [pa.array(c[first].view(np.int64), mask=size <= k) for k, c in enumerate(cols)]
-        return pa.RecordBatch.from_arrays([words.langs.take(pa.array(words.lang[rows][first])).cast(pa.string()), *hashes, pa.array(count)],
-                                          ["lang", *WORDS, "n"])
-    found = _each(texts, emit, f"lang string, {', '.join(w + ' bigint' for w in WORDS)}, n bigint")
-    return found.groupBy("lang", *WORDS).agg(F.sum("n").alias("n"))
+        return pa.RecordBatch.from_arrays([words.langs.take(pa.array(words.lang[rows][first])).cast(pa.string()), *hashes, pa.array(count), pa.array(size)],
+                                          ["lang", *WORDS, "n", "size"])
+    found = _each(texts, emit, f"lang string, {', '.join(w + ' bigint' for w in WORDS)}, n bigint, size bigint")
+    # the size is an aggregate, so that conditions on it stay above the shuffle, which all lengths then share
+    return found.groupBy("lang", *WORDS).agg(F.sum("n").alias("n"), F.max("size").alias("size"))
 
 
 def flows(rows: DataFrame) -> dict[int, DataFrame]:
     """Per length, ``(lang, w1.., n)``: edges as they are; a shorter run's leaving flow plus the ends that stop at it."""
-    out = {LONGEST: rows.filter(F.col(WORDS[-1]).isNotNull())}
+    out = {LONGEST: rows.filter(F.col("size") == LONGEST).select("lang", *WORDS, "n")}
     flow = out[LONGEST]
     for length in range(LONGEST - 1, 0, -1):
-        ends = rows.filter(F.col(WORDS[length]).isNull())
-        ends = ends.filter(F.col(WORDS[length - 1]).isNotNull())
         keep = ["lang", *WORDS[:length]]
-        flow = staged(flow.select(*keep, "n").union(ends.select(*keep, "n")).groupBy(*keep).agg(F.sum("n").alias("n")), f"flow{length}")
+        ends = rows.filter(F.col("size") == length)
+        flow = flow.select(*keep, "n").union(ends.select(*keep, "n")).groupBy(*keep).agg(F.sum("n").alias("n"))
         out[length] = flow
     return out
 
 
+def often(rows: DataFrame, least: int) -> dict[int, DataFrame]:
+    """The runs of each length that occur ``least`` times. One job adds up all lengths and writes these alone."""
+    def padded(length: int, df: DataFrame) -> DataFrame:
+        rest = [F.lit(None).cast("bigint").alias(w) for w in WORDS[length:]]
+        return df.filter(F.col("n") >= least).select(F.lit(length).alias("size"), "lang", *WORDS[:length], *rest, "n")
+    every = staged(reduce(DataFrame.union, [padded(k, df) for k, df in flows(rows).items()]), "often")
+    return {k: every.filter(F.col("size") == k).select("lang", *WORDS[:k], "n") for k in range(1, LONGEST + 1)}
+
+
 def _node(words: list[str]) -> Column:
     return F.struct(*[F.col(w).alias(f"x{k}") for k, w in enumerate(words)])
 
@@ -259,13 +270,12 @@ def _words(node: str, rest: Column) -> Column:
     return F.concat(F.array(*[F.col(f"{node}.x{k}") for k in range(LONGEST - 1)]), rest).alias("words")
 
 
-def candidates(flow: dict[int, DataFrame], least: int) -> tuple[DataFrame, DataFrame]:
-    """``(lang, words, n)`` of the phrases that may stay, and of all runs that occur ``least`` times.
+def candidates(often: dict[int, DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """``(lang, words, n)`` of the phrases that may stay, and of all runs that occur often enough.
 
     Candidates of ``LONGEST`` words are the windows of compacted paths; of ``LONGEST - 1`` words the nodes
     that lie in no path (those within one occur as often as the longer candidate around them); shorter ones all.
     """
-    often = {k: df.filter(F.col("n") >= least) for k, df in flow.items()}
     paths, inner = compact(often[LONGEST], often[LONGEST - 1])
     paths = staged(paths, "paths")
     windows = paths.select("lang", "n", F.explode(F.transform(
@@ -320,10 +330,9 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
         raise ValueError(f"two words of {twice[0]['lang']} share a hash")
     total = words.groupBy("lang").agg(F.sum("n").alias("total"))
     common = words.filter(F.col("n") >= least)
-    filters = [bit_filter(common)]
-    filters.append(bit_filter(pair_counts(texts, filters).filter(F.col("n") >= least)))
-    rows = staged(edges_and_ends(texts, filters), "rows")
-    best = scored(*candidates(flows(rows), least))
+    filters = [bit_filter(common, "hash")]
+    filters.append(bit_filter(pair_counts(texts, filters).filter(F.col("n") >= least), "key", PAIR_BITS))
+    best = scored(*candidates(often(edges_and_ends(texts, filters), least)))
     # ties at the last place stay until the phrases are known
     order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc())
     near = staged(best.withColumn("place", F.rank().over(order)).filter(F.col("place") <= top).drop("place"), "near")
