@@ -37,3 +37,44 @@ def test_vectors_are_bound_and_nearly_orthogonal():
     v = p.vectors[rows].astype(int)
     assert set(np.unique(v)) == {-1, 1} and np.abs(v @ v.T / 4096 - np.eye(len(v))).max() < 0.1
     assert p.vector("...") is None and abs(np.linalg.norm(p.vector("some text")) - 1) < 1e-5
+
+
+def test_query_equals_plain_version(spark, documents):
+    """Bind, bundle and cosine written out one trigram at a time, on all documents."""
+    import re
+
+    def letter(x):
+        return language.letter_vectors(np.array([ord(x)], np.uint64), language.DIMENSIONS)[0].astype(np.int64)
+
+    seen = {}
+
+    def vector(text):
+        clean = " ".join(re.findall(r"[^\W\d_]+", (text or "").lower()))
+        if not clean:
+            return None
+        total = np.zeros(language.DIMENSIONS)
+        padded = f" {clean} "
+        for i in range(len(padded) - 2):
+            gram = padded[i:i + 3]
+            if gram not in seen:
+                seen[gram] = np.roll(letter(gram[0]), 2) * np.roll(letter(gram[1]), 1) * letter(gram[2])
+            total += seen[gram]
+        norm = np.linalg.norm(total)
+        return total / norm if norm else None
+
+    docs = {r["doc_id"]: r for r in documents.collect()}
+    units = {i: vector(r["text"]) for i, r in docs.items()}
+    bundles = {}
+    for i, r in docs.items():
+        if zlib.crc32(str(i).encode()) % 3 != 1 and r["lang"] is not None and units[i] is not None:
+            bundles[r["lang"]] = bundles.get(r["lang"], 0) + units[i]
+    langs = sorted(bundles)
+    matrix = np.array([bundles[k] / np.linalg.norm(bundles[k]) for k in langs])
+    for r in QUERIES["op5_language_profiles"](spark, "/root/testdata/sf0.001").collect():
+        unit = units[r["doc_id"]]
+        if unit is None:
+            assert (r["lang_pred"], r["score"]) == ("und", 0.0)
+            continue
+        cosines = matrix @ unit
+        assert abs(max(cosines.max(), 0) - r["score"]) < 1e-4
+        assert cosines[langs.index(r["lang_pred"])] >= cosines.max() - 1e-4
