@@ -7,6 +7,7 @@ and those that name it meet at the node through a Spark join, and pairs that
 beat an end's worst neighbour enter its list. Rounds go on until the lists hardly
 change. Searching: a query's best nodes found so far are expanded by a join with
 the graph, the best unexpanded ones first, until none is left among its best.
+Rounds and steps have bounds against endless runs; reaching one is an error, not a shorter answer.
 
 Equal vectors are one node. A list has at most ``k`` neighbours and as many
 that name it, so no group grows with the data; every vector is indexed.
@@ -28,8 +29,8 @@ from pyspark.sql import functions as F
 from pricekit.llm import _hash
 from pricekit.llm._stage import staged
 
-K, TABLES, RUN, ROUNDS, SETTLED, EACH = 32, 6, 256, 8, 0.002, 6
-BEAM, WIDTH, STEPS, ENTRIES = 128, 32, 12, 32
+K, TABLES, RUN, ROUNDS, SETTLED, EACH = 32, 6, 256, 40, 0.002, 6
+BEAM, WIDTH, STEPS, ENTRIES = 128, 32, 200, 32
 
 
 def _matrix(column) -> np.ndarray:
@@ -161,9 +162,9 @@ def neighbour_graph(nodes: DataFrame, k: int = K, tables: int = TABLES, run: int
         graph = staged(_best(graph.union(new).groupBy("a", "b").agg(F.max("score").alias("score")), k), "graph")
         now = graph.agg(F.sum("score"), F.count("*")).first()
         if not now[1] or (now[1] == total[1] and now[0] - total[0] < settled * abs(now[0])):
-            break
+            return graph
         total = now
-    return graph
+    raise RuntimeError(f"the graph did not settle in {rounds} rounds")
 
 
 def _dot() -> Column:
@@ -181,6 +182,8 @@ def _cosine():
         if not len(a):
             return pa.array([], pa.float64())
         x, y = (np.array(c.flatten().to_numpy(zero_copy_only=False)).reshape(len(c), -1) for c in (a, b))
+        # by powers of two, which change no digit, so that products of very large or small components stay finite
+        x, y = (np.ldexp(m, -np.frexp(np.abs(m).max(axis=1, keepdims=True))[1]) for m in (x, y))
         return pa.array((x * y).sum(axis=1) / (np.sqrt((x * x).sum(axis=1)) * np.sqrt((y * y).sum(axis=1))))
     return cosine
 
@@ -218,6 +221,8 @@ def search(index: DataFrame, graph: DataFrame, queries: DataFrame, top: int = 5,
         new = ahead.join(links, "v").select("q", "node").distinct().join(state.select("q", "node"), ["q", "node"], "left_anti")
         every = marked.select("q", "node", "score", (F.col("done") | F.col("next")).alias("done")).union(scored(new))
         state = staged(every.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= beam).drop("rank"), "beam")
+    else:
+        raise RuntimeError(f"queries had nodes to expand after {steps} steps")
     same = Window.partitionBy("node").orderBy("id", "row")
     members = index.withColumn("n", F.row_number().over(same)).filter(F.col("n") <= top + 1).select("node", "row", "id", "vector")
     found = (state.select("q", "node").join(members, "node").filter("row <> q").join(asked.select("q", "query_id", "qv"), "q")

@@ -55,3 +55,24 @@ def test_few_and_none(spark):
     assert got == [(0, 1, 1), (0, 2, 50), (50, 1, 1), (50, 2, 0)]
     assert nn_descent.nearest(df.limit(0), F.col("id") % 50 == 0).count() == 0
     assert nn_descent.nearest(df.limit(1), F.col("id") % 50 == 0).count() == 0
+
+
+def test_very_large_and_small_components(spark):
+    """Scores are finite cosines whatever the scale of the vectors."""
+    import numpy as np
+
+    from pricekit.llm import nn_descent
+    from pyspark.sql import functions as F
+    rng = np.random.default_rng(3)
+    base = rng.standard_normal((40, 6))
+    scale = 10.0 ** rng.choice([-300, -200, 0, 150, 200, 300], 40)
+    rows = [(i, [float(x) for x in v * s]) for i, (v, s) in enumerate(zip(base, scale))]
+    rows += [(100, [5e-324] * 6), (101, [1.7e308, 1.7e308, 0.0, 0.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = nn_descent.nearest(df, F.col("id") % 7 == 0).collect()
+    units = {i: np.array(v) / np.abs(v).max() for i, v in rows}
+    for query in {r["query_id"] for r in got}:
+        mine = sorted((r["rank"], r["id"], r["score"]) for r in got if r["query_id"] == query)
+        want = sorted(((-(units[query] @ u) / np.linalg.norm(units[query]) / np.linalg.norm(u), i) for i, u in units.items() if i != query))[:5]
+        assert [m[1] for m in mine] == [w[1] for w in want]
+        assert all(abs(m[2] + w[0]) < 1e-12 for m, w in zip(mine, want))
