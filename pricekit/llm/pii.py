@@ -60,7 +60,7 @@ GROUP_LOOKS = {
     "card": r"^[0-9](?:[ -]*[0-9]){12,18}$",
     "phone": r"^\(?[0-9](?:[ ().-]*[0-9]){6,14}$",
 }
-ROUNDS, SUPPORT, CONFIDENCE, CONTEXT = 3, 5, 0.8, 80
+ROUNDS, SUPPORT, CONFIDENCE, CONTEXT = 60, 5, 0.8, 80
 BASE_TYPE = "array<struct<gap:int,tail:string,head:string,value:string>>"
 
 
@@ -124,16 +124,23 @@ def occurrences(rows: DataFrame) -> DataFrame:
 
 
 def _apart(blocks: Column) -> Column:
-    """Whether a span overlaps none of the other spans of its row that are blocks."""
-    order = Window.partitionBy("row").orderBy("start", "end")
-    before = F.max(F.when(blocks, F.col("end"))).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    after = F.min(F.when(blocks, F.col("start"))).over(order.rowsBetween(1, Window.unboundedFollowing))
+    """Whether a span overlaps none of the other spans of its row that are blocks.
+
+    Both windows only grow (the second in the exact reverse order), so a row of many spans takes time in proportion to them.
+    """
+    places = ("start", "end", "kind")
+    onward = Window.partitionBy("row").orderBy(*places)
+    back = Window.partitionBy("row").orderBy(*[F.desc(c) for c in places])
+    before = F.max(F.when(blocks, F.col("end"))).over(onward.rowsBetween(Window.unboundedPreceding, -1))
+    after = F.min(F.when(blocks, F.col("start"))).over(back.rowsBetween(Window.unboundedPreceding, -1))
     return F.coalesce(before <= F.col("start"), F.lit(True)) & F.coalesce(after >= F.col("end"), F.lit(True))
 
 
 def bootstrap(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT,
               confidence: float = CONFIDENCE) -> DataFrame:
-    """Known ``(kind, value)`` after some rounds on a graph ``(pattern, value, counts)`` from seeds ``(kind, value)``.
+    """Known ``(kind, value)`` on a graph ``(pattern, value, counts)`` from seeds ``(kind, value)``, round by round until none is new.
+
+    Known values only grow; a graph that has not settled after ``rounds`` rounds is an error, not a shorter answer.
 
     Edges that do not count can be found but say nothing about a pattern. A pattern counts for a kind from ``support`` distinct known values on. Scores are
     aggregated before they are shuffled; the frequency of one pattern does not matter.
@@ -141,6 +148,7 @@ def bootstrap(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, support:
     edges = staged(edges.groupBy("pattern", "value").agg(F.max("counts").alias("counts")), "edges")
     counted = edges.filter("counts")
     known = staged(seeds.distinct(), "known")
+    number = known.count()
     size = counted.groupBy("pattern").agg(F.count("*").alias("n"))
     for _ in range(rounds):
         patterns = (counted.join(known, "value").groupBy("pattern", "kind").agg(F.count("*").alias("k"))
@@ -148,7 +156,10 @@ def bootstrap(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, support:
                     .filter(F.col("k") / F.col("n") >= confidence).select("pattern", "kind"))
         found = edges.join(patterns, "pattern").filter(_looks_like()).select("kind", "value")
         known = staged(known.union(found).distinct(), "known")
-    return known
+        before, number = number, known.count()
+        if number == before:
+            return known
+    raise RuntimeError(f"patterns did not settle in {rounds} rounds")
 
 
 def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS,

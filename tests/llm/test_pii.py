@@ -100,3 +100,35 @@ def test_empty_and_repeated(spark, rows):
     df = spark.createDataFrame([r + ("x", "y") for r in rows], "doc_id long, text string, row string, kind string")
     got = pii.find_personal_data(df).collect()
     assert sorted(len(r["base"] or []) for r in got) == sorted(1 if r[1] else 0 for r in rows)
+
+
+def test_very_long_text_of_numbers(spark):
+    """Time in proportion to the spans of one text: 60,000 words with digits, and twice as many."""
+    import time
+
+    from pricekit.llm import pii
+
+    def run(n):
+        text = " ".join(f"w{i}x" if i % 50 else f"mail a{i}@b.org" for i in range(n))
+        df = spark.createDataFrame([(1, text), (2, text)], "doc_id long, text string")
+        begun = time.time()
+        found = {r["doc_id"]: len(r["base"]) for r in pii.find_personal_data(df).collect()}
+        assert found == {1: n // 50, 2: n // 50}
+        return time.time() - begun
+
+    run(1000)
+    one, two = run(60_000), run(120_000)
+    assert one < 30 and two < 3 * one + 5
+
+
+def test_rounds_go_on_until_nothing_is_new(spark):
+    """A chain of patterns, each known only by the values that the one before it found."""
+    import pytest
+
+    from pricekit.llm import pii
+    edges = [(f"p{k}", f"a{5 * k + i}@x.org", True) for k in range(8) for i in range(10)]
+    edges = spark.createDataFrame(edges, "pattern string, value string, counts boolean")
+    seeds = spark.createDataFrame([("email", f"a{i}@x.org") for i in range(5)], "kind string, value string")
+    assert pii.bootstrap(edges, seeds, confidence=0.5).count() == 45
+    with pytest.raises(RuntimeError):
+        pii.bootstrap(edges, seeds, rounds=4, confidence=0.5)
