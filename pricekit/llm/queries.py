@@ -84,11 +84,11 @@ def op9_contextual_pii(spark, sf_dir):
 
 
 def op10_suffix_dedup(spark, sf_dir):
-    """Every document's bytes without those that strings of 400 bytes repeat."""
+    """Every document's bytes without those that strings of 400 bytes repeat; ``kept`` shows them as text (a character cut in two as U+FFFD)."""
     found = suffix_dedup.repeated_spans(table(spark, sf_dir, "documents"))
     gone = F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, s: a + s["end"] - s["start"])
     return found.select("doc_id", "n_bytes", gone.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"),
-                        F.sha2("kept", 256).alias("kept_sha256"))
+                        F.sha2("kept", 256).alias("kept_sha256"), F.make_valid_utf8(F.col("kept").cast("string")).alias("kept"))
 
 
 def op11_debruijn_phrases(spark, sf_dir):
