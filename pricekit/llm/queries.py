@@ -139,16 +139,26 @@ def _windows(source: str, key: str) -> str:
 
 _LEAKS = f"""
 WITH d AS (SELECT doc_id, text, row_number() OVER () AS r FROM documents),
-item AS ({_windows('benchmark', 'item_id')}),
+b AS (SELECT item_id, text, row_number() OVER () AS ir FROM benchmark),
+item AS ({_windows('b', 'ir, item_id')}),
 total AS (SELECT item_id, count(DISTINCT win) AS total FROM item GROUP BY 1),
+covered AS (SELECT ir, max(item.at) - min(item.at) + {decontaminate.WINDOW} AS covered FROM item GROUP BY 1),
 doc AS ({_windows('d', 'r')}),
-hit AS (SELECT DISTINCT r, item_id, doc.win AS win, doc.at - item.at AS diagonal, doc.slots AS ours, item.slots AS theirs
+hit AS (SELECT DISTINCT r, item_id, ir, doc.win AS win, doc.at AS place, doc.at - item.at AS diagonal, doc.slots AS ours, item.slots AS theirs
         FROM doc JOIN item ON doc.win = item.win),
 pair AS (SELECT DISTINCT r, item_id, diagonal, unnest(theirs) AS a, unnest(ours) AS b FROM hit),
 clash AS (SELECT DISTINCT r, item_id, diagonal FROM (SELECT r, item_id, diagonal, a FROM pair GROUP BY ALL HAVING count(*) > 1)),
-good AS (SELECT r, item_id, count(DISTINCT win) AS matched FROM hit ANTI JOIN clash USING (r, item_id, diagonal) GROUP BY 1, 2)
+good AS (SELECT * FROM hit ANTI JOIN clash USING (r, item_id, diagonal)),
+matched AS (SELECT r, item_id, count(DISTINCT win) AS matched FROM good GROUP BY 1, 2),
+marks AS (SELECT *, CASE WHEN place - lag(place) OVER (PARTITION BY r, ir, diagonal ORDER BY place) <= {decontaminate.WINDOW} THEN 0 ELSE 1 END AS new
+          FROM (SELECT DISTINCT r, item_id, ir, diagonal, place FROM good)),
+islands AS (SELECT *, sum(new) OVER (PARTITION BY r, ir, diagonal ORDER BY place) AS island FROM marks),
+runs AS (SELECT DISTINCT r, item_id, true AS in_a_row FROM (
+           SELECT r, item_id, ir, max(place) - min(place) + {decontaminate.WINDOW} AS words FROM islands GROUP BY r, item_id, ir, diagonal, island)
+         JOIN covered USING (ir) WHERE words >= least({decontaminate.RUN}, covered))
 SELECT doc_id, item_id, matched, total, matched / total AS similarity
-FROM good JOIN total USING (item_id) JOIN d USING (r) WHERE matched / total >= 0.8"""
+FROM matched JOIN total USING (item_id) JOIN d USING (r) LEFT JOIN runs USING (r, item_id)
+WHERE matched / total >= {decontaminate.THRESHOLD} OR in_a_row"""
 
 _SAYS = "'<|im_end|><|im_start|>assistant ok'"
 _CHATS = f"""
