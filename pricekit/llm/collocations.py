@@ -3,10 +3,10 @@
 Texts are cut into pieces and words. Every run of ``LONGEST`` words is an edge from the node of its first
 ``LONGEST - 1`` words to the overlapping node of its last ones; equal edges are one edge with a weight.
 
-1. **Cuts.** A phrase that occurs ``least`` times holds only words and word pairs that do. Word counts, then
-   counts of pairs, set bits of a filter of fixed size (``FILTER_BITS``); where a word's or pair's bit is not set,
-   a piece is cut. Pairs that share a bit with a frequent one stay, so cuts are always right, and
-   counts of phrases that occur ``least`` times can't change. The filter is all that goes to the workers.
+1. **Cuts.** A phrase that occurs ``least`` times holds only words, pairs and longer runs that do. Counts of words, then
+   of pairs, then of triples set bits of filters of a fixed size (``FILTER_BITS``); where the bit of a word or run is not
+   set, no longer run goes over it. Runs that share a bit with a frequent one stay, so cuts are always right, and
+   counts of phrases that occur ``least`` times can't change. The filters are all that goes to the workers.
 2. **Edges and ends.** What is left of a piece gives one row a word: the longest run from it on, up to
    ``LONGEST`` words; shorter ones are the corrections for words near an end. Rows are added up within a
    batch, within a map task, then by one shuffle of distinct rows.
@@ -40,7 +40,7 @@ from pricekit.llm import _hash
 from pricekit.llm._stage import staged
 
 LONGEST, LEAST, TOP, SHARE, SCALE = 4, 30, 2000, 80, 2_000_000
-FILTER_BITS, PAIR_BITS, SLICE_BITS, BATCH, ROUNDS = 25, 40, 16, 8 << 20, 40
+FILTER_BITS, RUN_BITS, SLICE_BITS, BATCH, ROUNDS = 25, 40, 16, 2 << 20, 40
 # Bytes that end a piece, and bytes that end a word within one.
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 WORD_ENDS = b" \t"
@@ -70,7 +70,7 @@ class Words:
         langs = batch.column("lang").dictionary_encode()
         self.langs = langs.dictionary
         document = np.searchsorted(offsets, self.start, side="right") - 1
-        self.lang = langs.indices.to_numpy()[document].astype(np.int64)
+        self.lang = langs.indices.to_numpy()[document]
         salt, _ = _hash.word_hashes(*_hash.buffers(self.langs), tables, np.ones(256, bool))
         named = pc.binary_length(self.langs).to_numpy(zero_copy_only=False) > 0
         salts = np.zeros(len(self.langs), _U)
@@ -95,15 +95,20 @@ def _has(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bits[slot >> _U(3)] >> (slot & _U(7)).astype(np.uint8)) & 1 == 1
 
 
-def _runs(words: Words, filters: list) -> tuple[np.ndarray, np.ndarray]:
-    """Words that stay, and whether the run goes on to the next word, after the cuts of ``filters``."""
-    stays, goes = np.ones(len(words.hash), bool), words.next.copy()
-    if filters:
-        stays = _has(filters[0], words.keys(1))
-        goes[:-1] &= stays[:-1] & stays[1:]
-    if len(filters) > 1:
-        goes &= _has(filters[1], words.keys(2))
-    return stays, goes
+def _runs(words: Words, filters: list) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Words that stay, and for each length from 2 on where a run of so many words starts, after the cuts of ``filters``."""
+    n = len(words.hash)
+    stays = _has(filters[0], words.hash) if filters else np.ones(n, bool)
+    goes = np.append(words.next[:-1] & stays[:-1] & stays[1:], False)
+    runs, now = [], goes
+    for length in range(2, LONGEST + 1):
+        if length > 2:
+            # its first and its last words are runs of one word less
+            now = np.append(now[:-1] & now[1:], False)
+        if len(filters) >= length:
+            now = now & _has(filters[length - 1], words.keys(length))
+        runs.append(now)
+    return stays, runs
 
 
 def _each(texts: DataFrame, emit: Callable, schema: str) -> DataFrame:
@@ -145,11 +150,11 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return found.groupBy("lang", "hash", "word").agg(F.sum("n").alias("n"))
 
 
-def pair_counts(texts: DataFrame, filters: list) -> DataFrame:
-    """``(key, n)``: occurrences of word pairs, by the first ``PAIR_BITS`` bits of their keys."""
+def run_counts(texts: DataFrame, filters: list, length: int) -> DataFrame:
+    """``(key, n)``: occurrences of the runs of ``length`` words, by the first ``RUN_BITS`` bits of their keys."""
     def emit(words):
-        _, goes = _runs(words, filters)
-        key = words.keys(2)[goes] >> _U(64 - PAIR_BITS)
+        _, runs = _runs(words, filters)
+        key = words.keys(length)[runs[length - 2]] >> _U(64 - RUN_BITS)
         row, count = _grouped(key)
         return pa.RecordBatch.from_arrays([pa.array(key[row].view(np.int64)), pa.array(count)], ["key", "n"])
     return _each(texts, emit, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
@@ -174,17 +179,13 @@ def bit_filter(keys: DataFrame, key: str, width: int = 64) -> np.ndarray:
 def edges_and_ends(texts: DataFrame, filters: list) -> DataFrame:
     """``(lang, w1..w4, n, size)``: the longest run from each word on; shorter ones, with nulls, stop at a cut or an end."""
     def emit(words):
-        stays, goes = _runs(words, filters)
+        stays, runs = _runs(words, filters)
         n = len(stays)
         length = stays.astype(np.int64)
-        for k in range(1, LONGEST):
-            on = np.zeros(n, bool)
-            on[:max(0, n - k)] = goes[k - 1:n - 1]
-            length[(length == k) & on] = k + 1
         key = words.hash.copy()
-        for k in range(2, LONGEST + 1):
-            longer = length >= k
-            key[longer] = words.keys(k)[longer]
+        for k, run in enumerate(runs, 2):
+            length[run] = k
+            key[run] = words.keys(k)[run]
         rows = np.flatnonzero(stays)
         cols = []
         for k in range(LONGEST):
@@ -331,7 +332,8 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     total = words.groupBy("lang").agg(F.sum("n").alias("total"))
     common = words.filter(F.col("n") >= least)
     filters = [bit_filter(common, "hash")]
-    filters.append(bit_filter(pair_counts(texts, filters).filter(F.col("n") >= least), "key", PAIR_BITS))
+    for length in range(2, LONGEST):
+        filters.append(bit_filter(run_counts(texts, filters, length).filter(F.col("n") >= least), "key", RUN_BITS))
     best = scored(*candidates(often(edges_and_ends(texts, filters), least)))
     # ties at the last place stay until the phrases are known
     order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc())
