@@ -340,7 +340,17 @@ SELECT product_number, CASE WHEN l_linenumber <= 3 THEN country_code END AS coun
   CASE WHEN l_linenumber > 3 THEN CAST(l_orderkey % 3 AS VARCHAR) END AS promo,
   CASE WHEN l_linenumber > 3 AND l_orderkey % 50 = 0 THEN 'K' || CAST(l_orderkey AS VARCHAR) END AS bad_orderkey FROM gt"""
 
+def _steps() -> str:
+    waiting = _valid("feed", _WM).replace(f"start_date < {_AS_OF}", f"start_date >= {_AS_OF}")
+    steps = {"new": "SELECT * FROM s_valid", "waiting": waiting, "batch": "SELECT * FROM s_batch",
+             "dropped": "SELECT * FROM s_batch EXCEPT ALL SELECT * FROM s_batch " + _KEEP, "result": "SELECT * FROM s_out"}
+    return (f"WITH {_FEED_CTE},\n{_run('s', 'feed', None, _WM)}\n" + " UNION ALL ".join(
+        f"SELECT '{name}' AS step, count(*) AS rows, count(DISTINCT {{'p': product_id, 'c': country_name}}) AS keys, "
+        f"max(start_date) AS latest FROM ({sql})" for name, sql in steps.items()))
+
+
 JOB_SQL = {
+    "cost_steps_sql": _steps(),
     "cost_job_rewrite": COST_SQL["cost_merge_latest"],
     "cost_job_deferred": _DEFERRED,
     "cost_job_mark": COST_SQL["cost_merge_latest"].replace("SELECT * FROM m_out", "SELECT max(load_upto) AS high_water_mark FROM m_out"),

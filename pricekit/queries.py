@@ -23,6 +23,7 @@ from pricekit.operators.metric_state import ERROR, merged_state, metric_state
 from pricekit.operators.quality import (QualityGateError, history_check, qc_check, qc_metrics, qc_status, rule_pairs,
                                         rules_frame)
 from pricekit.plans import cluster, cost, geo, ground_truth, rates
+from pricekit.plans.steps import as_views, cost_steps
 from pricekit.sinks.keyed import last_commit, read_keyed
 from pricekit.sinks.stage import materialise, stage_folder
 from pricekit.sinks.tables import append_once, write_table
@@ -319,6 +320,15 @@ def qc_gate_outcome(spark, sf_dir):
     return out
 
 
+def cost_steps_sql(spark, sf_dir):
+    """Rows and keys after each step of an incremental cost run, in SQL over its views."""
+    feed = adapters.cost_feed(_load(spark, sf_dir))
+    views = as_views(cost_steps(feed, None, WATERMARK, AS_OF), f"cost_{uuid.uuid4().hex[:8]}")
+    return spark.sql(" UNION ALL ".join(
+        f"SELECT '{step}' AS step, count(*) AS rows, count(DISTINCT struct(product_id, country_name)) AS keys, "
+        f"max(start_date) AS latest FROM {view}" for step, view in views.items()))
+
+
 def qc_history(spark, sf_dir):
     """Metrics of the cost feed by year of insertion, as runs, each checked against the runs before it."""
     feed = adapters.cost_feed(_load(spark, sf_dir)).withColumn("run_id", F.year("inserted_on").cast("string"))
@@ -382,6 +392,7 @@ QUERIES: dict[str, Query] = {
     "cost_job_rewrite": cost_job_rewrite,
     "cost_job_deferred": cost_job_deferred,
     "cost_job_mark": cost_job_mark,
+    "cost_steps_sql": cost_steps_sql,
     "qc_history": qc_history,
     "qc_sketch_merge": qc_sketch_merge,
     "feed_drift": feed_drift,
