@@ -1,6 +1,6 @@
 """Run one job from a JSON config.
 
-``python -m pricekit <job> <config.json> [--as-of DATE]``, or
+``python -m pricekit <job> <config.json> [--as-of DATE] [--run-id ID]``, or
 ``spark-submit --py-files pricekit.zip pricekit/__main__.py <job> <config.json>``.
 
 The session comes from the submitting environment (cluster master,
@@ -26,6 +26,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("config")
     parser.add_argument("--as-of", default=None, help="cost job: effective-before date (default today)")
     parser.add_argument("--format", default="parquet", help="table format of the outputs")
+    parser.add_argument("--run-id", default=None, help="ground_truth job: a run tried again under its id logs once")
     args = parser.parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
     log = logging.getLogger("pricekit")
@@ -43,7 +44,7 @@ def main(argv: list[str] | None = None) -> int:
     elif args.job == "geo":
         geo.run(spark, config, fmt=args.format, rules=rules)
     else:
-        status = ground_truth.run(spark, config, rules, fmt=args.format)
+        status = ground_truth.run(spark, config, rules, fmt=args.format, run_id=args.run_id)
         log.info("ground truth QC status: %s", status)
     return 0
 
