@@ -9,8 +9,8 @@
    link: one minus the similarity is a metric for Jaccard and probability
    Jaccard, so these can't be links. For this, buckets with one leader are
    taken together. Small ones go pair by pair. Large
-   ones are cut into blocks; a task gets two blocks, compares them by matrix
-   products and returns links only, so rows grow with members and blocks.
+   ones are cut into blocks; a task gets two blocks, compares members that share
+   a bucket and returns links only, so rows grow with members and blocks.
 
 So every pair that shares a bucket is linked, proven too far apart, or known
 to be in one component.
@@ -30,7 +30,7 @@ from pricekit.llm._stage import staged
 from pricekit.llm.components import connected_components
 
 
-SMALL, BLOCK, BLOCK_CHARS, COLUMNS = 16, 1024, 8 << 20, 4096
+SMALL, BLOCK, BLOCK_CHARS = 16, 1024, 8 << 20
 #: Distinct elements, their weights and their texts' numbers, of a column of texts.
 Features = Callable[[pa.Array], tuple[np.ndarray, np.ndarray, np.ndarray]]
 
@@ -59,45 +59,77 @@ def probability_jaccard(x: tuple, y: tuple) -> float:
     return float((1 / (above[cut] / xs[common] + below[cut] / ys[common])).sum())
 
 
+def _lists(column) -> tuple[np.ndarray, np.ndarray]:
+    """Values of a column of lists, and the rows they belong to."""
+    lists = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+    return pc.list_flatten(lists).to_numpy(zero_copy_only=False), np.repeat(np.arange(len(lists)), sizes)
+
+
 def block_links(left: pa.Table, right: pa.Table, features: Features, threshold: float) -> pa.Table:
-    """Links between the rows ``(node, value, component, far)`` of two blocks."""
-    sides, out = [], []
+    """Links between rows ``(node, value, component, far, free, keys)`` of two blocks that share one of their ``keys``.
+
+    ``left`` rows are all ``free``; two free rows are compared in the order of their nodes. Of each
+    left row the weights of its elements lie in an array, from which the elements of
+    its partners are looked up: work grows with pairs and their elements.
+    """
+    sides = []
     for table in (left, right):
         elements, weights, owner = features(table.column("value").combine_chunks())
         order = np.lexsort((elements, owner))
         sides.append((elements[order], weights[order], owner[order], table.num_rows))
     totals = [np.bincount(o, w, n) for _, w, o, n in sides]
-    # elements of one side only are in no intersection
+    cuts = [np.searchsorted(o, np.arange(n + 1)) for _, _, o, n in sides]
     both = np.intersect1d(sides[0][0], sides[1][0])
     equal = all((w == 1).all() for _, w, _, _ in sides)
-    shared = [np.zeros((left.num_rows, right.num_rows), np.float32) for _ in range(1 if equal else 2)]
-    places = [np.searchsorted(both, e) for e, _, _, _ in sides]
-    common = [at < len(both) for at in places]
-    common = [c & (both[np.minimum(at, len(both) - 1)] == s[0]) if len(both) else c for c, at, s in zip(common, places, sides)]
-    for low in range(0, len(both), COLUMNS):
-        dense = []
-        for (_, w, o, n), at, c in zip(sides, places, common):
-            mine = c & (at >= low) & (at < low + COLUMNS)
-            part = np.zeros((n, min(COLUMNS, len(both) - low)), np.float32)
-            part[o[mine], at[mine] - low] = w[mine]
-            dense.append(part)
+    # elements of one side only are in no intersection
+    common = [np.isin(e, both) for e, _, _, _ in sides]
+    places = [np.searchsorted(both, e[c]) for (e, _, _, _), c in zip(sides, common)]
+    weight = [w[c] for (_, w, _, _), c in zip(sides, common)]
+    first = [np.searchsorted(o[c], np.arange(n + 1)) for (_, _, o, n), c in zip(sides, common)]
+    key, holder = _lists(right.column("keys"))
+    order = np.argsort(key, kind="stable")
+    key, holder = key[order], holder[order]
+    wanted, asks = _lists(left.column("keys"))
+    low, high = np.searchsorted(key, wanted, "left"), np.searchsorted(key, wanted, "right")
+    asked = np.searchsorted(asks, np.arange(left.num_rows + 1))
+    nodes = [t.column("node").to_numpy() for t in (left, right)]
+    components = [t.column("component").to_numpy() for t in (left, right)]
+    far = [t.column("far").to_numpy() for t in (left, right)]
+    free = right.column("free").to_numpy()
+    least = threshold - 1e-4
+    slot = np.zeros(len(both))
+    out = []
+    for i in range(left.num_rows):
+        ranges = [holder[low[k]:high[k]] for k in range(asked[i], asked[i + 1])]
+        partner = np.unique(np.concatenate(ranges)) if ranges else np.zeros(0, np.int64)
+        may = (components[1][partner] != components[0][i]) & (np.abs(far[1][partner] - far[0][i]) <= 1 - threshold + 1e-9)
+        may &= ~free[partner] | (nodes[1][partner] > nodes[0][i])
+        if equal:  # the smaller set is all that can be common
+            may &= np.minimum(totals[1][partner], totals[0][i]) >= least * np.maximum(totals[1][partner], totals[0][i])
+        size = first[1][partner + 1] - first[1][partner]
+        partner, size = partner[may & (size > 0)], size[may & (size > 0)]
+        if not len(partner):
+            continue
+        begin = np.cumsum(size) - size
+        at = np.arange(begin[-1] + size[-1]) + np.repeat(first[1][partner] - begin, size)
+        mine = slice(first[0][i], first[0][i + 1])
+        slot[places[0][mine]] = weight[0][mine]
+        found = slot[places[1][at]]
+        slot[places[0][mine]] = 0
+        shared = np.add.reduceat(found, begin)
         if equal:
-            shared[0] += dense[0] @ dense[1].T
+            score = shared / (totals[0][i] + totals[1][partner] - shared)
         else:
-            shared[0] += dense[0] @ (dense[1] > 0).T.astype(np.float32)
-            shared[1] += (dense[0] > 0).astype(np.float32) @ dense[1].T
-    # a similarity is at most the share of either side's weight that is common
-    least = threshold - 1e-4
-    may = (shared[0] >= least * totals[0][:, None]) & (shared[-1] >= least * totals[1][None, :])
-    may &= left.column("component").to_numpy()[:, None] != right.column("component").to_numpy()[None, :]
-    may &= np.abs(left.column("far").to_numpy()[:, None] - right.column("far").to_numpy()[None, :]) <= 1 - threshold + 1e-9
-    cuts = [np.searchsorted(o, np.arange(n + 1)) for _, _, o, n in sides]
-    nodes = [t.column("node").to_numpy() for t in (left, right)]
-    for i, j in zip(*np.nonzero(may)):
-        pair = [(s[0][c[k]:c[k + 1]], s[1][c[k]:c[k + 1]]) for s, c, k in zip(sides, cuts, (i, j))]
-        found = probability_jaccard(*pair)
-        if found >= threshold:
-            out.append((min(nodes[0][i], nodes[1][j]), max(nodes[0][i], nodes[1][j]), found))
+            # a similarity is at most the share of either side's weight that is common
+            back = np.add.reduceat(np.where(found > 0, weight[1][at], 0.0), begin)
+            score = np.zeros(len(partner))
+            for k in np.flatnonzero((shared >= least * totals[0][i]) & (back >= least * totals[1][partner])):
+                pair = [(s[0][c[n]:c[n + 1]], s[1][c[n]:c[n + 1]]) for s, c, n in zip(sides, cuts, (i, partner[k]))]
+                score[k] = probability_jaccard(*pair)
+        for k in np.flatnonzero(score >= threshold):
+            ends = int(nodes[0][i]), int(nodes[1][partner[k]])
+            out.append((min(ends), max(ends), float(score[k])))
     a, b, s = zip(*out) if out else ((), (), ())
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "similarity": pa.array(s, pa.float64())})
 
@@ -126,20 +158,20 @@ def verified_links(buckets: DataFrame, values: Callable[[DataFrame], DataFrame],
     first = compared(star, "star")
     links = first.filter(F.col("similarity") >= threshold)
     component = connected_components(links)
-    placed = (members
-              .join(first.select(F.col("a").alias("lead"), F.col("b").alias("node"), "similarity"),
-                    ["lead", "node"], "left")
-              .join(component, "node", "left")
-              .select("key", "node", "lead", F.coalesce("component", "node").alias("component"),
-                      F.when(F.col("node") == F.col("lead"), F.lit(0.0))
-                      .otherwise(1 - F.col("similarity")).alias("far")))
     # buckets with one leader go together: their members' distances to it are the same
-    placed = staged(placed.drop("key").distinct(), "placed")
+    placed = staged(members.groupBy("lead", "node").agg(F.collect_list("key").alias("keys"))
+                    .join(first.select(F.col("a").alias("lead"), F.col("b").alias("node"), "similarity"),
+                          ["lead", "node"], "left")
+                    .join(component, "node", "left")
+                    .select("node", "lead", "keys", F.coalesce("component", "node").alias("component"),
+                            F.when(F.col("node") == F.col("lead"), F.lit(0.0))
+                            .otherwise(1 - F.col("similarity")).alias("far")), "placed")
     mixed = (placed.groupBy("lead").agg(
         F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n"),
         F.max(F.when(F.col("node") == F.col("lead"), F.col("component"))).alias("main"))
         .filter("x <> y").select("lead", "n", "main"))
-    rest = staged(placed.filter("node <> lead").join(mixed, "lead"), "mixed")
+    rest = staged(placed.filter("node <> lead").join(mixed, "lead")
+                  .withColumn("keys", F.when(F.col("n") > SMALL, F.col("keys"))), "mixed")
     few = rest.filter(F.col("n") <= SMALL)
     left = few.filter("component <> main").select("lead", F.col("node").alias("p"), F.col("component").alias("cp"), F.col("far").alias("fp"))
     right = few.select("lead", F.col("node").alias("q"), F.col("component").alias("cq"), F.col("far").alias("fq"))
@@ -157,7 +189,7 @@ def _links_in_blocks(rest: DataFrame, known: DataFrame, features: Callable[[], F
     rest = rest.join(size, "lead")
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     each = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    columns = ["lead", "node", "component", "far"]
+    columns = ["lead", "node", "keys", "component", "far", (F.col("component") != F.col("main")).alias("free")]
     dealt = (rest.filter("component <> main").select(*columns, F.lit(True).alias("first"), mine.alias("i"), each.alias("j"))
              .union(rest.select(*columns, F.lit(False).alias("first"), each.alias("i"), mine.alias("j"))))
 

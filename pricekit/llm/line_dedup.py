@@ -129,26 +129,40 @@ def _line_names():
     return names
 
 
-def line_buckets(texts: DataFrame, text_col: str, shingle: int = SHINGLE, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``(key, node)`` of all lines of a column of texts; equal lines of nearby texts come once."""
+def _lines_named():
+    @F.arrow_udf("array<string>")
+    def named(texts: pa.Array, names: pa.Array, wanted: pa.Array) -> pa.Array:
+        """The lines of each text that have the wanted names, the last of each name."""
+        out = []
+        for k in range(len(texts)):
+            place = {name: at for at, name in enumerate(names[k].as_py())}
+            lines = texts[k].as_py().split("\n")
+            out.append([lines[place[name]] for name in wanted[k].as_py()])
+        return pa.array(out, pa.list_(pa.string()))
+    return named
+
+
+def line_buckets(texts: DataFrame, text_col: str, names_col: str, shingle: int = SHINGLE, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """``(key, node)`` of all named lines of a column of texts; equal lines of nearby texts come once."""
     def emit(batches):
         tables: dict = {}
         seen = np.zeros(0, np.int64)
         for part in _hash.small_batches(batches, text_col, 1 << 20):
-            for some in _pieces(_lines(part.column(0))[0]):
+            names = pc.list_flatten(part.column(names_col)).to_numpy(zero_copy_only=False)
+            _, index = np.unique(names, return_index=True)
+            index = np.sort(index[(names[index] != 0) & ~np.isin(names[index], seen)])
+            seen = np.concatenate([seen, names[index]])[-50_000:]
+            done = 0
+            for some in _pieces(_lines(part.column(text_col))[0].take(pa.array(index))):
+                node = names[index[done:done + len(some)]]
+                done += len(some)
                 data, off = _hash.buffers(_normal(some))
-                hashes, owner, node = char_shingles(data, off, shingle, tables)
-                _, index = np.unique(node, return_index=True)
-                index = index[(node[index] != 0) & ~np.isin(node[index], seen)]
-                seen = np.concatenate([seen, node[index]])[-50_000:]
-                pick = np.zeros(len(node), np.int64) - 1
-                pick[index] = np.arange(len(index))
-                mine = pick[owner] >= 0
-                keys = _keys(signatures(hashes[mine], pick[owner[mine]], len(index), bands * rows), rows)
+                hashes, owner, _ = char_shingles(data, off, shingle, tables)
+                keys = _keys(signatures(hashes, owner, len(node), bands * rows), rows)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.astype(np.int64).ravel()), pa.array(np.repeat(node[index], keys.shape[1]))], ["key", "node"])
+                    [pa.array(keys.astype(np.int64).ravel()), pa.array(np.repeat(node, keys.shape[1]))], ["key", "node"])
 
-    return texts.select(text_col).mapInArrow(emit, "key bigint, node bigint")
+    return texts.select(text_col, names_col).mapInArrow(emit, "key bigint, node bigint")
 
 
 def distinct_shingles(lines, shingle: int, tables: dict):
@@ -195,13 +209,17 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     text = F.col(f"doc.{text_col}")
     base = staged(docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc"))
                   .withColumn("lines", _line_names()(text)), "documents", texts=True)
-    buckets = line_buckets(base.select(text.alias("text")), "text", shingle, bands, rows)
+    buckets = line_buckets(base.select(text.alias("text"), "lines"), "text", "lines", shingle, bands, rows)
     score = jaccard_udf(shingle)
 
     def values(nodes):
-        lines = base.select(F.explode(F.arrays_zip(F.col("lines").alias("node"), F.split(F.coalesce(text, F.lit("")), "\n", -1).alias("value"))).alias("l"))
-        return (lines.select("l.node", "l.value").join(nodes, "node")
-                .groupBy("node").agg(F.min("value").alias("value")))
+        """Each node's line as the first row that has it writes it; equal lines are added up before any join."""
+        held = (base.select("row", F.explode(F.array_distinct("lines")).alias("node")).filter("node <> 0")
+                .groupBy("node").agg(F.min("row").alias("row")))
+        wanted = held.join(nodes, "node").groupBy("row").agg(F.collect_list("node").alias("nodes"))
+        rows = wanted.join(base.select("row", "lines", text.alias("text")), "row")
+        return (rows.select(F.explode(F.arrays_zip("nodes", _lines_named()("text", "lines", "nodes").alias("value"))).alias("l"))
+                .select(F.col("l.nodes").alias("node"), "l.value"))
 
     links = verified_links(buckets, values, lambda a, b: score(a, b), lambda: _features(shingle), threshold)
     component = connected_components(links)
