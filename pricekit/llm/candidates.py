@@ -31,6 +31,8 @@ from pricekit.llm.components import connected_components
 
 
 SMALL, BLOCK, BLOCK_CHARS = 16, 1024, 8 << 20
+#: Members of one block times characters of the other: what one task compares at most, on average.
+BLOCK_WORK = 1 << 27
 #: Distinct elements, their weights and their texts' numbers, of a column of texts.
 Features = Callable[[pa.Array], tuple[np.ndarray, np.ndarray, np.ndarray]]
 
@@ -184,8 +186,10 @@ def verified_links(buckets: DataFrame, values: Callable[[DataFrame], DataFrame],
 
 
 def _links_in_blocks(rest: DataFrame, known: DataFrame, features: Callable[[], Features], threshold: float) -> DataFrame:
+    members, chars = F.count("*").cast("double"), F.sum("chars").cast("double")
     size = (rest.join(known.select("node", F.length("value").alias("chars")), "node").groupBy("lead")
-            .agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("chars") / BLOCK_CHARS)).cast("int").alias("blocks")))
+            .agg(F.ceil(F.greatest(members / BLOCK, chars / BLOCK_CHARS, F.sqrt(members * chars / BLOCK_WORK)))
+                 .cast("int").alias("blocks")))
     rest = rest.join(size, "lead")
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     each = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
