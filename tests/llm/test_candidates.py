@@ -46,3 +46,21 @@ def test_blocks_against_all_pairs(equal):
         found += len(got)
         assert candidates.block_links(block(left), block(right).slice(0, 0), features, 0.8).num_rows == 0
     assert found > 20
+
+
+def test_blocks_of_any_size_give_the_same_links(spark, monkeypatch):
+    from pricekit.llm import line_dedup
+    rng = np.random.default_rng(5)
+    base = ["".join(rng.choice(list("abcdefgh "), 80)) for _ in range(6)]
+    lines = [base[i % 6][:70] + "xyz"[i % 3] + str(i) for i in range(48)]
+    known = spark.createDataFrame(list(enumerate(lines)), "node bigint, value string")
+    rest = spark.createDataFrame([(0, i, [i % 6, 7], i, 0, 0.1) for i in range(1, 48)],
+                                 "lead bigint, node bigint, keys array<bigint>, component bigint, main bigint, far double")
+
+    def links():
+        found = candidates._links_in_blocks(rest, known, lambda: line_dedup._features(6), 0.8)
+        return sorted((r["a"], r["b"]) for r in found.collect())
+
+    whole = links()
+    monkeypatch.setattr(candidates, "BLOCK_WORK", 1 << 13)
+    assert len(whole) > 100 and links() == whole
