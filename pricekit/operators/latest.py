@@ -103,9 +103,10 @@ def merge_latest(new: DataFrame, previous: DataFrame | None, keys: Sequence[str]
     failing it hides the batch's runner-up (the previous row, if any, wins).
     ``previous`` is aligned to ``new``'s columns by name and type.
 
-    ``method="window"``: two ``row_number`` windows, each reduced map-side by
-    a partial ``WindowGroupLimit``; the second shuffle only moves the batch
-    winners and the previous rows.
+    ``method="window"``: one aggregation with the greatest row of the batch and
+    the greatest previous one of each key, reduced map-side, so batch and
+    previous rows are shuffled once; without ``previous`` the window of
+    :func:`latest_per_key`.
 
     ``method="join"`` requires ``previous`` to hold at most one row per key
     (it is this function's own earlier output): batch winners and previous
@@ -123,18 +124,34 @@ def merge_latest(new: DataFrame, previous: DataFrame | None, keys: Sequence[str]
     keep = F.lit(True) if keep is None else keep
     cols = new.columns
     if method == "window":
-        batch = latest_per_key(new, keys, order, tie_break).filter(F.coalesce(keep, F.lit(False)))
-        if previous is not None:
-            types = dict(new.dtypes)
-            prev = previous.select(*[F.col(c).cast(types[c]).alias(c) for c in cols])
-            batch = batch.unionByName(prev.filter(F.coalesce(keep, F.lit(False))))
-            batch = latest_per_key(batch, keys, order, tie_break)
-        return batch
+        if previous is None:
+            return latest_per_key(new, keys, order, tie_break).filter(F.coalesce(keep, F.lit(False)))
+        return _merge_by_max(new, previous, keys, order, tie_break, keep)
     if method == "join":
         return _merge_by_join(new, previous, keys, order, tie_break, keep, stage)
     raise ValueError(f"unknown method {method!r}")
 
 
+def _merge_by_max(new: DataFrame, previous: DataFrame, keys: list[str], order: Order,
+                  tie_break: Sequence[str], keep: Column) -> DataFrame:
+    cols, types = new.columns, dict(new.dtypes)
+    rest = [c for c in cols if c not in keys]
+    bad = [c for c in rest if not _orderable(new.schema[c].dataType)]
+    if bad:
+        raise ValueError(f"columns without an order can't break ties: {bad}")
+    kept = F.coalesce(keep, F.lit(False))
+    prev = previous.select(*[F.col(c).cast(types[c]).alias(c) for c in cols]).filter(kept)
+    # null is the smallest value of a struct's field, as it is the last one of a descending order
+    ranked = dict.fromkeys([*[name for name, _ in _order_spec(order)], *tie_break, *rest])
+    row = F.struct(*[F.col(c) for c in ranked], kept.alias("__kept"))
+    both = (new.select(*keys, row.alias("__b"), F.lit(None).cast("void").alias("__p"))
+            .unionByName(prev.select(*keys, F.lit(None).cast("void").alias("__b"), row.alias("__p"))))
+    best = both.groupBy(*keys).agg(F.max("__b").alias("__b"), F.max("__p").alias("__p"))
+    # the batch's row counts only if it may be kept; one that may not hides the batch's other rows
+    best = best.select(*keys, F.greatest(F.when(F.col("__b.__kept"), F.col("__b")), F.col("__p")).alias(_BEST))
+    return _unpack(best.filter(F.col(_BEST).isNotNull()), keys, cols)
+
+
 def _merge_by_join(new: DataFrame, previous: DataFrame | None, keys: list[str], order: Order,
                    tie_break: Sequence[str], keep: Column,
                    stage: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:

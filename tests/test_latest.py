@@ -143,3 +143,17 @@ def test_dedupe_keys_is_deterministic(spark):
     first = rows(dedupe_keys(df, ["k"]))
     assert first == [("a", 1, "y"), ("b", 2, "z")]
     assert rows(dedupe_keys(df.repartition(3), ["k"])) == first
+
+
+def test_merge_shuffles_batch_and_previous_once(spark):
+    schema = "k string, c string, d int, v string, ok boolean"
+    old = spark.createDataFrame([("a", "x", 5, "old", True), (None, "x", 1, "old", True), ("b", None, 1, "old", None), ("e", "x", 9, "old", True),
+                                 ("f", "x", 2, "old", False)], schema)
+    new = spark.createDataFrame([("a", "x", 7, "hides", False), ("a", "x", 6, "hidden", True), (None, "x", 2, "new", True),
+                                 ("b", None, 1, None, True), ("c", "x", None, "new", True), ("c", "x", None, "older", True),
+                                 ("e", "x", 8, "new", True), ("g", "x", 1, "never", None)], schema)
+    merged = merge_latest(new, old, ["k", "c"], ["d"], keep=F.col("ok"))
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    want = [("a", "x", 5, "old"), (None, "x", 2, "new"), ("b", None, 1, None), ("c", "x", None, "older"), ("e", "x", 9, "old")]
+    assert rows(merged, "k", "c", "d", "v") == sorted(want, key=repr)
