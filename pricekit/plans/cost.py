@@ -7,8 +7,8 @@ Plan per run:
    ``as_of`` — all typed filters that reach the parquet scan;
 2. per (product_id, country_name) pick the batch's latest row (start date,
    then latest timestamp, then the declared tie-break), merge it with the
-   previous output and pick again — two ``row_number() = 1`` windows, each
-   cut down map-side by a partial ``WindowGroupLimit`` before its shuffle;
+   previous output and pick again — one aggregation reduced map-side, one shuffle
+   (a first run: a ``row_number() = 1`` window with a partial ``WindowGroupLimit``);
 3. compute the landed cost, stamp the new high-water mark on every row.
 
 The mark is the maximum over the result rows. ``run`` writes the merged rows
@@ -38,7 +38,7 @@ from pricekit.functions.text import (normalise_date_text, parse_date_text, parse
                                      to_amount)
 from pricekit.operators.audit import CREATED_ON, UPDATED_ON, drop_audit_columns, with_audit_columns
 from pricekit.operators.latest import latest_per_key, merge_latest
-from pricekit.sinks.keyed import BUCKET, bucket_of, publish_keyed, read_keyed, recover, thaw
+from pricekit.sinks.keyed import bucket_of, publish_keyed, read_keyed, recover, thaw
 from pricekit.sinks.stage import materialise as stage
 from pricekit.sinks.tables import publish, recover_publish
 from pricekit.sources.tables import read_previous, read_table
@@ -242,16 +242,16 @@ def _run_keyed(spark: SparkSession, config: Mapping, as_of, default_watermark, n
     due = _due(spark, target, None if whole else as_of_before, as_of) if defer else None
     if due is not None:
         new = new.unionByName(due)
-    batch = stage(batch_latest(new).withColumn(BUCKET, bucket_of(KEYS, number)), "cost-batch")
-    if batch.isEmpty():
+    if new.isEmpty():
         return None
-    kept = batch.filter(F.coalesce(keep_final(as_of), F.lit(False)))
-    touched = None if whole else [r[0] for r in kept.select(BUCKET).distinct().collect()]
+    # buckets of rows that can't be kept are left alone; the scan gives at most ``number`` values a task
+    may = new.filter(F.coalesce(keep_final(as_of), F.lit(False)))
+    touched = None if whole else [r[0] for r in may.select(bucket_of(KEYS, number)).distinct().collect()]
     previous = read_keyed(spark, target, touched)
-    rows = kept.drop(BUCKET)
     if previous is not None:
-        previous = drop_audit_columns(previous).filter(F.coalesce(keep_final(as_of), F.lit(False)))
-        rows = latest_per_key(rows.unionByName(previous.select(*COST_COLUMNS)), KEYS, ORDER, TIE_BREAK)
+        previous = drop_audit_columns(previous)
+    # batch and previous rows are shuffled once, for the winner of each key
+    rows = merge_latest(new, previous, KEYS, ORDER, TIE_BREAK, keep=keep_final(as_of))
     rows = with_audit_columns(rows.withColumn("total_cost", landed_cost()).select(*COST_COLUMNS), now)
     if defer:
         # before the commit: rows put aside twice, by a run that is tried again, count once in the latest row a key
