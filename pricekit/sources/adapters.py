@@ -43,8 +43,8 @@ def _lpad_id(prefix: str, c, width: int) -> F.Column:
 # cost feed
 # --------------------------------------------------------------------------
 
-def cost_feed(load: Loader) -> DataFrame:
-    """Cost feed: one row per lineitem, columns of the cost source table."""
+def cost_rows(load: Loader) -> DataFrame:
+    """The joined columns that the cost feed is made of: one row per lineitem."""
     li = load("lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
@@ -55,13 +55,23 @@ def cost_feed(load: Loader) -> DataFrame:
     r = load("region").select("r_regionkey", "r_name")
     # each dimension joins the fact rows directly, so Spark's size check sees the
     # dimension's own size (a pre-joined dimension is estimated as a product of sizes)
-    j = (li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
-         .join(p, F.col("l_partkey") == F.col("p_partkey"))
-         .join(s, F.col("l_suppkey") == F.col("s_suppkey"))
-         .join(n, F.col("s_nationkey") == F.col("n_nationkey"))
-         .join(r, F.col("n_regionkey") == F.col("r_regionkey")))
+    return (li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+            .join(p, F.col("l_partkey") == F.col("p_partkey"))
+            .join(s, F.col("l_suppkey") == F.col("s_suppkey"))
+            .join(n, F.col("s_nationkey") == F.col("n_nationkey"))
+            .join(r, F.col("n_regionkey") == F.col("r_regionkey"))
+            .drop("o_orderkey", "p_partkey", "s_suppkey", "s_nationkey", "r_regionkey"))
+
+
+def cost_feed(load: Loader) -> DataFrame:
+    """Cost feed: one row per lineitem, columns of the cost source table."""
+    return as_cost_feed(cost_rows(load))
+
+
+def as_cost_feed(rows: DataFrame) -> DataFrame:
+    """The columns of the cost source table from :func:`cost_rows`."""
     ln = F.col("l_linenumber")
-    return j.select(
+    return rows.select(
         _lpad_id("P", F.col("l_partkey"), 6).alias("product_id"),
         F.col("l_shipdate").cast("date").alias("start_date"),
         F.col("p_type").alias("prod_line"),

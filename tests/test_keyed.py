@@ -260,3 +260,50 @@ def test_retried_ground_truth_job_logs_once(spark, tmp_path):
         ground_truth.run(spark, config, rules, run_id="2024-06-01")
     assert rows(read_table(spark, config["output"]["audit"]), "status", "run_id") == [("SUCCESS", "2024-06-01")]
     assert read_table(spark, config["output"]["qc_results"]).count() == 2
+
+
+def _shuffled_writes(spark, monkeypatch, number, entry):
+    """Whether the rows were shuffled on their way to the writers of each commit."""
+    plans = []
+    real = keyed._replace
+
+    def watched(staged, target, buckets):
+        plans.append("RebalancePartitions" in staged._jdf.queryExecution().optimizedPlan().toString())
+        return real(staged, target, buckets)
+
+    monkeypatch.setattr(keyed, "_replace", watched)
+    before = spark.conf.get(keyed.WRITERS, None)
+    got = keyed.publish_keyed(_frame(spark, START), entry, ["k"], number, None, "t", mark="at")
+    assert spark.conf.get(keyed.WRITERS, None) == before
+    assert rows(got, "k", "v") == sorted(START, key=repr)
+    assert set(_files(spark, entry)) <= set(range(number))
+    return plans
+
+
+def test_few_buckets_are_written_without_a_shuffle(spark, tmp_path, monkeypatch):
+    few, many = {"path": str(tmp_path / "few")}, {"path": str(tmp_path / "many")}
+    assert _shuffled_writes(spark, monkeypatch, 8, few) == [False]
+    monkeypatch.undo()
+    # more buckets than a task keeps open: every row still gets to its bucket
+    assert _shuffled_writes(spark, monkeypatch, 3 * keyed.OPEN_BUCKETS, many) == [True]
+    place = read_table(spark, many).select(keyed.BUCKET, keyed.bucket_of(["k"], 3 * keyed.OPEN_BUCKETS).alias("want"))
+    assert place.filter(f"{keyed.BUCKET} <> want").count() == 0
+
+
+def test_feed_of_both_runs_is_joined_once(spark, monkeypatch):
+    from pricekit import queries
+    seen = spark.sparkContext.accumulator(0)
+    real = adapters.loader(spark, SMALL)
+
+    def touch(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    def load(name):
+        df = real(name)
+        return df.mapInArrow(touch, df.schema) if name == "lineitem" else df
+
+    monkeypatch.setattr(queries, "_load", lambda *_: load)
+    assert queries.QUERIES["cost_job_two_runs"](spark, SMALL).count() > 0
+    assert seen.value == real("lineitem").count()
