@@ -14,6 +14,10 @@
 
 So every pair that shares a bucket is linked, proven too far apart, or known
 to be in one component.
+
+For sets without weights the first comparison also gives a short bit set of each
+member (``sketches``), which bounds the similarity of a pair from above. Further
+pairs that it rules out are no links; the others are compared exactly.
 """
 
 from __future__ import annotations
@@ -33,6 +37,8 @@ from pricekit.llm.components import connected_components
 SMALL, BLOCK, BLOCK_CHARS = 16, 1024, 8 << 20
 #: Members of one block times characters of the other: what one task compares at most, on average.
 BLOCK_WORK = 1 << 27
+#: A sketch has so many numbers of 64 bits.
+WORDS = 8
 #: Distinct elements, their weights and their texts' numbers, of a column of texts.
 Features = Callable[[pa.Array], tuple[np.ndarray, np.ndarray, np.ndarray]]
 
@@ -61,6 +67,36 @@ def probability_jaccard(x: tuple, y: tuple) -> float:
     return float((1 / (above[cut] / xs[common] + below[cut] / ys[common])).sum())
 
 
+def sketches(elements: np.ndarray, owner: np.ndarray, texts: int) -> np.ndarray:
+    """Bit sets, ``texts`` x ``WORDS``: each element sets the bit that its first bits name.
+
+    A bit that only one of two texts has stands for at least one element that only this text has.
+    """
+    bits = np.zeros(texts * 64 * WORDS, bool)
+    bits[owner * (64 * WORDS) + (elements >> np.uint64(32) >> np.uint64(8)).astype(np.int64) * (64 * WORDS) // (1 << 24)] = True
+    return np.packbits(bits, bitorder="little").view("<u8").reshape(texts, WORDS)
+
+
+SKETCH = "struct<n:int," + ",".join(f"s{k}:bigint" for k in range(WORDS)) + ">"
+
+
+def sketch_column(elements: np.ndarray, owner: np.ndarray, texts: int) -> pa.Array:
+    """The number of elements of each text and its sketch, as ``SKETCH``."""
+    found, number = sketches(elements, owner, texts).view(np.int64), np.bincount(owner, minlength=texts)
+    return pa.StructArray.from_arrays(
+        [pa.array(number, pa.int32()), *(pa.array(np.ascontiguousarray(found[:, k])) for k in range(WORDS))],
+        ["n", *(f"s{k}" for k in range(WORDS))])
+
+
+def may_link(a: Column, b: Column, threshold: float) -> Column:
+    """Whether sketches leave it open that two sets have a Jaccard similarity of ``threshold``."""
+    def only(x, y):
+        return sum((F.bit_count(x[f"s{k}"].bitwiseAND(F.bitwise_not(y[f"s{k}"]))) for k in range(WORDS)), F.lit(0))
+
+    most = F.least(a["n"] - only(a, b), b["n"] - only(b, a))
+    return most >= (threshold - 1e-9) * (a["n"] + b["n"] - most)
+
+
 def _lists(column) -> tuple[np.ndarray, np.ndarray]:
     """Values of a column of lists, and the rows they belong to."""
     lists = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
@@ -84,6 +120,7 @@ def block_links(left: pa.Table, right: pa.Table, features: Features, threshold:
     cuts = [np.searchsorted(o, np.arange(n + 1)) for _, _, o, n in sides]
     both = np.intersect1d(sides[0][0], sides[1][0])
     equal = all((w == 1).all() for _, w, _, _ in sides)
+    bits = [sketches(e, o, n) for e, _, o, n in sides] if equal else []
     # elements of one side only are in no intersection
     common = [np.isin(e, both) for e, _, _, _ in sides]
     places = [np.searchsorted(both, e[c]) for (e, _, _, _), c in zip(sides, common)]
@@ -107,8 +144,11 @@ def block_links(left: pa.Table, right: pa.Table, features: Features, threshold:
         partner = np.unique(np.concatenate(ranges)) if ranges else np.zeros(0, np.int64)
         may = (components[1][partner] != components[0][i]) & (np.abs(far[1][partner] - far[0][i]) <= 1 - threshold + 1e-9)
         may &= ~free[partner] | (nodes[1][partner] > nodes[0][i])
-        if equal:  # the smaller set is all that can be common
-            may &= np.minimum(totals[1][partner], totals[0][i]) >= least * np.maximum(totals[1][partner], totals[0][i])
+        if equal:  # elements that only one side has are not common
+            partner = partner[may]
+            alone = [np.bitwise_count(x & ~y).sum(axis=1) for x, y in ((bits[0][i], bits[1][partner]), (bits[1][partner], bits[0][i]))]
+            most = np.minimum(totals[0][i] - alone[0], totals[1][partner] - alone[1])
+            may = most >= least * (totals[0][i] + totals[1][partner] - most)
         size = first[1][partner + 1] - first[1][partner]
         partner, size = partner[may & (size > 0)], size[may & (size > 0)]
         if not len(partner):
@@ -138,34 +178,39 @@ def block_links(left: pa.Table, right: pa.Table, features: Features, threshold:
 
 def verified_links(buckets: DataFrame, values: Callable[[DataFrame], DataFrame],
                    similarity: Callable[[Column, Column], Column], features: Callable[[], Features],
-                   threshold: float) -> DataFrame:
+                   threshold: float, sketched: Callable[[Column, Column], Column] | None = None) -> DataFrame:
     """Links ``(a, b, similarity)`` with ``similarity >= threshold`` of nodes that share a bucket.
 
-    ``buckets``: rows ``(key, node)``. ``values`` turns rows
+    ``buckets``: rows ``(key, node)``, or ``(key, node, lead)`` with the smallest node of each key, without
+    repeats and keys of one node. ``values`` turns rows
     ``(node)`` into rows ``(node, value)``; ``similarity`` of two values is exact, ``features``
-    makes the function that gives the weighted elements it is computed from.
+    makes the function that gives the weighted elements it is computed from. ``sketched``, for sets
+    without weights only, gives ``(similarity, sketch)`` of two values: the sketch is the second one's.
     """
-    within = Window.partitionBy("key")
-    members = staged(buckets.select("key", "node", F.min("node").over(within).alias("lead"),
-                                    F.max("node").over(within).alias("last"))
-                     .filter("lead < last").drop("last").distinct(), "members")
+    if "lead" not in buckets.columns:
+        within = Window.partitionBy("key")
+        buckets = (buckets.select("key", "node", F.min("node").over(within).alias("lead"), F.max("node").over(within).alias("last"))
+                   .filter("lead < last").drop("last").distinct())
+    # buckets with one leader go together: their members' distances to it are the same
+    members = staged(buckets.groupBy("lead", "node").agg(F.collect_list("key").alias("keys")), "members")
     known = staged(values(members.select("node").distinct()), "values", texts=True)
 
-    def compared(pairs: DataFrame, name: str) -> DataFrame:
-        return staged(pairs.join(known.select(F.col("node").alias("a"), F.col("value").alias("va")), "a")
-                      .join(known.select(F.col("node").alias("b"), F.col("value").alias("vb")), "b")
-                      .select("a", "b", similarity(F.col("va"), F.col("vb")).alias("similarity")), name)
-
-    star = members.filter("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
-    first = compared(star, "star")
-    links = first.filter(F.col("similarity") >= threshold)
+    def compared(pairs: DataFrame, name: str, score: Callable[[Column, Column], Column]) -> DataFrame:
+        return staged(pairs.join(known.select(F.col("node").alias("b"), F.col("value").alias("vb")), "b")
+                      .join(known.select(F.col("node").alias("a"), F.col("value").alias("va")), "a")
+                      .select("a", "b", score(F.col("va"), F.col("vb")).alias("similarity")), name)
+
+    star = members.filter("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b"))
+    first = compared(star, "star", sketched or similarity)
+    if sketched:
+        first = first.select("a", "b", "similarity.similarity", "similarity.sketch")
+    sketch = ["sketch"] if sketched else []
+    links = first.select("a", "b", "similarity").filter(F.col("similarity") >= threshold)
     component = connected_components(links)
-    # buckets with one leader go together: their members' distances to it are the same
-    placed = staged(members.groupBy("lead", "node").agg(F.collect_list("key").alias("keys"))
-                    .join(first.select(F.col("a").alias("lead"), F.col("b").alias("node"), "similarity"),
-                          ["lead", "node"], "left")
+    placed = staged(members.join(first.select(F.col("a").alias("lead"), F.col("b").alias("node"), "similarity", *sketch),
+                                 ["lead", "node"], "left")
                     .join(component, "node", "left")
-                    .select("node", "lead", "keys", F.coalesce("component", "node").alias("component"),
+                    .select("node", "lead", "keys", *sketch, F.coalesce("component", "node").alias("component"),
                             F.when(F.col("node") == F.col("lead"), F.lit(0.0))
                             .otherwise(1 - F.col("similarity")).alias("far")), "placed")
     mixed = (placed.groupBy("lead").agg(
@@ -175,13 +220,18 @@ def verified_links(buckets: DataFrame, values: Callable[[DataFrame], DataFrame],
     rest = staged(placed.filter("node <> lead").join(mixed, "lead")
                   .withColumn("keys", F.when(F.col("n") > SMALL, F.col("keys"))), "mixed")
     few = rest.filter(F.col("n") <= SMALL)
-    left = few.filter("component <> main").select("lead", F.col("node").alias("p"), F.col("component").alias("cp"), F.col("far").alias("fp"))
-    right = few.select("lead", F.col("node").alias("q"), F.col("component").alias("cq"), F.col("far").alias("fq"))
+    left = few.filter("component <> main").select("lead", F.col("node").alias("p"), F.col("component").alias("cp"), F.col("far").alias("fp"),
+                                                      *(F.col(c).alias("sp") for c in sketch))
+    right = few.select("lead", F.col("node").alias("q"), F.col("component").alias("cq"), F.col("far").alias("fq"),
+                       *(F.col(c).alias("sq") for c in sketch))
+    near = F.abs(F.col("fp") - F.col("fq")) <= 1 - threshold + 1e-9
+    if sketched:
+        near &= may_link(F.col("sp"), F.col("sq"), threshold)
     more = staged(left.join(right, "lead")
-                  .filter((F.col("cp") != F.col("cq")) & (F.abs(F.col("fp") - F.col("fq")) <= 1 - threshold + 1e-9))
+                  .filter((F.col("cp") != F.col("cq")) & near)
                   .select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
                   .join(first.select("a", "b"), ["a", "b"], "left_anti"), "more")
-    links = links.union(compared(more, "further").filter(F.col("similarity") >= threshold))
+    links = links.union(compared(more, "further", similarity).filter(F.col("similarity") >= threshold))
     return links.union(_links_in_blocks(rest.filter(F.col("n") > SMALL), known, features, threshold))
 
 

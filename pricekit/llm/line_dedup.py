@@ -27,10 +27,12 @@ from pyspark.sql import functions as F
 
 from pricekit.llm import _hash
 from pricekit.llm._stage import staged
-from pricekit.llm.candidates import verified_links
+from pricekit.llm.candidates import SKETCH, sketch_column, verified_links
 from pricekit.llm.components import connected_components
 
 SHINGLE, THRESHOLD, BANDS, ROWS = 6, 0.8, 12, 4
+#: Entries of buckets in one part, bytes hashed and pairs compared at once (arrays of these fit a core's cache).
+PART, PIECE, PAIRS = 1 << 20, 1 << 17, 256
 _U = np.uint64
 
 
@@ -106,7 +108,7 @@ def _lines(column):
     return pc.list_flatten(lists), pc.list_value_length(lists).to_numpy(zero_copy_only=False)
 
 
-def _pieces(lines, most: int = 1 << 20):
+def _pieces(lines, most: int = PIECE):
     """Slices of about ``most`` bytes, or one line."""
     for part in _hash.small_batches([pa.record_batch([lines], ["x"])], "x", most):
         yield part.column(0)
@@ -142,11 +144,56 @@ def _lines_named():
     return named
 
 
-def line_buckets(texts: DataFrame, text_col: str, names_col: str, shingle: int = SHINGLE, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``(key, node)`` of all named lines of a column of texts; equal lines of nearby texts come once."""
+PACKED = "part int, keys binary, nodes binary"
+PACKED_ARROW = pa.schema([("part", pa.int32()), ("keys", pa.binary()), ("nodes", pa.binary())])
+
+
+def _packed(keys: np.ndarray, nodes: np.ndarray, parts: int) -> pa.RecordBatch:
+    """Rows of ``PACKED``: each part's keys and their nodes. Parts are ranges of keys."""
+    order = np.argsort(keys)
+    keys, nodes = keys[order], nodes[order]
+    cuts = np.searchsorted((keys >> _U(32)) * _U(parts) >> _U(32), np.arange(parts + 1, dtype=_U))
+    rows = [{"part": p, "keys": keys[cuts[p]:cuts[p + 1]].tobytes(), "nodes": nodes[cuts[p]:cuts[p + 1]].tobytes()}
+            for p in np.flatnonzero(np.diff(cuts)).tolist()]
+    return pa.RecordBatch.from_pylist(rows, PACKED_ARROW)
+
+
+def _shared(table: pa.Table) -> pa.Table:
+    """``(key, node, lead)`` of the keys of a part that several nodes have; ``lead`` is the smallest of them."""
+    keys, nodes = (np.concatenate([np.frombuffer(x.as_py(), np.int64) for x in table.column(c)]) for c in ("keys", "nodes"))
+    order = np.argsort(keys)
+    order = order[_ends(keys[order])]  # of keys that come once, nothing is left
+    order = order[np.lexsort((nodes[order], keys[order]))]
+    keys, nodes = keys[order], nodes[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])
+    keys, nodes = keys[new], nodes[new]
+    several = _ends(keys)
+    keys, nodes = keys[several], nodes[several]
+    first = np.ones(len(keys), bool)
+    first[1:] = keys[1:] != keys[:-1]
+    return pa.table({"key": keys, "node": nodes, "lead": nodes[first][np.cumsum(first) - 1]})
+
+
+def _ends(keys: np.ndarray) -> np.ndarray:
+    """Which of some ordered keys have an equal neighbour."""
+    same = keys[1:] == keys[:-1]
+    return np.append(False, same) | np.append(same, False) if len(keys) else np.zeros(0, bool)
+
+
+def line_buckets(texts: DataFrame, text_col: str, names_col: str, shingle: int = SHINGLE, bands: int = BANDS, rows: int = ROWS,
+                 part: int = PART) -> DataFrame:
+    """``(key, node, lead)`` of all named lines of a column of texts, ``lead`` a key's smallest node; keys of one node are left out.
+
+    Entries travel packed, cut into parts by ranges of keys, so that there are as many parts as the number of lines asks for.
+    """
+    lines = texts.agg(F.sum(F.size(names_col))).first()[0] or 0
+    parts = max(1, -(-lines * bands // part))
+
     def emit(batches):
         tables: dict = {}
         seen = np.zeros(0, np.int64)
+        held, size = [], 0
         for part in _hash.small_batches(batches, text_col, 1 << 20):
             names = pc.list_flatten(part.column(names_col)).to_numpy(zero_copy_only=False)
             _, index = np.unique(names, return_index=True)
@@ -159,47 +206,78 @@ def line_buckets(texts: DataFrame, text_col: str, names_col: str, shingle: int =
                 data, off = _hash.buffers(_normal(some))
                 hashes, owner, _ = char_shingles(data, off, shingle, tables)
                 keys = _keys(signatures(hashes, owner, len(node), bands * rows), rows)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.astype(np.int64).ravel()), pa.array(np.repeat(node, keys.shape[1]))], ["key", "node"])
+                held.append((keys.ravel(), np.repeat(node, keys.shape[1])))
+                size += keys.size
+            if size > 1 << 18:
+                yield _packed(*map(np.concatenate, zip(*held)), parts)
+                held, size = [], 0
+        if held:
+            yield _packed(*map(np.concatenate, zip(*held)), parts)
 
-    return texts.select(text_col, names_col).mapInArrow(emit, "key bigint, node bigint")
+    return (texts.select(text_col, names_col).mapInArrow(emit, PACKED).groupBy("part")
+            .applyInArrow(_shared, "key bigint, node bigint, lead bigint"))
 
 
-def distinct_shingles(lines, shingle: int, tables: dict):
-    """Distinct shingles of each line, equal weights, and the lines' numbers."""
+def _distinct(lines, shingle: int, tables: dict) -> np.ndarray:
+    """Of at most 2048 lines, distinct keys in order: a line's number and 53 bits of one of its shingles."""
     data, off = _hash.buffers(_normal(lines))
     hashes, owner, _ = char_shingles(data, off, shingle, tables)
-    _, index = np.unique(hashes + owner.astype(_U) * _U(_hash.BASE), return_index=True)
-    return hashes[index], np.ones(len(index)), owner[index]
+    keys = np.sort(owner.astype(_U) << _U(53) | hashes >> _U(11))
+    return keys[np.append(True, keys[1:] != keys[:-1])] if len(keys) else keys
+
+
+def distinct_shingles(lines, shingle: int, tables: dict):
+    """Distinct shingles of each line, equal weights, and the lines' numbers."""
+    low = range(0, len(lines), PAIRS)
+    keys = [np.zeros(0, _U), *(_distinct(lines.slice(k, PAIRS), shingle, tables) for k in low)]
+    owner = np.concatenate([np.zeros(0, np.int64), *((x >> _U(53)).astype(np.int64) + k for k, x in zip(low, keys[1:]))])
+    return np.concatenate(keys) << _U(11), np.ones(len(owner)), owner
+
+
+#: Powers for hashes, made once a process: blocks are many and small.
+_TABLES: dict = {}
 
 
 def _features(shingle: int):
-    tables: dict = {}
-    return lambda lines: distinct_shingles(lines, shingle, tables)
+    return lambda lines: distinct_shingles(lines, shingle, _TABLES)
+
+
+def _similarities(a, b, shingle: int):
+    """Slices of pairs: their number, exact Jaccard similarities, and distinct keys of the second lines."""
+    for low in range(0, len(a), PAIRS):
+        some = a.slice(low, PAIRS).dictionary_encode()  # one line is often the first of many pairs
+        n, line = len(some), some.indices.to_numpy()
+        x, y = _distinct(some.dictionary, shingle, _TABLES), _distinct(b.slice(low, n), shingle, _TABLES)
+        cut = np.searchsorted(x >> _U(53), np.arange(len(some.dictionary) + 1, dtype=_U))
+        size = np.diff(cut)[line]
+        at = np.arange(size.sum()) + np.repeat(cut[line] - np.cumsum(size) + size, size)
+        x = x[at] & _U((1 << 53) - 1) | np.repeat(np.arange(n, dtype=_U) << _U(53), size)
+        both = np.sort(np.concatenate([x, y]))
+        common = np.bincount((both[1:][both[1:] == both[:-1]] >> _U(53)).astype(np.int64), minlength=n)
+        union = np.bincount((both >> _U(53)).astype(np.int64), minlength=n) - common
+        yield n, common / np.maximum(union, 1), y
 
 
 def jaccard_udf(shingle: int = SHINGLE):
     """Column function: exact Jaccard similarity of two lines' character shingles."""
     @F.arrow_udf("double")
     def similarity(a: pa.Array, b: pa.Array) -> pa.Array:
-        tables: dict = {}
+        return pa.array(np.concatenate([np.zeros(0), *(score for _, score, _ in _similarities(a, b, shingle))]))
+    return similarity
+
 
-        def sets(column):
-            """Distinct keys in order, each a row's number and 53 bits of a shingle."""
-            data, off = _hash.buffers(_normal(column))
-            hashes, owner, _ = char_shingles(data, off, shingle, tables)
-            keys = np.sort(owner.astype(_U) << _U(53) | hashes >> _U(11))
-            return keys[np.append(True, keys[1:] != keys[:-1])] if len(keys) else keys
-
-        out = [np.zeros(0)]
-        for low in range(0, len(a), 2048):
-            n = min(2048, len(a) - low)
-            x, y = sets(a.slice(low, n)), sets(b.slice(low, n))
-            both = np.sort(np.concatenate([x, y]))
-            common = np.bincount((both[1:][both[1:] == both[:-1]] >> _U(53)).astype(np.int64), minlength=n)
-            union = np.bincount((both >> _U(53)).astype(np.int64), minlength=n) - common
-            out.append(common / np.maximum(union, 1))
-        return pa.array(np.concatenate(out))
+SKETCHED = pa.struct([("similarity", pa.float64()), ("sketch", sketch_column(np.zeros(0, _U), np.zeros(0, np.int64), 0).type)])
+
+
+def sketched_udf(shingle: int = SHINGLE):
+    """Column function: the exact Jaccard similarity of two lines' shingles, and the second line's sketch."""
+    @F.arrow_udf(f"struct<similarity:double,sketch:{SKETCH}>")
+    def similarity(a: pa.Array, b: pa.Array) -> pa.Array:
+        out = [pa.array([], SKETCHED)]
+        for n, score, keys in _similarities(a, b, shingle):
+            sketch = sketch_column(keys << _U(11), (keys >> _U(53)).astype(np.int64), n)
+            out.append(pa.StructArray.from_arrays([pa.array(score), sketch], fields=list(SKETCHED)))
+        return pa.concat_arrays(out)
     return similarity
 
 
@@ -210,7 +288,7 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     base = staged(docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc"))
                   .withColumn("lines", _line_names()(text)), "documents", texts=True)
     buckets = line_buckets(base.select(text.alias("text"), "lines"), "text", "lines", shingle, bands, rows)
-    score = jaccard_udf(shingle)
+    score, sketched = jaccard_udf(shingle), sketched_udf(shingle)
 
     def values(nodes):
         """Each node's line as the first row that has it writes it; equal lines are added up before any join."""
@@ -221,7 +299,8 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return (rows.select(F.explode(F.arrays_zip("nodes", _lines_named()("text", "lines", "nodes").alias("value"))).alias("l"))
                 .select(F.col("l.nodes").alias("node"), "l.value"))
 
-    links = verified_links(buckets, values, lambda a, b: score(a, b), lambda: _features(shingle), threshold)
+    links = verified_links(buckets, values, lambda a, b: score(a, b), lambda: _features(shingle), threshold,
+                           sketched=lambda a, b: sketched(a, b))
     component = connected_components(links)
     each = (base.select("row", F.col(f"doc.{id_col}").alias("id"), F.posexplode("lines").alias("at", "node"))
             .filter("node <> 0"))

@@ -64,3 +64,34 @@ def test_blocks_of_any_size_give_the_same_links(spark, monkeypatch):
     whole = links()
     monkeypatch.setattr(candidates, "BLOCK_WORK", 1 << 13)
     assert len(whole) > 100 and links() == whole
+
+
+def test_sketches_rule_out_no_link_and_most_others(spark):
+    from pyspark.sql import functions as F
+    rng = np.random.default_rng(7)
+    sets, owner = [], []
+    for k in range(60):  # pairs of neighbours: from equal sets to unlike ones
+        a = rng.integers(0, 1 << 63, 80, dtype=np.uint64) * np.uint64(2)
+        b = a.copy()
+        b[:k] = rng.integers(0, 1 << 63, k, dtype=np.uint64)
+        sets += [a, b]
+    for i, x in enumerate(sets):
+        owner += [i] * len(x)
+    column = candidates.sketch_column(np.concatenate(sets), np.array(owner), len(sets)).to_pylist()
+    assert all(c["n"] == 80 for c in column)
+    df = spark.createDataFrame([(k, column[2 * k], column[2 * k + 1]) for k in range(60)],
+                               f"k int, a {candidates.SKETCH}, b {candidates.SKETCH}")
+    kept = {r["k"] for r in df.filter(candidates.may_link(F.col("a"), F.col("b"), 0.8)).select("k").collect()}
+    links = {k for k in range(60) if (80 - k) / (80 + k) >= 0.8}
+    assert links <= kept and kept & set(range(25, 60)) == set()
+
+
+def test_blocks_share_the_powers_for_hashes(monkeypatch):
+    """Blocks are many: what hashes need is made once a process, not once a block."""
+    from pricekit.llm import line_dedup
+    made, cumprod = [], np.cumprod
+    monkeypatch.setattr(np, "cumprod", lambda *a, **k: made.append(1) or cumprod(*a, **k))
+    line_dedup._features(6)(pa.array(["a first line of a block"]))
+    made.clear()
+    line_dedup._features(6)(pa.array(["a line of another block"]))
+    assert not made

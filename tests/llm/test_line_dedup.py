@@ -60,3 +60,26 @@ def test_repeated_rows_nulls_and_empty(spark):
     df = spark.createDataFrame([(1, "a line that is repeated"), (1, "a line that is repeated"), (None, "a line that is repeated")], "doc_id long, text string")
     assert [tuple(r) for r in line_dedup.keep_first_lines(df).collect()] == [(1, "a line that is repeated")]
     assert line_dedup.keep_first_lines(df.limit(0)).count() == 0
+
+
+def test_buckets_of_one_line_are_left_out(spark):
+    rng = random.Random(4)
+    line = "".join(rng.choice("abcdefghij klm") for _ in range(200)).strip()
+    texts = [line, line[:-1] + "#", "one more line that is like no other", line, None]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3).withColumn("lines", line_dedup._line_names()("text"))
+    near = {r["lines"][0] for r in df.filter("text LIKE '%'").collect() if r["text"].startswith(line[:100])}
+    few, many = (line_dedup.line_buckets(df, "text", "lines", part=n).collect() for n in (1 << 20, 4))
+    assert {r["node"] for r in few} == near and {r["lead"] for r in few} == {min(near)}
+    assert len(near) == 2 and len(few) == len(set(few)) == 2 * len({r["key"] for r in few})
+    assert sorted(few) == sorted(many)  # however many parts
+
+
+def test_similarity_of_repeated_first_lines_and_short_ones(spark):
+    rng = random.Random(6)
+    lines = ["", "a", "abc", "é" * 9, *("".join(rng.choice("abc") for _ in range(n)) for n in (6, 7, 30, 90))]
+    pairs = [(a, b) for a in lines for b in lines] * 9  # over several slices
+    df = spark.createDataFrame(pairs, "a string, b string").coalesce(1)
+    for r in df.select("a", "b", line_dedup.jaccard_udf()("a", "b").alias("j"), line_dedup.sketched_udf()("a", "b").alias("s")).collect():
+        x, y = char_shingles(r["a"]), char_shingles(r["b"])
+        want = jaccard(x, y) if x and y else 0.0
+        assert abs(r["j"] - want) < 1e-12 and r["s"]["similarity"] == r["j"] and r["s"]["sketch"]["n"] == len(y)
