@@ -104,6 +104,25 @@ def _lists(column) -> tuple[np.ndarray, np.ndarray]:
     return pc.list_flatten(lists).to_numpy(zero_copy_only=False), np.repeat(np.arange(len(lists)), sizes)
 
 
+def _partners(holder: np.ndarray, low: np.ndarray, size: np.ndarray, asks: np.ndarray, lefts: int, rights: int, likely):
+    """Each left row that has likely partners, with them; its k-th key is held by ``size[k]`` rows from ``holder[low[k]]`` on."""
+    total = np.concatenate([[0], np.cumsum(np.bincount(asks, size, lefts))])
+    asked = np.searchsorted(asks, np.arange(lefts + 1))
+    begin = 0
+    while begin < lefts:  # so many rows at once that they hold about so many entries
+        end = max(begin + 1, int(np.searchsorted(total, total[begin] + (1 << 18), "right")) - 1)
+        mine = slice(asked[begin], asked[end])
+        n = size[mine]
+        at = np.arange(n.sum()) + np.repeat(low[mine] - np.cumsum(n) + n, n)
+        i, partner = np.divmod(np.unique(np.repeat(asks[mine], n) * rights + holder[at]), max(rights, 1))
+        may = likely(i, partner)
+        i, partner = i[may], partner[may]
+        cuts = np.flatnonzero(np.diff(i, prepend=-1))
+        for a, b in zip(cuts, np.append(cuts[1:], len(i))):
+            yield int(i[a]), partner[a:b]
+        begin = end
+
+
 def block_links(left: pa.Table, right: pa.Table, features: Features, threshold: float) -> pa.Table:
     """Links between rows ``(node, value, component, far, free, keys)`` of two blocks that share one of their ``keys``.
 
@@ -131,26 +150,28 @@ def block_links(left: pa.Table, right: pa.Table, features: Features, threshold:
     key, holder = key[order], holder[order]
     wanted, asks = _lists(left.column("keys"))
     low, high = np.searchsorted(key, wanted, "left"), np.searchsorted(key, wanted, "right")
-    asked = np.searchsorted(asks, np.arange(left.num_rows + 1))
     nodes = [t.column("node").to_numpy() for t in (left, right)]
     components = [t.column("component").to_numpy() for t in (left, right)]
     far = [t.column("far").to_numpy() for t in (left, right)]
     free = right.column("free").to_numpy()
     least = threshold - 1e-4
+
+    def likely(i, k):
+        """Which pairs of left rows and right ones may be links that are not known."""
+        may = (components[1][k] != components[0][i]) & (np.abs(far[1][k] - far[0][i]) <= 1 - threshold + 1e-9)
+        may &= ~free[k] | (nodes[1][k] > nodes[0][i])
+        if equal:  # elements that only one side has are not common
+            at = np.flatnonzero(may)
+            x, y = bits[0][i[at]], bits[1][k[at]]
+            most = np.minimum(totals[0][i[at]] - np.bitwise_count(x & ~y).sum(axis=1), totals[1][k[at]] - np.bitwise_count(y & ~x).sum(axis=1))
+            may[at] = most >= least * (totals[0][i[at]] + totals[1][k[at]] - most)
+        return may
+
     slot = np.zeros(len(both))
     out = []
-    for i in range(left.num_rows):
-        ranges = [holder[low[k]:high[k]] for k in range(asked[i], asked[i + 1])]
-        partner = np.unique(np.concatenate(ranges)) if ranges else np.zeros(0, np.int64)
-        may = (components[1][partner] != components[0][i]) & (np.abs(far[1][partner] - far[0][i]) <= 1 - threshold + 1e-9)
-        may &= ~free[partner] | (nodes[1][partner] > nodes[0][i])
-        if equal:  # elements that only one side has are not common
-            partner = partner[may]
-            alone = [np.bitwise_count(x & ~y).sum(axis=1) for x, y in ((bits[0][i], bits[1][partner]), (bits[1][partner], bits[0][i]))]
-            most = np.minimum(totals[0][i] - alone[0], totals[1][partner] - alone[1])
-            may = most >= least * (totals[0][i] + totals[1][partner] - most)
+    for i, partner in _partners(holder, low, high - low, asks, left.num_rows, right.num_rows, likely):
         size = first[1][partner + 1] - first[1][partner]
-        partner, size = partner[may & (size > 0)], size[may & (size > 0)]
+        partner, size = partner[size > 0], size[size > 0]
         if not len(partner):
             continue
         begin = np.cumsum(size) - size
@@ -195,13 +216,13 @@ def verified_links(buckets: DataFrame, values: Callable[[DataFrame], DataFrame],
     members = staged(buckets.groupBy("lead", "node").agg(F.collect_list("key").alias("keys")), "members")
     known = staged(values(members.select("node").distinct()), "values", texts=True)
 
-    def compared(pairs: DataFrame, name: str, score: Callable[[Column, Column], Column]) -> DataFrame:
-        return staged(pairs.join(known.select(F.col("node").alias("b"), F.col("value").alias("vb")), "b")
-                      .join(known.select(F.col("node").alias("a"), F.col("value").alias("va")), "a")
-                      .select("a", "b", score(F.col("va"), F.col("vb")).alias("similarity")), name)
+    def scored(pairs: DataFrame, score: Callable[[Column, Column], Column]) -> DataFrame:
+        return (pairs.join(known.select(F.col("node").alias("b"), F.col("value").alias("vb")), "b")
+                .join(known.select(F.col("node").alias("a"), F.col("value").alias("va")), "a")
+                .select("a", "b", score(F.col("va"), F.col("vb")).alias("similarity")))
 
     star = members.filter("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b"))
-    first = compared(star, "star", sketched or similarity)
+    first = staged(scored(star, sketched or similarity), "star")
     if sketched:
         first = first.select("a", "b", "similarity.similarity", "similarity.sketch")
     sketch = ["sketch"] if sketched else []
@@ -231,8 +252,10 @@ def verified_links(buckets: DataFrame, values: Callable[[DataFrame], DataFrame],
                   .filter((F.col("cp") != F.col("cq")) & near)
                   .select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
                   .join(first.select("a", "b"), ["a", "b"], "left_anti"), "more")
-    links = links.union(compared(more, "further", similarity).filter(F.col("similarity") >= threshold))
-    return links.union(_links_in_blocks(rest.filter(F.col("n") > SMALL), known, features, threshold))
+    # both in one step: the values are dealt out once
+    rest_links = _links_in_blocks(rest.filter(F.col("n") > SMALL), known, features, threshold).union(
+        scored(more, similarity).filter(F.col("similarity") >= threshold))
+    return links.union(staged(rest_links.distinct(), "further"))
 
 
 def _links_in_blocks(rest: DataFrame, known: DataFrame, features: Callable[[], Features], threshold: float) -> DataFrame:
@@ -251,5 +274,6 @@ def _links_in_blocks(rest: DataFrame, known: DataFrame, features: Callable[[], F
         first = table.column("first")
         return block_links(table.filter(first), table.filter(pc.invert(first)), features(), threshold)
 
-    return staged(dealt.join(known, "node").groupBy("lead", "i", "j").applyInArrow(
-        compare, "a bigint, b bigint, similarity double").distinct(), "blocks")
+    value = known.select(F.col("node").alias("b"), F.col("value").alias("vb"))
+    return (dealt.join(value, F.col("node") == F.col("b")).drop("b").withColumnRenamed("vb", "value")
+            .groupBy("lead", "i", "j").applyInArrow(compare, "a bigint, b bigint, similarity double"))

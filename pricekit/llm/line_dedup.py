@@ -32,7 +32,7 @@ from pricekit.llm.components import connected_components
 
 SHINGLE, THRESHOLD, BANDS, ROWS = 6, 0.8, 12, 4
 #: Entries of buckets in one part, bytes hashed and pairs compared at once (arrays of these fit a core's cache).
-PART, PIECE, PAIRS = 1 << 20, 1 << 17, 256
+PART, PIECE, PAIRS = 1 << 18, 1 << 17, 256
 _U = np.uint64
 
 
@@ -54,13 +54,15 @@ def char_shingles(data: np.ndarray, offsets: np.ndarray, size: int, tables: dict
     chars = np.append(chars, len(data))
     count = np.diff(first)
     runs = max(0, len(chars) - size)  # of characters of all texts, one after the other
-    text = np.repeat(np.arange(len(count)), count)[:runs]
-    inside = np.arange(size, size + runs) <= first[1:][text]
+    inside = np.ones(runs, bool)
+    crossing = (first[1:, None] - np.arange(1, size)).ravel()  # runs that end in the next text
+    inside[crossing[(crossing >= 0) & (crossing < runs)]] = False
     at = sums.sums[chars]
     hashes = ((at[size:] - at[:runs]) * sums.down[chars[:runs]])[inside]
+    text = np.repeat(np.arange(len(count)), np.maximum(count - size + 1, 0))
     short = np.flatnonzero((count > 0) & (count < size))
     hashes = np.concatenate([hashes, sums.ranges(offsets[short], offsets[short + 1])])
-    return _hash.mix(hashes), np.concatenate([text[inside], short]), _names(sums, offsets)
+    return _hash.mix(hashes), np.concatenate([text, short]), _names(sums, offsets)
 
 
 def signatures(shingles: np.ndarray, owner: np.ndarray, texts: int, size: int) -> np.ndarray:
@@ -208,7 +210,7 @@ def line_buckets(texts: DataFrame, text_col: str, names_col: str, shingle: int =
                 keys = _keys(signatures(hashes, owner, len(node), bands * rows), rows)
                 held.append((keys.ravel(), np.repeat(node, keys.shape[1])))
                 size += keys.size
-            if size > 1 << 18:
+            if size > 1 << 20:
                 yield _packed(*map(np.concatenate, zip(*held)), parts)
                 held, size = [], 0
         if held:
@@ -254,7 +256,7 @@ def _similarities(a, b, shingle: int):
         x = x[at] & _U((1 << 53) - 1) | np.repeat(np.arange(n, dtype=_U) << _U(53), size)
         both = np.sort(np.concatenate([x, y]))
         common = np.bincount((both[1:][both[1:] == both[:-1]] >> _U(53)).astype(np.int64), minlength=n)
-        union = np.bincount((both >> _U(53)).astype(np.int64), minlength=n) - common
+        union = size + np.diff(np.searchsorted(y >> _U(53), np.arange(n + 1, dtype=_U))) - common
         yield n, common / np.maximum(union, 1), y
 
 
